@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from ..functions.columns import base_name, dataset_from_file_name, dated_period
 from ..operators.landing import PROVENANCE, land_register, project_to_spec, union_all
 from ..specs.registers import REGISTERS, RegisterSpec
+from .fs import read_head
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -71,25 +72,13 @@ def read_parquet_register(spark: SparkSession, root: str, spec: RegisterSpec,
     return df
 
 
-def _fs_path(p: str):
-    from pyarrow import fs
-
-    if p.startswith("file:") and not p.startswith("file:///"):
-        p = "file:///" + p[len("file:"):].lstrip("/")
-    if p.startswith("s3a://") or p.startswith("s3n://"):
-        p = "s3://" + p[6:]
-    return fs.FileSystem.from_uri(p)
-
-
 def _headers(batches):
     import pandas as pd
 
     for pdf in batches:
         heads = []
         for p in pdf["path"]:
-            filesystem, path = _fs_path(p)
-            with filesystem.open_input_stream(path) as stream:
-                chunk = stream.read(1 << 16)
+            chunk = read_head(p)
             line = chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
             heads.append(",".join(next(csv.reader(io.StringIO(line)), [])))
         yield pd.DataFrame({"path": pdf["path"], "header": heads})
@@ -151,3 +140,15 @@ def land_folder(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str = "
                 dated: bool | None = None, **kw) -> DataFrame:
     """Read and land one register: spec columns, ``source_file``, ``period``."""
     return land_register(read_register(spark, root, spec, fmt, dated, **kw), spec)
+
+
+def landed_schema(spec: RegisterSpec) -> T.StructType:
+    return T.StructType(spec.schema(with_source_file=True).fields
+                        + [T.StructField("period", T.StringType(), True)])
+
+
+def read_landed(spark: SparkSession, path: str, spec: RegisterSpec) -> DataFrame:
+    """A landed register table. The schema is given, so the ``period``
+    partition column stays a string (no partition-type inference: ``0`` and
+    ``198512`` are names, not numbers) and filters on it prune folders."""
+    return spark.read.schema(landed_schema(spec)).parquet(path)
