@@ -13,10 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import plans
 from .operators import profile
 from .operators.landing import land_register
+from .sinks.writers import sorted_for_write
 from .sources.fixtures import duckdb_with, register_view, register_views
 from .specs.curated import DIAGNOSIS_PAIRS, TABLES
 from .specs.registers import AKM_AS_SHIPPED, REGISTERS
@@ -65,6 +67,27 @@ def q_diagnoses_by_register(spark, sf_dir):
     return profile.group_count(d, "register")
 
 
+def q_diagnoses_pair_profile(spark, sf_dir):
+    """Per register pair: filtered records, filtered diagnoses, joined rows.
+    One tagged union and one aggregate; a pair without rows is absent."""
+    inputs = _inputs(spark, sf_dir, "diagnoses")
+    rec = plans.diagnoses.records(inputs).select("register", F.lit("r").alias("side"))
+    dia = plans.diagnoses.diagnoses(inputs).select("register", F.lit("d").alias("side"))
+    out = plans.diagnoses.build_with_register(inputs).select("register",
+                                                             F.lit("j").alias("side"))
+    return rec.unionByName(dia).unionByName(out).groupBy("register").agg(
+        F.count_if(F.col("side") == "r").alias("records"),
+        F.count_if(F.col("side") == "d").alias("diagnoses"),
+        F.count_if(F.col("side") == "j").alias("joined"))
+
+
+def q_income_sorted(spark, sf_dir):
+    """Income in its declared output order (range-partitioned, sorted within
+    partitions) -- the form the sorted sink writes."""
+    return sorted_for_write(plans.income.build(register_view(spark, sf_dir, "ind")),
+                            TABLES["income"].sorted_by)
+
+
 def q_prescriptions_by_category(spark, sf_dir):
     p = plans.prescriptions.build(register_view(spark, sf_dir, "lmdb"))
     return profile.group_count(p, "atc_category")
@@ -133,6 +156,8 @@ QUERIES.update({
     "population_unique": q_population_unique,
     "population_window": q_population_window,
     "diagnoses_by_register": q_diagnoses_by_register,
+    "diagnoses_pair_profile": q_diagnoses_pair_profile,
+    "income_sorted": q_income_sorted,
     "prescriptions_by_category": q_prescriptions_by_category,
     "count_by_gender": _count_by("population", "gender"),
     "count_by_status_source": _count_by("employment", "status_source"),
@@ -341,6 +366,18 @@ def _oracle_contract_report() -> str:
     return _with(views) + "\nUNION ALL\n".join(parts)
 
 
+def _oracle_pair_profile() -> str:
+    parts = []
+    for pair, sides in DIAGNOSIS_PAIRS.items():
+        rreg, rc = sides["records"]
+        dreg, dc = sides["diagnoses"]
+        parts.append(f"""SELECT '{pair}' AS register,
+ (SELECT count(*) FROM {rreg} WHERE {rc['record_id']} <> '' AND {rc['person_id']} <> '') AS records,
+ (SELECT count(*) FROM {dreg} WHERE {dc['record_id']} <> '') AS diagnoses,
+ (SELECT count(*) FROM ({DIAGNOSES_ALL_SQL}) x WHERE x.register = '{pair}') AS joined""")
+    return _with(plans.diagnoses.INPUTS) + "\nUNION ALL\n".join(parts)
+
+
 def _count_sql(sql: str, views, column: str) -> str:
     return _with(views) + f"SELECT {column}, count(*) AS n FROM ({sql}) t GROUP BY {column}"
 
@@ -356,6 +393,8 @@ ORACLE.update({
     "population_window": _with(["bef"]) + POPULATION_SQL,
     "diagnoses_by_register": _with(plans.diagnoses.INPUTS)
     + f"SELECT register, count(*) AS n FROM ({DIAGNOSES_ALL_SQL}) x GROUP BY register",
+    "diagnoses_pair_profile": _oracle_pair_profile(),
+    "income_sorted": _with(["ind"]) + INCOME_SQL,
     "prescriptions_by_category": _count_sql(PRESCRIPTIONS_SQL, ["lmdb"], "atc_category"),
     "count_by_gender": _count_sql(POPULATION_SQL, ["bef"], "gender"),
     "count_by_status_source": _count_sql(EMPLOYMENT_SQL, ["ras"], "status_source"),
