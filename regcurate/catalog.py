@@ -10,6 +10,7 @@ register joins as five separate joins ``UNION ALL``, eras as integer
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,10 @@ from pyspark.sql import functions as F
 from . import plans
 from .operators import profile
 from .operators.landing import land_register
+from .session import ensure_checkpoint_dir
 from .sinks.writers import sorted_for_write
+from .sources.files import read_landed
+from .streaming.landing import land_available_now
 from .sources.fixtures import duckdb_with, register_view, register_views
 from .specs.curated import DIAGNOSIS_PAIRS, TABLES
 from .specs.registers import AKM_AS_SHIPPED, REGISTERS
@@ -88,6 +92,22 @@ def q_income_sorted(spark, sf_dir):
                             TABLES["income"].sorted_by)
 
 
+def q_land_available_now(spark, sf_dir):
+    """Incremental landing end to end: the bef extracts are staged as
+    Spark-written ``source_file=<extract>`` folders in a fresh folder under
+    the session's checkpoint dir, landed by the available-now stream, landed
+    again (the rerun must add no row), and the landed table is returned."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/available-now-{uuid.uuid4().hex}"
+    spec = REGISTERS["bef"]
+    register_view(spark, sf_dir, "bef").write.partitionBy("source_file").parquet(base + "/src")
+    args = (spark, base + "/src", spec, base + "/out", base + "/ckpt")
+    land_available_now(*args, layout="partitioned")
+    again = land_available_now(*args, layout="partitioned")
+    if again:
+        raise RuntimeError(f"rerun of the available-now landing added {again} rows")
+    return read_landed(spark, base + "/out", spec)
+
+
 def q_prescriptions_by_category(spark, sf_dir):
     p = plans.prescriptions.build(register_view(spark, sf_dir, "lmdb"))
     return profile.group_count(p, "atc_category")
@@ -150,6 +170,7 @@ QUERIES: dict[str, Query] = {}
 for _n in REGISTERS:
     QUERIES[f"land_{_n}"] = _land(_n)
 QUERIES["land_akm_sparse"] = q_land_akm_sparse
+QUERIES["land_available_now"] = q_land_available_now
 for _t in plans.PLANS:
     QUERIES[_t] = _curated(_t)
 QUERIES.update({
@@ -386,6 +407,7 @@ ORACLE: dict[str, str] = {}
 for _n in REGISTERS:
     ORACLE[f"land_{_n}"] = _with([_n]) + _land_sql(_n)
 ORACLE["land_akm_sparse"] = _with(["akm"]) + _land_sql("akm", AKM_AS_SHIPPED.columns)
+ORACLE["land_available_now"] = ORACLE["land_bef"]
 for _t, (_sql, _regs) in CURATED_SQL.items():
     ORACLE[_t] = _with(_regs) + _sql
 ORACLE.update({

@@ -58,11 +58,19 @@ def _file_name_filter(spec: RegisterSpec, dated: bool):
 
 
 def read_parquet_register(spark: SparkSession, root: str, spec: RegisterSpec,
-                          dated: bool | None = None) -> DataFrame:
+                          dated: bool | None = None, layout: str = "files") -> DataFrame:
     """One scan for all files of a register: read by name with the spec schema,
     ``source_file`` from ``_metadata.file_name``. The file-name predicate is on
-    a metadata column, so Spark prunes non-matching files before reading."""
+    a metadata column, so Spark prunes non-matching files before reading.
+
+    ``layout="partitioned"`` reads ``<root>/source_file=<extract>/part-*``
+    instead: provenance is the partition value, the register filter a
+    partition filter."""
     dated = spec.dated if dated is None else dated
+    if layout == "partitioned":
+        df = spark.read.schema(spec.schema(with_source_file=True)).parquet(root)
+        return (df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
+                .select(*spec.columns, PROVENANCE))
     glob = f"{spec.name}*" if dated else f"{spec.name}.*"
     df = (
         spark.read.schema(spec.schema()).option("pathGlobFilter", glob).parquet(root)
@@ -130,7 +138,7 @@ def read_register(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str =
                   dated: bool | None = None, **kw) -> DataFrame:
     """Read one register (raw columns + ``source_file``) from a landing folder."""
     if fmt == "parquet":
-        return read_parquet_register(spark, root, spec, dated)
+        return read_parquet_register(spark, root, spec, dated, **kw)
     if fmt == "csv":
         return read_csv_register(spark, root, spec, dated, **kw)
     raise ValueError(f"unsupported format {fmt!r}")

@@ -20,10 +20,24 @@ from ..specs.registers import RegisterSpec
 
 
 def stream_register(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str = "parquet",
-                    dated: bool | None = None, max_files_per_trigger: int | None = None):
+                    dated: bool | None = None, max_files_per_trigger: int | None = None,
+                    layout: str = "files"):
     """Streaming DataFrame of one register's rows, landed (spec columns,
-    ``source_file``, ``period``)."""
+    ``source_file``, ``period``).
+
+    ``layout="files"``: one file per extract, named ``<register><period>.<ext>``.
+    ``layout="partitioned"``: ``<root>/source_file=<extract name>/part-*`` (as
+    Spark writes ``partitionBy("source_file")``); provenance is the partition
+    value and the register filter prunes folders.
+    """
     dated = spec.dated if dated is None else dated
+    if layout == "partitioned":
+        reader = spark.readStream.format(fmt).schema(spec.schema(with_source_file=True))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        df = reader.load(root)
+        df = df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
+        return land_register(df.select(*spec.columns, PROVENANCE), spec)
     ext = "csv" if fmt == "csv" else "*"
     glob = f"{spec.name}*.{ext}" if dated else f"{spec.name}.{ext}"
     reader = spark.readStream.format(fmt).schema(spec.schema()).option("pathGlobFilter", glob)
@@ -40,10 +54,11 @@ def stream_register(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str
 
 
 def land_available_now(spark: SparkSession, root: str, spec: RegisterSpec, out_path: str,
-                       checkpoint: str, fmt: str = "parquet", dated: bool | None = None) -> int:
+                       checkpoint: str, fmt: str = "parquet", dated: bool | None = None,
+                       layout: str = "files") -> int:
     """Land the files of ``root`` not landed before into ``out_path``
     (Parquet, partitioned by period). Returns the number of rows added."""
-    landed = stream_register(spark, root, spec, fmt, dated)
+    landed = stream_register(spark, root, spec, fmt, dated, layout=layout)
     query = (landed.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint).partitionBy("period")
              .trigger(availableNow=True).start(out_path))

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 from conftest import rows
+from regcurate.operators.landing import land_register
 from regcurate.sources.files import land_folder, read_csv_register, register_files
 from regcurate.specs.registers import REGISTERS, RegisterSpec
 
@@ -111,3 +112,20 @@ def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
     assert os.path.isdir(out / "stage2" / "prescriptions" / "atc_category=_none")
     diag_side = json.load(open(str(out / "stage2" / "diagnoses_metadata.json")))
     assert diag_side["size"] == spark.read.parquet(str(out / "stage2" / "diagnoses")).count()
+
+
+def test_partition_folder_layout(spark, tmp_path):
+    from conftest import SF_SMALL
+    from regcurate.sources.fixtures import register_view
+    src = str(tmp_path / "src")
+    ras = register_view(spark, SF_SMALL, "ras")
+    ras.write.partitionBy("source_file").parquet(src)
+    out = land_folder(spark, src, REGISTERS["ras"], layout="partitioned")
+    dated = ras.where("source_file <> 'ras.sas7bdat'")
+    assert out.count() == dated.count()          # the undated copy is not a dated extract
+    assert rows(out.groupBy("period").count()) == rows(
+        land_register(dated, REGISTERS["ras"]).groupBy("period").count())
+    undated = land_folder(spark, src, REGISTERS["ras"], dated=False, layout="partitioned")
+    assert rows(undated.groupBy("period").count()) == [("0", ras.count() - dated.count())]
+    akm = land_folder(spark, src, REGISTERS["akm"], layout="partitioned")
+    assert akm.count() == 0
