@@ -48,30 +48,40 @@ def main(argv=None) -> int:
         s.add_argument("dated_dir")
         s.add_argument("undated_dir")
         s.add_argument("output_dir")
-        s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+        s.add_argument("--format", default="parquet", choices=["parquet", "csv"],
+                       help="format of the extract copies")
+        s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"],
+                       help="format of the curated tables")
     s = sub.add_parser("curate")
     s.add_argument("output_dir")
+    s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
     s = sub.add_parser("summarise")
     s.add_argument("column")
     s.add_argument("table")
     s.add_argument("output")
+    s.add_argument("--format", default=None, choices=["parquet", "csv"],
+                   help="format of the table (default: from its extension)")
     args = p.parse_args(argv)
     spark = _session()
 
     if args.cmd in ("run", "land"):
+        specs = _specs(args.spec)
         landed = land(spark, args.dated_dir, args.undated_dir, args.output_dir, args.format,
-                      _specs(args.spec))
+                      specs)
         result = {"stage1": landed}
         if args.cmd == "run":
-            result["stage2"] = {k: v["size"] for k, v in
-                                curate(spark, args.output_dir, landed).items()}
+            result["stage2"] = {k: v["size"] for k, v in curate(
+                spark, args.output_dir, landed, args.output_format, registers=specs).items()}
     elif args.cmd == "curate":
         root = os.path.join(args.output_dir, "stage1")
         landed = {n: os.path.join(root, n) for n in REGISTERS}
         landed = {n: p for n, p in landed.items() if _exists(spark, p)}
-        result = {k: v["size"] for k, v in curate(spark, args.output_dir, landed).items()}
+        result = {k: v["size"] for k, v in curate(spark, args.output_dir, landed,
+                                                  args.output_format).items()}
     else:
-        df = spark.read.parquet(args.table)
+        fmt = args.format or ("csv" if args.table.rstrip("/").endswith(".csv") else "parquet")
+        reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
+        df = reader.format(fmt).load(args.table)   # every CSV value stays a string
         group_count(df, args.column).write.mode("overwrite").option("header", "true") \
             .csv(args.output)
         result = {"summary": args.output}

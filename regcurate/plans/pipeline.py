@@ -55,9 +55,10 @@ def landed_inputs(spark: SparkSession, out: str, names) -> dict[str, DataFrame]:
 
 
 def curate(spark: SparkSession, out: str, landed: dict[str, str], fmt: str = "parquet",
-           sort: bool = False) -> dict:
+           sort: bool = False, registers: dict[str, RegisterSpec] | None = None) -> dict:
     """Build every curated table whose inputs were landed; returns sidecars."""
-    inputs = {n: read_landed(spark, p, REGISTERS[n]) for n, p in landed.items()}
+    registers = REGISTERS if registers is None else registers
+    inputs = {n: read_landed(spark, p, registers[n]) for n, p in landed.items()}
     sidecars = {}
     for name, mod in PLANS.items():
         present = [r for r in mod.INPUTS if r in inputs]
@@ -69,6 +70,8 @@ def curate(spark: SparkSession, out: str, landed: dict[str, str], fmt: str = "pa
 
 
 def run(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, out: str,
-        fmt: str = "parquet") -> dict:
-    landed = land(spark, dated_dir, undated_dir, out, fmt)
-    return {"stage1": landed, "stage2": curate(spark, out, landed)}
+        fmt: str = "parquet", output_fmt: str = "parquet",
+        registers: dict[str, RegisterSpec] | None = None) -> dict:
+    landed = land(spark, dated_dir, undated_dir, out, fmt, registers)
+    return {"stage1": landed, "stage2": curate(spark, out, landed, output_fmt,
+                                               registers=registers)}
