@@ -13,8 +13,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.landing import union_all
+from ..session import size_shuffle_partitions
 from ..sinks.writers import write_curated, write_landed
 from ..sources.files import land_folder, list_files, read_landed
 from ..specs.registers import REGISTERS, RegisterSpec
@@ -50,6 +52,14 @@ def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, ou
     return done
 
 
+def landed_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the landed tables (a distributed listing, one number)."""
+    frames = [spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").load(p).select("length") for p in paths]
+    total = union_all(frames).agg(F.sum("length")).first()[0]
+    return int(total or 0)
+
+
 def landed_inputs(spark: SparkSession, out: str, names) -> dict[str, DataFrame]:
     return {n: read_landed(spark, os.path.join(out, "stage1", n), REGISTERS[n]) for n in names}
 
@@ -58,6 +68,8 @@ def curate(spark: SparkSession, out: str, landed: dict[str, str], fmt: str = "pa
            sort: bool = False, registers: dict[str, RegisterSpec] | None = None) -> dict:
     """Build every curated table whose inputs were landed; returns sidecars."""
     registers = REGISTERS if registers is None else registers
+    if landed:
+        size_shuffle_partitions(spark, landed_bytes(spark, list(landed.values())))
     inputs = {n: read_landed(spark, p, registers[n]) for n, p in landed.items()}
     sidecars = {}
     for name, mod in PLANS.items():

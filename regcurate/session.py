@@ -73,3 +73,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="regcurate-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir()
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            target_bytes: int = 256 << 20, floor: int = 200) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input volume, so that a
+    shuffle of the whole input gives about ``target_bytes`` per partition
+    (AQE coalesces the small ones and splits skewed ones at runtime). A value
+    set at launch (``--conf``) is left alone. Returns the value in effect."""
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(floor, -(-int(input_bytes) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes,
+                                                                              128 << 20)))
+    return n
