@@ -344,7 +344,8 @@ def _oracle_file_inventory() -> str:
              for n in REGISTERS]
     return _with(REGISTERS) + f"""SELECT dataset, count(DISTINCT source_file) AS n_files,
  min(period) AS first_period, max(period) AS last_period,
- string_agg(DISTINCT period, ',' ORDER BY period) AS periods, count(*) AS rows
+ string_agg(DISTINCT period, ',' ORDER BY period) AS periods,
+ string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS source_files, count(*) AS rows
 FROM ({' UNION ALL '.join(parts)}) t GROUP BY dataset"""
 
 

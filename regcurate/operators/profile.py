@@ -61,8 +61,8 @@ def union_rows(frames) -> DataFrame:
 
 
 def file_inventory(frames: dict[str, DataFrame]) -> DataFrame:
-    """Per register: number of files, first/last period, the period list and
-    rows. Each input needs ``source_file`` and ``period``. Distinct periods
+    """Per register: number of files, first/last period, the period list, the
+    file list and rows. Each input needs ``source_file`` and ``period``. Distinct periods
     and files per register are bounded by the files of one register."""
     tagged = union_rows(
         df.select(F.lit(name).alias("dataset"), "period", "source_file")
@@ -74,6 +74,7 @@ def file_inventory(frames: dict[str, DataFrame]) -> DataFrame:
         F.min("period").alias("first_period"),
         F.max("period").alias("last_period"),
         F.concat_ws(",", F.sort_array(F.collect_set("period"))).alias("periods"),
+        F.concat_ws(",", F.sort_array(F.collect_list("source_file"))).alias("source_files"),
         F.sum("rows").alias("rows"),
     )
 
