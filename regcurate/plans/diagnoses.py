@@ -75,8 +75,14 @@ def build_with_register(inputs: dict[str, DataFrame]) -> DataFrame:
     return joined.select("register", *SPEC.names)
 
 
-def build(inputs: dict[str, DataFrame]) -> DataFrame:
-    joined = aligned_join(records(inputs), diagnoses(inputs))
+def build(inputs: dict[str, DataFrame], observe=None) -> DataFrame:
+    """``observe=(Observation, [metrics])`` is evaluated on the filtered
+    records -- where the covered period is defined -- in the same pass."""
+    rec = records(inputs)
+    if observe is not None:
+        obs, metrics = observe
+        rec = rec.observe(obs, *metrics)
+    joined = aligned_join(rec, diagnoses(inputs))
     return select_contract(joined, SPEC, {})
 
 

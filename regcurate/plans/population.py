@@ -25,8 +25,14 @@ def candidates(bef: DataFrame) -> DataFrame:
     return select_contract(bef.where(non_empty("PNR")), SPEC, exprs)
 
 
-def build(bef: DataFrame, strategy: str = "join") -> DataFrame:
-    return first_file_wins(candidates(bef), "person_id", "source_file", strategy)
+def build(bef: DataFrame, strategy: str = "join", observe=None) -> DataFrame:
+    """``observe=(Observation, [metrics])`` is evaluated on the candidates --
+    where the covered period is defined -- in the same pass as the table."""
+    cands = candidates(bef)
+    if observe is not None:
+        obs, metrics = observe
+        cands = cands.observe(obs, *metrics)
+    return first_file_wins(cands, "person_id", "source_file", strategy)
 
 
 def build_unique(bef: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 and their JSON sidecars.
 
 * The row count and the covered period come from the write itself
-  (``DataFrame.observe``): no second pass over the output. Where the period
-  is defined at another point of the plan (population: before the dedup) it
-  is one extra aggregate over that input.
+  (``DataFrame.observe``): no second pass. Where the period is defined at
+  another point of the plan (population: before the dedup; diagnoses: on
+  the records before the join) the observation sits at that node.
 * Writes are whole-table ``overwrite`` (an empty input still leaves a table
   with the full schema), or dynamic partition overwrite for landing, so a
   re-landed period replaces only itself. Spark's commit protocol makes a
@@ -87,31 +87,34 @@ def sidecar(spec: TableSpec, rows: int, first: str | None, last: str | None,
 
 def write_curated(name: str, inputs: dict[str, DataFrame], path: str, fmt: str = "parquet",
                   sort: bool = False) -> dict:
-    """Build, write and describe one curated table. Returns the sidecar (also
-    written next to the table as ``<path>_metadata.json``)."""
+    """Build, write and describe one curated table in one pass. Returns the
+    sidecar (also written next to the table as ``<path>_metadata.json``).
+
+    Rows are observed on the written rows; the covered period on the rows it
+    is defined on -- the output itself, or, for population and diagnoses, the
+    plan node before the dedup / join (``observe`` of the plan)."""
     spec = TABLES[name]
-    df = plans.build(name, inputs)
     first_col, last_col = spec.period_columns
-    same_point = name not in ("population", "diagnoses")
-    obs = Observation(f"sidecar_{name}")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if same_point:
-        metrics += [F.min(first_col).alias("first"), F.max(last_col).alias("last")]
+    bounds = [F.min(first_col).alias("first"), F.max(last_col).alias("last")]
+    rows_obs = Observation(f"rows_{name}")
+    rows_metrics = [F.count(F.lit(1)).alias("rows")]
+    if name in ("population", "diagnoses"):
+        bounds_obs = Observation(f"bounds_{name}")
+        df = plans.build(name, inputs, observe=(bounds_obs, bounds))
+    else:
+        bounds_obs = rows_obs
+        rows_metrics += bounds
+        df = plans.build(name, inputs)
     if spec.partition_by:
         df = df.hint("rebalance", *spec.partition_by)
     elif sort and spec.sorted_by:
         df = sorted_for_write(df, spec.sorted_by)
     # observed last: above any range-partition sampling job, counted once
-    df = df.observe(obs, *metrics)
+    df = df.observe(rows_obs, *rows_metrics)
     _writer(df, fmt, "overwrite", spec.partition_by).save(path)
-    got = obs.get
-    if same_point:
-        first, last = got.get("first"), got.get("last")
-    else:
-        b = plans.bounds_input(name, inputs).agg(F.min(first_col).alias("first"),
-                                                 F.max(last_col).alias("last")).first()
-        first, last = b["first"], b["last"]
-    meta = sidecar(spec, int(got.get("rows", 0)), first, last, fmt)
+    got_rows, got_bounds = rows_obs.get, bounds_obs.get
+    meta = sidecar(spec, int(got_rows.get("rows", 0)), got_bounds.get("first"),
+                   got_bounds.get("last"), fmt)
     write_json(path.rstrip("/") + "_metadata.json", meta)
     return meta
 

@@ -112,6 +112,17 @@ def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
     assert os.path.isdir(out / "stage2" / "prescriptions" / "atc_category=_none")
     diag_side = json.load(open(str(out / "stage2" / "diagnoses_metadata.json")))
     assert diag_side["size"] == spark.read.parquet(str(out / "stage2" / "diagnoses")).count()
+    # bounds observed in the write equal a separate aggregate at the same plan point
+    from pyspark.sql import functions as F
+    from regcurate.plans import diagnoses, population
+    from regcurate.plans.pipeline import landed_inputs
+    inputs = landed_inputs(spark, str(out), result["stage1"])
+    b = diagnoses.records(inputs).agg(F.min("starts_at"), F.max("ends_at")).first()
+    assert (diag_side["period"]["first"], diag_side["period"]["last"]) == (b[0], b[1])
+    pop_side = json.load(open(str(out / "stage2" / "population_metadata.json")))
+    b = population.candidates(inputs["bef"]).agg(F.min("born_at"), F.max("born_at")).first()
+    assert (pop_side["period"]["first"], pop_side["period"]["last"]) == (b[0], b[1])
+    assert pop_side["size"] == spark.read.parquet(str(out / "stage2" / "population")).count()
 
 
 def test_partition_folder_layout(spark, tmp_path):
