@@ -71,15 +71,23 @@ def read_parquet_register(spark: SparkSession, root: str, spec: RegisterSpec,
         df = spark.read.schema(spec.schema(with_source_file=True)).parquet(root)
         return (df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
                 .select(*spec.columns, PROVENANCE))
-    glob = f"{spec.name}*" if dated else f"{spec.name}.*"
+    glob = f"{spec.name}*.parquet" if dated else f"{spec.name}.parquet"
     df = (
-        spark.read.schema(spec.schema()).option("pathGlobFilter", glob).parquet(root)
+        spark.read.schema(spec.schema(with_source_file=True)).option("pathGlobFilter", glob)
+        .parquet(root)
         .where(_file_name_filter(spec, dated))
-        .select(*spec.columns, F.col("_metadata.file_name").alias(PROVENANCE))
+        .select(*spec.columns, _provenance(F.col(PROVENANCE)))
     )
     return df
 
 
+def _provenance(in_file: F.Column | None = None) -> F.Column:
+    """``source_file``: the value carried in the file when there is one (a
+    landed copy keeps its original extract name), else the file's name."""
+    name = F.col("_metadata.file_name")
+    return (name if in_file is None else F.coalesce(in_file, name)).alias(PROVENANCE)
+
+
 def _headers(batches):
     import pandas as pd
 
@@ -114,7 +122,7 @@ def read_csv_register(spark: SparkSession, root: str, spec: RegisterSpec,
         df = (reader.option("enforceSchema", "false").schema(spec.schema())
               .option("pathGlobFilter", glob).csv(root)
               .where(_file_name_filter(spec, dated)))
-        return df.select(*spec.columns, F.col("_metadata.file_name").alias(PROVENANCE))
+        return df.select(*spec.columns, _provenance())
 
     files = register_files(spark, root, dated, {spec.name: spec}, glob)
     # one row per file: bounded by the number of files, like Spark's own file index
@@ -128,8 +136,9 @@ def read_csv_register(spark: SparkSession, root: str, spec: RegisterSpec,
         names = header.split(",")
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
         df = reader.schema(schema).csv(paths)
+        carried = F.col(PROVENANCE) if PROVENANCE in names else None
         df = df.select(*[F.col(f"`{n}`") for n in names if n in spec.columns],
-                       F.col("_metadata.file_name").alias(PROVENANCE))
+                       _provenance(carried))
         frames.append(project_to_spec(df, spec.columns))
     return union_all(frames)
 

@@ -140,3 +140,17 @@ def test_partition_folder_layout(spark, tmp_path):
     assert rows(undated.groupBy("period").count()) == [("0", ras.count() - dated.count())]
     akm = land_folder(spark, src, REGISTERS["akm"], layout="partitioned")
     assert akm.count() == 0
+
+
+def test_carried_source_file_is_kept(spark, tmp_path):
+    """A landed CSV copy that carries ``source_file`` keeps the original name."""
+    spec = REGISTERS["faik"]
+    cols = list(spec.columns)
+    _write_csv(tmp_path / "faik2001.csv", ",".join(cols + ["source_file"]) + "\n"
+               + ",".join(["1"] * len(cols) + ["faik2001.sas7bdat"]) + "\n")
+    out = land_folder(spark, str(tmp_path), spec, fmt="csv")
+    assert rows(out, "source_file", "period") == [("faik2001.sas7bdat", "2001")]
+    pdf = pd.DataFrame({c: ["1"] for c in cols})
+    pq.write_table(pa.Table.from_pandas(pdf, preserve_index=False), tmp_path / "faik2002.parquet")
+    got = land_folder(spark, str(tmp_path), spec)
+    assert rows(got, "source_file") == [("faik2002.parquet",)]
