@@ -59,10 +59,15 @@ def q_land_akm_sparse(spark, sf_dir):
 
 
 def q_population_unique(spark, sf_dir):
+    """Exactly one row per person: ``min(struct)`` aggregate, partial merging."""
     return plans.population.build_unique(register_view(spark, sf_dir, "bef"))
 
 
 def q_population_window(spark, sf_dir):
+    """Population through the window form of first-file-wins (``rank`` over
+    ``partitionBy(person_id)``): one shuffle of the rows, for inputs without
+    hot keys. The default ``population`` uses the aggregate-and-join form,
+    which never puts one person's rows into a single task."""
     return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="window")
 
 
