@@ -47,11 +47,19 @@ def write_landed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def sorted_for_write(df: DataFrame, keys) -> DataFrame:
-    """Declared output order: range-partition on the keys, sort inside each
-    partition (no global single-task sort). Files concatenated in partition
-    order are sorted."""
-    keys = list(keys)
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    """Declared output order without a single-task sort: range-partition,
+    then sort inside each partition; files read in partition order are
+    sorted on ``keys``.
+
+    A deterministic row hash is the last range key, so a key holding a large
+    share of the rows spreads over several range partitions instead of one
+    task (the order on ``keys`` is unchanged; the hash only orders ties, and
+    it is the same on a retried task)."""
+    keys = [F.col(k) for k in keys]
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tiebreak")
+    out = df.withColumn("_tiebreak", tiebreak)
+    ordered = keys + [F.col("_tiebreak")]
+    return out.repartitionByRange(*ordered).sortWithinPartitions(*ordered).drop("_tiebreak")
 
 
 def sidecar(spec: TableSpec, rows: int, first: str | None, last: str | None,

@@ -38,3 +38,24 @@ def test_hot_key_join_is_split_and_exact(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sorted_sink_splits_a_hot_key(spark):
+    from regcurate.sinks.writers import sorted_for_write
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(90_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+             .otherwise(F.format_string("k%05d", F.col("id") % 7_000)).alias("person_id"),
+            F.col("id").cast("string").alias("v"))
+        out = sorted_for_write(df, ["person_id"])
+        per_part = out.withColumn("p", F.spark_partition_id()).where("person_id = 'hot'") \
+            .groupBy("p").count().collect()
+        assert len(per_part) > 1                      # the hot key is not one task
+        keys = [r.person_id for r in out.select("person_id").collect()]
+        assert keys == sorted(keys) and len(keys) == 90_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
