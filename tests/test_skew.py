@@ -59,3 +59,35 @@ def test_sorted_sink_splits_a_hot_key(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_record_id_in_diagnoses_join_is_split_and_exact(spark):
+    from regcurate.plans import diagnoses
+    saved = {k: spark.conf.get(k, None) for k in _CONF}
+    try:
+        for k, v in _CONF.items():
+            spark.conf.set(k, v)
+        adm = spark.range(60_000).select(
+            F.col("id").cast("string").alias("RECNUM"),
+            F.concat(F.lit("p"), F.col("id").cast("string")).alias("PNR"),
+            F.lit("0").alias("C_PATTYPE"), F.lit("1990-01-01").alias("D_INDDTO"),
+            F.lit(None).cast("string").alias("D_UDDTO"),
+            F.lit("lpr_adm1990.sas7bdat").alias("source_file"))
+        diag = spark.range(600_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("7"))
+             .otherwise((F.col("id") % 60_000).cast("string")).alias("RECNUM"),
+            F.concat(F.lit("DF"), (F.col("id") % 90).cast("string")).alias("C_DIAG"),
+            F.lit("A").alias("C_DIAGTYPE"), F.lit("lpr_diag1990.sas7bdat").alias("source_file"))
+        out = diagnoses.build({"lpr_adm": adm, "lpr_diag": diag})
+        got = {r[0]: r[1] for r in out.groupBy(F.col("record_id") == "7").count().collect()}
+        hot = diag.where("RECNUM = '7'").count()      # a third of the rows, and a few more
+        assert hot > 200_000 and got[True] == hot
+        assert sum(got.values()) == 600_000           # every diagnosis has its record
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
