@@ -52,6 +52,8 @@ def main(argv=None) -> int:
                        help="format of the extract copies")
         s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"],
                        help="format of the curated tables")
+        s.add_argument("--incremental", action="store_true",
+                       help="land only files not landed before (streaming checkpoint)")
     s = sub.add_parser("curate")
     s.add_argument("output_dir")
     s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
@@ -67,7 +69,7 @@ def main(argv=None) -> int:
     if args.cmd in ("run", "land"):
         specs = _specs(args.spec)
         landed = land(spark, args.dated_dir, args.undated_dir, args.output_dir, args.format,
-                      specs)
+                      specs, args.incremental)
         result = {"stage1": landed}
         if args.cmd == "run":
             result["stage2"] = {k: v["size"] for k, v in curate(

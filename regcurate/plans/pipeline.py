@@ -20,6 +20,7 @@ from ..session import size_shuffle_partitions
 from ..sinks.writers import write_curated, write_landed
 from ..sources.files import land_folder, list_files, read_landed
 from ..specs.registers import REGISTERS, RegisterSpec
+from ..streaming.landing import land_folders_available_now
 from . import PLANS, MULTI_INPUT
 
 
@@ -33,11 +34,29 @@ def _has_files(spark: SparkSession, root: str | None, glob: str) -> bool:
 
 
 def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, out: str,
-         fmt: str = "parquet", registers: dict[str, RegisterSpec] | None = None) -> dict:
-    """Land every register that has files; returns ``{register: path}``."""
+         fmt: str = "parquet", registers: dict[str, RegisterSpec] | None = None,
+         incremental: bool = False) -> dict:
+    """Land every register that has files; returns ``{register: path}``.
+
+    ``incremental=True`` lands only files not landed before (a file-stream
+    checkpoint per register under ``out/_checkpoints``); a rerun with no new
+    file adds nothing. Use one mode per output folder."""
     registers = REGISTERS if registers is None else registers
     ext = "csv" if fmt == "csv" else "parquet"
     done = {}
+    if incremental:
+        for name, spec in registers.items():
+            has_dated = spec.dated and _has_files(spark, dated_dir, f"{name}*.{ext}")
+            has_undated = _has_files(spark, undated_dir, f"{name}.{ext}")
+            path = os.path.join(out, "stage1", name)
+            if has_dated or has_undated:
+                land_folders_available_now(
+                    spark, dated_dir if has_dated else None,
+                    undated_dir if has_undated else None, spec, path,
+                    os.path.join(out, "_checkpoints", "stage1", name), fmt)
+            if has_dated or has_undated or _has_files(spark, path, "*"):
+                done[name] = path
+        return done
     for name, spec in registers.items():
         frames = []
         if spec.dated and _has_files(spark, dated_dir, f"{name}*.{ext}"):
@@ -83,7 +102,7 @@ def curate(spark: SparkSession, out: str, landed: dict[str, str], fmt: str = "pa
 
 def run(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, out: str,
         fmt: str = "parquet", output_fmt: str = "parquet",
-        registers: dict[str, RegisterSpec] | None = None) -> dict:
-    landed = land(spark, dated_dir, undated_dir, out, fmt, registers)
+        registers: dict[str, RegisterSpec] | None = None, incremental: bool = False) -> dict:
+    landed = land(spark, dated_dir, undated_dir, out, fmt, registers, incremental)
     return {"stage1": landed, "stage2": curate(spark, out, landed, output_fmt,
                                                registers=registers)}

@@ -66,3 +66,28 @@ def land_available_now(spark: SparkSession, root: str, spec: RegisterSpec, out_p
     if query.exception() is not None:
         raise query.exception()
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def land_folders_available_now(spark: SparkSession, dated_dir: str | None,
+                               undated_dir: str | None, spec: RegisterSpec, out_path: str,
+                               checkpoint: str, fmt: str = "parquet") -> int:
+    """Incremental landing of one register from both folders in *one*
+    streaming query: the dated stream and the undated stream are unioned, so
+    the table has one sink log and one checkpoint. Returns rows added."""
+    streams = []
+    if dated_dir and spec.dated:
+        streams.append(stream_register(spark, dated_dir, spec, fmt, dated=True))
+    if undated_dir:
+        streams.append(stream_register(spark, undated_dir, spec, fmt, dated=False))
+    if not streams:
+        return 0
+    landed = streams[0]
+    for s in streams[1:]:
+        landed = landed.unionByName(s)
+    query = (landed.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).partitionBy("period")
+             .trigger(availableNow=True).start(out_path))
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)

@@ -29,3 +29,25 @@ def test_available_now_lands_each_file_once(spark, tmp_path):
     got = {r.period: r.n for r in landed.groupBy("period").count().withColumnRenamed(
         "count", "n").collect()}
     assert got == {"2001": 3, "2002": 2, "2003": 4}
+
+
+def test_incremental_pipeline_lands_new_files_only(spark, tmp_path):
+    from regcurate.plans.pipeline import curate, land
+    dated, undated, out = tmp_path / "grund", tmp_path / "external", tmp_path / "out"
+    dated.mkdir()
+    undated.mkdir()
+    _file(dated, "ras2001.parquet", 3)
+    _file(undated, "ras.parquet", 2)                  # undated copy: period 0
+    regs = {"ras": REGISTERS["ras"]}
+    landed = land(spark, str(dated), str(undated), str(out), registers=regs, incremental=True)
+    table = read_landed(spark, landed["ras"], REGISTERS["ras"])
+    assert table.count() == 5
+    land(spark, str(dated), str(undated), str(out), registers=regs, incremental=True)
+    assert read_landed(spark, landed["ras"], REGISTERS["ras"]).count() == 5
+    _file(dated, "ras2002.parquet", 4)
+    land(spark, str(dated), str(undated), str(out), registers=regs, incremental=True)
+    table = read_landed(spark, landed["ras"], REGISTERS["ras"])
+    assert {r.period: r["count"] for r in table.groupBy("period").count().collect()} == \
+        {"0": 2, "2001": 3, "2002": 4}
+    side = curate(spark, str(out), landed, registers=regs)["employment"]
+    assert side["size"] == 9 and side["period"]["first"] == "2001"
