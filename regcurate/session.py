@@ -54,25 +54,42 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d is None:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return d
+    sc = _context(spark)
+    if sc is not None:
+        d = sc.getCheckpointDir()
+        if d is None:
+            d = sc.getConf().get("spark.checkpoint.dir", None)
+        return d
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint dir; set a scratch one only when unset
     (local tests). On a cluster it is always configured and shared."""
     d = checkpoint_dir(spark)
+    sc = _context(spark)
     if d:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(d)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
         return d
     d = tempfile.mkdtemp(prefix="regcurate-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir()
+    return d
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
@@ -81,7 +98,8 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
     shuffle of the whole input gives about ``target_bytes`` per partition
     (AQE coalesces the small ones and splits skewed ones at runtime). A value
     set at launch (``--conf``) is left alone. Returns the value in effect."""
-    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+    sc = _context(spark)
+    if sc is not None and sc.getConf().contains("spark.sql.shuffle.partitions"):
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = max(floor, -(-int(input_bytes) // target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
