@@ -65,12 +65,19 @@ def q_population_unique(spark, sf_dir):
 
 def q_population_window(spark, sf_dir):
     """Population through the window form of first-file-wins (``rank`` over
-    ``partitionBy(person_id)``): one shuffle of the rows, for inputs without
-    hot keys. The default ``population`` uses the aggregate-and-join form,
-    which never puts one person's rows into a single task."""
+    ``partitionBy(person_id)``): one shuffle of the rows. The default
+    ``population`` takes this form only when no person's group exceeds the
+    one-task bound, else the join form."""
     return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="window")
 
 
+def q_population_join(spark, sf_dir):
+    """Population through the skew-safe form of first-file-wins: partial
+    ``min`` of the first file per person, equi-join back on (person, first
+    file); a hot person is split by AQE's skew join."""
+    return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="join")
+
+
 def q_diagnoses_by_register(spark, sf_dir):
     d = plans.diagnoses.build_with_register(_inputs(spark, sf_dir, "diagnoses"))
     return profile.group_count(d, "register")
@@ -181,6 +188,7 @@ for _t in plans.PLANS:
 QUERIES.update({
     "population_unique": q_population_unique,
     "population_window": q_population_window,
+    "population_join": q_population_join,
     "diagnoses_by_register": q_diagnoses_by_register,
     "diagnoses_pair_profile": q_diagnoses_pair_profile,
     "income_sorted": q_income_sorted,
@@ -419,6 +427,7 @@ for _t, (_sql, _regs) in CURATED_SQL.items():
 ORACLE.update({
     "population_unique": _with(["bef"]) + POPULATION_UNIQUE_SQL,
     "population_window": _with(["bef"]) + POPULATION_SQL,
+    "population_join": _with(["bef"]) + POPULATION_SQL,
     "diagnoses_by_register": _with(plans.diagnoses.INPUTS)
     + f"SELECT register, count(*) AS n FROM ({DIAGNOSES_ALL_SQL}) x GROUP BY register",
     "diagnoses_pair_profile": _oracle_pair_profile(),

@@ -4,15 +4,24 @@ Files are taken in name order; a row of a later file is kept only if its key
 did not occur in any earlier file. *All* rows of the key inside its first
 file stay (rank semantics, not row_number).
 
-Scale: the rows are never grouped into one task per key. The first file of
-each key is found by a partial (map-side) ``min`` aggregation -- a hot key
-costs one row per map task -- and the rows are then matched back with an
-equi-join on ``(key, first file)``. Rows of later files hash elsewhere and
-fall out of the join; the rows of a hot key inside its first file form one
-skewed join partition, which AQE's skew-join splits into map-range chunks
-(the other side holds one row per key). The window form (``rank`` over
-``partitionBy(key)``) is kept as ``strategy="window"``: one shuffle and a
-partial ``WindowGroupLimit``, but a hot key's group lands in one task.
+Two physical forms:
+
+* ``"join"`` never groups a key's rows into one task. The first file of each
+  key comes from a partial (map-side) ``min`` aggregation -- a hot key costs
+  one row per map task -- and the rows are matched back with an equi-join
+  on ``(key, first file)``. Rows of later files hash elsewhere and fall out
+  of the join; the rows of a hot key inside its first file form one skewed
+  join partition, which AQE's skew join splits into map-range chunks (the
+  other side holds one row per key).
+* ``"window"`` is ``rank`` over ``partitionBy(key)``: one shuffle of the rows
+  (with a partial ``WindowGroupLimit``), about 1.5x faster than the join
+  when no key is large (20M rows, 2M keys, local[8]) -- but every key's
+  group is processed by one task.
+
+``"auto"`` (the default) measures the largest group with one aggregate over
+the key column alone (partial counts, a one-row result) and takes the
+window form only when that group is at most ``max_group_rows``; otherwise
+the join form. A group in one task is therefore always bounded.
 """
 
 from __future__ import annotations
@@ -21,8 +30,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Rows of the largest key group: reads the key column only."""
+    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return int(top or 0)
+
+
 def first_file_wins(df: DataFrame, key: str, order: str = "source_file",
-                    strategy: str = "join") -> DataFrame:
+                    strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, key) <= max_group_rows else "join"
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(F.col(order))
         return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")

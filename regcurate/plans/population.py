@@ -1,7 +1,8 @@
 """T-7 population (register ``bef``): first file wins.
 
 drop empty person ids -> rename -> recode gender -> keep the rows of each
-person's first file (all of them; see :mod:`regcurate.operators.dedup`).
+person's first file (all of them; see :mod:`regcurate.operators.dedup` for
+the adaptive choice between the window and the skew-safe join form).
 The covered period is taken *before* the dedup, over all kept-key rows.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.columns import non_empty, recode_gender
-from ..operators.dedup import first_file_wins, one_row_per_key
+from ..operators.dedup import MAX_GROUP_ROWS, first_file_wins, largest_group, one_row_per_key
 from ..specs.curated import POPULATION_RENAMES, table
 from ._common import renamed, select_contract
 
@@ -25,10 +26,13 @@ def candidates(bef: DataFrame) -> DataFrame:
     return select_contract(bef.where(non_empty("PNR")), SPEC, exprs)
 
 
-def build(bef: DataFrame, strategy: str = "join", observe=None) -> DataFrame:
+def build(bef: DataFrame, strategy: str = "auto", observe=None) -> DataFrame:
     """``observe=(Observation, [metrics])`` is evaluated on the candidates --
     where the covered period is defined -- in the same pass as the table."""
     cands = candidates(bef)
+    if strategy == "auto":          # decided before the observation is attached
+        strategy = ("window" if largest_group(cands, "person_id") <= MAX_GROUP_ROWS
+                    else "join")
     if observe is not None:
         obs, metrics = observe
         cands = cands.observe(obs, *metrics)

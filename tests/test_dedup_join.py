@@ -32,12 +32,13 @@ def test_first_file_wins_keeps_all_rows_of_first_file(spark, strategy):
     assert rows(uniq, "person_id", "born_at") == [("7", "1970-01-02"), ("8", "1980-01-01")]
 
 
-def test_hot_key_is_exact(spark):
+@pytest.mark.parametrize("strategy", ["auto", "join", "window"])
+def test_hot_key_is_exact(spark, strategy):
     # one key holds a third of the rows, spread over files: result stays whole
     data = [("hot", f"f{i % 3}", i) for i in range(3000)] + \
            [(f"k{i}", f"f{i % 2}", i) for i in range(6000)]
     df = spark.createDataFrame(data, "k string, source_file string, v int")
-    got = first_file_wins(df, "k")
+    got = first_file_wins(df, "k", strategy=strategy)
     assert got.where("k = 'hot'").count() == 1000
     assert got.where("k <> 'hot'").count() == 6000
     assert one_row_per_key(df, "k").count() == 6001

@@ -69,9 +69,12 @@ def test_diagnoses_is_one_join_with_one_shuffle_per_side(spark, landed, no_broad
 
 
 def test_population_first_file_wins_shape(spark, landed, no_broadcast):
-    df = plans.build("population", landed)
-    plan = _plan(df)
+    join = plans.population.build(landed["bef"], strategy="join")
+    plan = _plan(join)
     assert plan.count("SortMergeJoin") == 1
     assert "partial_min" in plan            # map-side pre-aggregation of the first file
     assert "Window" not in plan
+    # no large group here: the adaptive default takes the one-shuffle window form
+    auto = plans.build("population", landed)
+    assert "Window" in _plan(auto) and _exchanges(auto) == 1
     assert _exchanges(plans.population.build_unique(landed["bef"])) == 1

@@ -26,7 +26,7 @@ def test_hot_key_join_is_split_and_exact(spark):
              .alias("person_id"),
             F.concat(F.lit("bef"), (1990 + F.col("id") % 4).cast("string")).alias("source_file"),
             F.col("id").cast("string").alias("payload"))
-        out = first_file_wins(df, "person_id")
+        out = first_file_wins(df, "person_id", strategy="join")
         got = out.groupBy(F.col("person_id") == "hot").count().collect()
         assert {r[0]: r[1] for r in got} == {True: 50_000, False: 400_000}
         out.collect()
@@ -91,3 +91,15 @@ def test_hot_record_id_in_diagnoses_join_is_split_and_exact(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_auto_strategy_bounds_the_group_in_one_task(spark):
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise(F.format_string("k%05d", F.col("id") % 5_000)).alias("k"),
+        F.format_string("f%02d", F.col("id") % 4).alias("source_file"))
+    small = first_file_wins(df, "k", max_group_rows=1_000)       # hot group: 10,000 rows
+    large = first_file_wins(df, "k", max_group_rows=1_000_000)
+    assert "Window" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in large._jdf.queryExecution().optimizedPlan().toString()
+    assert small.count() == large.count() == 2_500 + 20_000
