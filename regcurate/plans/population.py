@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.columns import non_empty, recode_gender
-from ..operators.dedup import MAX_GROUP_ROWS, first_file_wins, largest_group, one_row_per_key
+from ..operators.dedup import MAX_GROUP_ROWS, choose_strategy, first_file_wins, one_row_per_key
 from ..specs.curated import POPULATION_RENAMES, table
 from ._common import renamed, select_contract
 
@@ -31,8 +31,7 @@ def build(bef: DataFrame, strategy: str = "auto", observe=None) -> DataFrame:
     where the covered period is defined -- in the same pass as the table."""
     cands = candidates(bef)
     if strategy == "auto":          # decided before the observation is attached
-        strategy = ("window" if largest_group(cands, "person_id") <= MAX_GROUP_ROWS
-                    else "join")
+        strategy = choose_strategy(cands, "person_id", MAX_GROUP_ROWS)
     if observe is not None:
         obs, metrics = observe
         cands = cands.observe(obs, *metrics)

@@ -98,8 +98,18 @@ def test_auto_strategy_bounds_the_group_in_one_task(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
          .otherwise(F.format_string("k%05d", F.col("id") % 5_000)).alias("k"),
         F.format_string("f%02d", F.col("id") % 4).alias("source_file"))
-    small = first_file_wins(df, "k", max_group_rows=1_000)       # hot group: 10,000 rows
+    small = first_file_wins(df, "k", max_group_rows=4_000)       # hot group: 10,000 rows
     large = first_file_wins(df, "k", max_group_rows=1_000_000)
     assert "Window" not in small._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" in large._jdf.queryExecution().optimizedPlan().toString()
     assert small.count() == large.count() == 2_500 + 20_000
+
+
+def test_largest_group_estimate(spark):
+    from regcurate.operators.dedup import largest_group
+    df = spark.range(400_000).select(
+        F.when(F.col("id") % 4 == 0, F.lit("hot"))
+         .otherwise((F.col("id") % 50_000).cast("string")).alias("k"))
+    est = largest_group(df, "k")
+    assert 90_000 < est < 110_000                    # true size 100,000
+    assert largest_group(df, "k", fraction=1.0) == 100_000
