@@ -9,18 +9,20 @@ Two physical forms:
 * ``"join"`` never groups a key's rows into one task. The first file of each
   key comes from a partial (map-side) ``min`` aggregation -- a hot key costs
   one row per map task -- and the rows are matched back with an equi-join
-  on ``(key, first file)``. Rows of later files hash elsewhere and fall out
-  of the join; the rows of a hot key inside its first file form one skewed
-  join partition, which AQE's skew join splits into map-range chunks (the
-  other side holds one row per key).
+  on ``(key, first file, salt)``. Rows of later files hash elsewhere and fall
+  out of the join. Hot keys (found in a sample, see :func:`hot_keys`) are
+  salted: each hot row gets a deterministic salt from a hash of the row, and
+  the key's single first-file row is repeated once per salt, so the hot
+  key's rows spread over ``ceil(rows / rows_per_task)`` tasks. Keys that are
+  not hot keep salt 0 (no repetition). AQE's skew join stays on as a second
+  line for skew the sample cannot see.
 * ``"window"`` is ``rank`` over ``partitionBy(key)``: one shuffle of the rows
   (with a partial ``WindowGroupLimit``), about 1.5x faster than the join
   when no key is large (20M rows, 2M keys, local[8]) -- but every key's
   group is processed by one task.
 
-``"auto"`` (the default) estimates the largest group from a 1% sample of the
-key column and takes the window form only when that group is well below
-``max_group_rows``; otherwise the join form. A group in one task is
+``"auto"`` (the default) samples the key column once: without a hot key it
+takes the window form, otherwise the salted join. A group in one task is
 therefore bounded.
 """
 
@@ -29,40 +31,85 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 5_000_000     # rows of one key a single task may hold
+ROWS_PER_TASK = 1_000_000      # target rows per salt bucket of a hot key
 SAMPLE_FRACTION = 0.01
 
 
+def _key_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Seeded Bernoulli sample of the key column (deterministic on a retried
+    task); its shuffle is ``fraction`` of one column."""
+    keys = df.select(F.col(key).alias("_hot_key"))
+    return keys.sample(fraction=fraction, seed=17) if fraction < 1 else keys
+
+
 def largest_group(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION) -> float:
-    """Estimated rows of the largest key group, from a seeded Bernoulli sample
-    of the key column (deterministic on a retried task). A group near the
-    one-task bound (millions of rows) shows up as tens of thousands of
-    sampled rows, so the estimate is tight where the decision matters; the
-    shuffle is ``fraction`` of the key column."""
-    sample = df.select(key).sample(fraction=fraction, seed=17) if fraction < 1 else df.select(key)
-    top = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    """Estimated rows of the largest key group. A group near the one-task
+    bound (millions of rows) shows up as tens of thousands of sampled rows,
+    so the estimate is tight where decisions are taken."""
+    top = (_key_sample(df, key, fraction).groupBy("_hot_key").count()
+           .agg(F.max("count")).first()[0])
     return float(top or 0) / min(fraction, 1.0)
 
 
+def hot_keys(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS,
+             fraction: float = SAMPLE_FRACTION) -> list[tuple]:
+    """``[(key, estimated rows)]`` for keys estimated at half the one-task
+    bound or more (half: a margin for the sampling error).
+
+    Bounded: at most ``2 * rows / max_group_rows`` keys can qualify, so the
+    list (and the table broadcast from it) stays small whatever the input."""
+    fraction = min(fraction, 1.0)
+    cut = (max_group_rows / 2) * fraction
+    found = (_key_sample(df, key, fraction).groupBy("_hot_key").count()
+             .where(F.col("count") >= F.lit(cut)).collect())
+    return [(r["_hot_key"], r["count"] / fraction) for r in found]
+
+
 def choose_strategy(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> str:
-    """``window`` when the largest group is estimated well below the bound
-    (under half of it, a margin for the sampling error), else ``join``."""
-    return "window" if largest_group(df, key) < max_group_rows / 2 else "join"
+    """``window`` when no key is estimated near the bound, else ``join``."""
+    return "join" if hot_keys(df, key, max_group_rows) else "window"
+
+
+def _salt_table(spark, hot: list[tuple], key_type, rows_per_task: int) -> DataFrame:
+    data = [(k, max(1, -(-int(n) // rows_per_task))) for k, n in hot]
+    schema = f"_hot_key {key_type.simpleString()}, _salts int"
+    return spark.createDataFrame(data, schema)
 
 
 def first_file_wins(df: DataFrame, key: str, order: str = "source_file",
-                    strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                    strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS,
+                    rows_per_task: int = ROWS_PER_TASK, hot: list | None = None) -> DataFrame:
+    """``hot`` may pass the result of :func:`hot_keys` when it is known."""
+    if strategy in ("auto", "join") and hot is None:
+        hot = hot_keys(df, key, max_group_rows)
     if strategy == "auto":
-        strategy = choose_strategy(df, key, max_group_rows)
+        strategy = "join" if hot else "window"
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(F.col(order))
         return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
     if strategy != "join":
         raise ValueError(strategy)
+
     firsts = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
-    cond = (F.col(key).eqNullSafe(F.col("_key"))) & (F.col(order).eqNullSafe(F.col("_first")))
-    return df.join(firsts, cond, "inner").drop("_key", "_first")
+    cond = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_first"))
+    if not hot:
+        return df.join(firsts, cond, "inner").drop("_key", "_first")
+
+    # salt the hot keys: a size-bounded table (see hot_keys) is broadcast
+    salts = F.broadcast(_salt_table(df.sparkSession, hot, df.schema[key].dataType,
+                                    rows_per_task))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    rows = (df.join(salts, F.col(key) == F.col("_hot_key"), "left")
+            .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                        .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
+            .drop("_hot_key", "_salts"))
+    firsts = (firsts.join(salts, F.col("_key") == F.col("_hot_key"), "left")
+              .withColumn("_fsalt", F.explode(F.sequence(
+                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
+              .drop("_hot_key", "_salts"))
+    cond = cond & (F.col("_salt") == F.col("_fsalt"))
+    return rows.join(firsts, cond, "inner").select(*[F.col(c) for c in df.columns])
 
 
 def one_row_per_key(df: DataFrame, key: str, order: str = "source_file") -> DataFrame:

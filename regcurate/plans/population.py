@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.columns import non_empty, recode_gender
-from ..operators.dedup import MAX_GROUP_ROWS, choose_strategy, first_file_wins, one_row_per_key
+from ..operators.dedup import MAX_GROUP_ROWS, first_file_wins, hot_keys, one_row_per_key
 from ..specs.curated import POPULATION_RENAMES, table
 from ._common import renamed, select_contract
 
@@ -30,12 +30,15 @@ def build(bef: DataFrame, strategy: str = "auto", observe=None) -> DataFrame:
     """``observe=(Observation, [metrics])`` is evaluated on the candidates --
     where the covered period is defined -- in the same pass as the table."""
     cands = candidates(bef)
-    if strategy == "auto":          # decided before the observation is attached
-        strategy = choose_strategy(cands, "person_id", MAX_GROUP_ROWS)
+    hot = None
+    if strategy in ("auto", "join"):   # sampled before the observation is attached
+        hot = hot_keys(cands, "person_id", MAX_GROUP_ROWS)
+        if strategy == "auto":
+            strategy = "join" if hot else "window"
     if observe is not None:
         obs, metrics = observe
         cands = cands.observe(obs, *metrics)
-    return first_file_wins(cands, "person_id", "source_file", strategy)
+    return first_file_wins(cands, "person_id", "source_file", strategy, hot=hot)
 
 
 def build_unique(bef: DataFrame) -> DataFrame:

@@ -32,6 +32,9 @@ def test_first_file_wins_equals_brute_force(spark, data):
     expected = _brute_first_file(data)
     assert rows(first_file_wins(df, "k")) == expected
     assert rows(first_file_wins(df, "k", strategy="window")) == expected
+    # every sampled key is "hot" at this bound: the fully salted join
+    assert rows(first_file_wins(df, "k", strategy="join", max_group_rows=2,
+                                rows_per_task=1)) == expected
 
 
 @SETTINGS

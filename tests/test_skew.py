@@ -113,3 +113,34 @@ def test_largest_group_estimate(spark):
     est = largest_group(df, "k")
     assert 90_000 < est < 110_000                    # true size 100,000
     assert largest_group(df, "k", fraction=1.0) == 100_000
+
+
+def test_salted_join_spreads_a_hot_key_without_aqe(spark):
+    """With AQE's skew join off, the salted join still splits the hot key."""
+    saved = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(120_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot"))
+             .otherwise(F.format_string("k%05d", F.col("id") % 20_000)).alias("k"),
+            F.when(F.col("id") % 3 == 0, F.lit("f1"))
+             .otherwise(F.format_string("f%d", F.col("id") % 4)).alias("source_file"),
+            F.col("id").alias("v"))
+        from regcurate.operators.dedup import hot_keys
+        hot = hot_keys(df, "k", max_group_rows=10_000)
+        assert [h[0] for h in hot] == ["hot"]
+        out = first_file_wins(df, "k", strategy="join", max_group_rows=10_000,
+                              rows_per_task=4_000)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in plan
+        per_salt = out.where("k = 'hot'").withColumn("p", F.spark_partition_id()) \
+            .groupBy("p").count().collect()
+        assert len(per_salt) > 1                         # hot rows over several tasks
+        plain = first_file_wins(df, "k", strategy="window")
+        assert sorted(out.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", saved)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
