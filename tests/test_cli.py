@@ -35,3 +35,30 @@ def test_cli_run_and_summarise(spark, tmp_path, capsys):
     capsys.readouterr()
     summary = spark.read.option("header", "true").csv(str(tmp_path / "summary"))
     assert sum(int(r.n) for r in summary.collect()) == emp.count()
+
+
+def test_run_on_existing_stage1_csv_folder(spark, tmp_path, capsys):
+    """Stage-1 CSV outputs in one folder (dated and undated side by side,
+    each carrying source_file with the original extract name, NA for
+    missing values) can be curated directly."""
+    stage1, out = tmp_path / "stage1", tmp_path / "out"
+    stage1.mkdir()
+    for name in ("bef", "ind", "patient_icd8"):
+        pdf = register_view(spark, SF_SMALL, name).toPandas()
+        for src, part in pdf.groupby("source_file"):
+            part.to_csv(stage1 / (src.rsplit(".", 1)[0] + ".csv"), index=False, na_rep="NA")
+    spec = {"stage1": {n: {"columns": list(REGISTERS[n].columns)}
+                       for n in ("bef", "ind", "patient_icd8")}}
+    spec_path = tmp_path / "spec.json"
+    spec_path.write_text(json.dumps(spec))
+    assert main(["run", str(spec_path), str(stage1), str(stage1), str(out),
+                 "--format", "csv"]) == 0
+    result = json.loads(capsys.readouterr().out)
+    assert set(result["stage2"]) >= {"income", "population", "diagnoses"}
+    inc = spark.read.parquet(str(out / "stage2" / "income"))
+    names = {r.source_file for r in inc.select("source_file").distinct().collect()}
+    assert names and all(n.endswith(".sas7bdat") for n in names)
+    assert "ind.sas7bdat" in names                      # the undated copy, tax_year null
+    assert inc.where("source_file = 'ind.sas7bdat' AND tax_year IS NOT NULL").count() == 0
+    expected = register_view(spark, SF_SMALL, "ind").where("PNR <> ''").count()
+    assert result["stage2"]["income"] == expected
