@@ -1,6 +1,7 @@
 """Command line, mirroring the pipeline's entry points.
 
-    python -m regcurate run <spec.json> <dated_dir> <undated_dir> <output_dir> [--format csv]
+    python -m regcurate run <spec.json> <dated_dir> <undated_dir> <output_dir>
+        [--format csv] [--output-format csv] [--incremental] [--sorted]
     python -m regcurate land <spec.json> <dated_dir> <undated_dir> <output_dir>
     python -m regcurate curate <output_dir>
     python -m regcurate summarise <column> <table_path> <output_path>
@@ -54,9 +55,12 @@ def main(argv=None) -> int:
                        help="format of the curated tables")
         s.add_argument("--incremental", action="store_true",
                        help="land only files not landed before (streaming checkpoint)")
+        s.add_argument("--sorted", action="store_true",
+                       help="write curated tables in their declared order")
     s = sub.add_parser("curate")
     s.add_argument("output_dir")
     s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
+    s.add_argument("--sorted", action="store_true")
     s = sub.add_parser("summarise")
     s.add_argument("column")
     s.add_argument("table")
@@ -73,13 +77,14 @@ def main(argv=None) -> int:
         result = {"stage1": landed}
         if args.cmd == "run":
             result["stage2"] = {k: v["size"] for k, v in curate(
-                spark, args.output_dir, landed, args.output_format, registers=specs).items()}
+                spark, args.output_dir, landed, args.output_format, args.sorted,
+                registers=specs).items()}
     elif args.cmd == "curate":
         root = os.path.join(args.output_dir, "stage1")
         landed = {n: os.path.join(root, n) for n in REGISTERS}
         landed = {n: p for n, p in landed.items() if _exists(spark, p)}
         result = {k: v["size"] for k, v in curate(spark, args.output_dir, landed,
-                                                  args.output_format).items()}
+                                                  args.output_format, args.sorted).items()}
     else:
         fmt = args.format or ("csv" if args.table.rstrip("/").endswith(".csv") else "parquet")
         reader = spark.read.option("header", "true") if fmt == "csv" else spark.read

@@ -79,8 +79,11 @@ def landed_bytes(spark: SparkSession, paths) -> int:
     return int(total or 0)
 
 
-def landed_inputs(spark: SparkSession, out: str, names) -> dict[str, DataFrame]:
-    return {n: read_landed(spark, os.path.join(out, "stage1", n), REGISTERS[n]) for n in names}
+def landed_inputs(spark: SparkSession, out: str, names,
+                  registers: dict[str, RegisterSpec] | None = None) -> dict[str, DataFrame]:
+    """The landed tables of ``names`` under ``out/stage1``."""
+    registers = REGISTERS if registers is None else registers
+    return {n: read_landed(spark, os.path.join(out, "stage1", n), registers[n]) for n in names}
 
 
 def curate(spark: SparkSession, out: str, landed: dict[str, str], fmt: str = "parquet",

@@ -24,12 +24,18 @@ def test_cli_run_and_summarise(spark, tmp_path, capsys):
             pq.write_table(pa.Table.from_pandas(part.drop(columns="source_file"),
                                                 preserve_index=False), folder / f"{stem}.parquet")
     assert main(["run", str(spec_path), str(dated), str(undated), str(out),
-                 "--output-format", "csv"]) == 0
+                 "--output-format", "csv", "--sorted"]) == 0
     result = json.loads(capsys.readouterr().out)
     assert set(result["stage1"]) == {"ras", "faik"}
     assert set(result["stage2"]) == {"employment", "family_income"}
     emp = spark.read.option("header", "true").csv(str(out / "stage2" / "employment"))
     assert emp.count() == result["stage2"]["employment"]
+    # --sorted: part files in name order hold person ids in ascending order
+    import glob as _glob
+    ids = []
+    for f in sorted(_glob.glob(str(out / "stage2" / "employment" / "part-*.csv"))):
+        ids += [r.person_id for r in spark.read.option("header", "true").csv(f).collect()]
+    assert ids == sorted(ids) and len(ids) == emp.count()
     assert main(["summarise", "status_source", str(out / "stage2" / "employment"),
                  str(tmp_path / "summary"), "--format", "csv"]) == 0
     capsys.readouterr()
