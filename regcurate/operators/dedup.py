@@ -14,8 +14,9 @@ Two physical forms:
   salted: each hot row gets a deterministic salt from a hash of the row, and
   the key's single first-file row is repeated once per salt, so the hot
   key's rows spread over ``ceil(rows / rows_per_task)`` tasks. Keys that are
-  not hot keep salt 0 (no repetition). AQE's skew join stays on as a second
-  line for skew the sample cannot see.
+  not hot keep salt 0 (no repetition). The salt table is broadcast only up
+  to ``MAX_HOT_KEYS`` entries; beyond, the join runs unsalted and AQE's skew
+  join (always on as a second line) splits the hot partitions.
 * ``"window"`` is ``rank`` over ``partitionBy(key)``: one shuffle of the rows
   (with a partial ``WindowGroupLimit``), about 1.5x faster than the join
   when no key is large (20M rows, 2M keys, local[8]) -- but every key's
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 MAX_GROUP_ROWS = 5_000_000     # rows of one key a single task may hold
 ROWS_PER_TASK = 1_000_000      # target rows per salt bucket of a hot key
 SAMPLE_FRACTION = 0.01
+MAX_HOT_KEYS = 100_000         # size check on the broadcast salt table
 
 
 def _key_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
@@ -96,7 +98,10 @@ def first_file_wins(df: DataFrame, key: str, order: str = "source_file",
     if not hot:
         return df.join(firsts, cond, "inner").drop("_key", "_first")
 
-    # salt the hot keys: a size-bounded table (see hot_keys) is broadcast
+    if len(hot) > MAX_HOT_KEYS:
+        # the broadcast would be too large: unsalted, AQE's skew join splits
+        return df.join(firsts, cond, "inner").drop("_key", "_first")
+    # salt the hot keys: a size-checked table (see hot_keys) is broadcast
     salts = F.broadcast(_salt_table(df.sparkSession, hot, df.schema[key].dataType,
                                     rows_per_task))
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
