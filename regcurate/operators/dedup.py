@@ -59,12 +59,13 @@ def hot_keys(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS,
     """``[(key, estimated rows)]`` for keys estimated at half the one-task
     bound or more (half: a margin for the sampling error).
 
-    Bounded: at most ``2 * rows / max_group_rows`` keys can qualify, so the
-    list (and the table broadcast from it) stays small whatever the input."""
+    Bounded: at most ``2 * rows / max_group_rows`` keys can qualify, and the
+    driver takes at most ``MAX_HOT_KEYS + 1`` of them (more means: do not
+    broadcast, see :func:`first_file_wins`)."""
     fraction = min(fraction, 1.0)
     cut = (max_group_rows / 2) * fraction
     found = (_key_sample(df, key, fraction).groupBy("_hot_key").count()
-             .where(F.col("count") >= F.lit(cut)).collect())
+             .where(F.col("count") >= F.lit(cut)).limit(MAX_HOT_KEYS + 1).collect())
     return [(r["_hot_key"], r["count"] / fraction) for r in found]
 
 
