@@ -10,7 +10,7 @@ Two physical forms:
   key comes from a partial (map-side) ``min`` aggregation -- a hot key costs
   one row per map task -- and the rows are matched back with an equi-join
   on ``(key, first file, salt)``. Rows of later files hash elsewhere and fall
-  out of the join. Hot keys (found in a sample, see :func:`hot_keys`) are
+  out of the join. Hot keys (found in a sample, see :func:`.skew.hot_keys`) are
   salted: each hot row gets a deterministic salt from a hash of the row, and
   the key's single first-file row is repeated once per salt, so the hot
   key's rows spread over ``ceil(rows / rows_per_task)`` tasks. Keys that are
@@ -32,50 +32,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 5_000_000     # rows of one key a single task may hold
-ROWS_PER_TASK = 1_000_000      # target rows per salt bucket of a hot key
-SAMPLE_FRACTION = 0.01
-MAX_HOT_KEYS = 100_000         # size check on the broadcast salt table
-
-
-def _key_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Seeded Bernoulli sample of the key column (deterministic on a retried
-    task); its shuffle is ``fraction`` of one column."""
-    keys = df.select(F.col(key).alias("_hot_key"))
-    return keys.sample(fraction=fraction, seed=17) if fraction < 1 else keys
+from .skew import (MAX_GROUP_ROWS, MAX_HOT_KEYS, ROWS_PER_TASK, SAMPLE_FRACTION, hot_keys,
+                   salt_counts)
 
+__all__ = ["MAX_GROUP_ROWS", "first_file_wins", "hot_keys", "largest_group",
+           "one_row_per_key", "choose_strategy"]
 
 def largest_group(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION) -> float:
-    """Estimated rows of the largest key group. A group near the one-task
-    bound (millions of rows) shows up as tens of thousands of sampled rows,
-    so the estimate is tight where decisions are taken."""
-    top = (_key_sample(df, key, fraction).groupBy("_hot_key").count()
-           .agg(F.max("count")).first()[0])
+    """Estimated rows of the largest key group (same seeded sample as
+    :func:`hot_keys`)."""
+    sample = df.select(key)
+    if fraction < 1:
+        sample = sample.sample(fraction=fraction, seed=17)
+    top = sample.groupBy(key).count().agg(F.max("count")).first()[0]
     return float(top or 0) / min(fraction, 1.0)
 
 
-def hot_keys(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS,
-             fraction: float = SAMPLE_FRACTION) -> list[tuple]:
-    """``[(key, estimated rows)]`` for keys estimated at half the one-task
-    bound or more (half: a margin for the sampling error).
-
-    Bounded: at most ``2 * rows / max_group_rows`` keys can qualify, and the
-    driver takes at most ``MAX_HOT_KEYS + 1`` of them (more means: do not
-    broadcast, see :func:`first_file_wins`)."""
-    fraction = min(fraction, 1.0)
-    cut = (max_group_rows / 2) * fraction
-    found = (_key_sample(df, key, fraction).groupBy("_hot_key").count()
-             .where(F.col("count") >= F.lit(cut)).limit(MAX_HOT_KEYS + 1).collect())
-    return [(r["_hot_key"], r["count"] / fraction) for r in found]
-
-
 def choose_strategy(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> str:
     """``window`` when no key is estimated near the bound, else ``join``."""
     return "join" if hot_keys(df, key, max_group_rows) else "window"
 
 
 def _salt_table(spark, hot: list[tuple], key_type, rows_per_task: int) -> DataFrame:
-    data = [(k, max(1, -(-int(n) // rows_per_task))) for k, n in hot]
+    data = [(k[0], n) for k, n in salt_counts(hot, rows_per_task)]
     schema = f"_hot_key {key_type.simpleString()}, _salts int"
     return spark.createDataFrame(data, schema)
 

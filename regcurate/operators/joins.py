@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import salted_join
+
 ALIGN_KEYS = ("register", "period", "record_id")
 
 
@@ -23,6 +25,11 @@ def normalise(df: DataFrame, renames: dict[str, str], register: str, period: F.C
                      F.col("source_file").alias(source_alias))
 
 
-def aligned_join(records: DataFrame, diagnoses: DataFrame, keys=ALIGN_KEYS) -> DataFrame:
-    """Inner equi-join, many-to-many, on the alignment keys."""
+def aligned_join(records: DataFrame, diagnoses: DataFrame, keys=ALIGN_KEYS,
+                 hot: list | None = None) -> DataFrame:
+    """Inner equi-join, many-to-many, on the alignment keys. ``hot`` (from
+    :func:`regcurate.operators.skew.hot_keys` on the diagnosis side) salts
+    those keys; without it the plain join runs (AQE splits skew)."""
+    if hot:
+        return salted_join(diagnoses, records, list(keys), hot=hot)
     return records.join(diagnoses, list(keys), "inner")

@@ -1,0 +1,70 @@
+"""Hot keys: find them in a sample, salt them in joins.
+
+A key (or key tuple) that holds a large share of the rows would put all of
+them into one task of a shuffle. :func:`hot_keys` finds such keys in a
+seeded Bernoulli sample of the key columns (deterministic on a retried
+task; its shuffle is ``fraction`` of the key columns). :func:`salted_join`
+spreads each hot key of the big side over ``ceil(rows / rows_per_task)``
+salt values by a deterministic row hash and repeats the small side's rows of
+that key once per salt; other keys keep salt 0 and are not repeated. The
+salt table is broadcast only within ``MAX_HOT_KEYS`` entries; beyond, the
+join runs unsalted and AQE's skew join (always on) splits hot partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_GROUP_ROWS = 5_000_000     # rows of one key a single task may hold
+ROWS_PER_TASK = 1_000_000      # target rows per salt value of a hot key
+SAMPLE_FRACTION = 0.01
+MAX_HOT_KEYS = 100_000         # size check on the broadcast salt table
+
+
+def hot_keys(df: DataFrame, keys, max_group_rows: int = MAX_GROUP_ROWS,
+             fraction: float = SAMPLE_FRACTION) -> list[tuple]:
+    """``[(key values tuple, estimated rows)]`` for keys estimated at half the
+    one-task bound or more (half: a margin for the sampling error).
+
+    At most ``2 * rows / max_group_rows`` keys can qualify, and the driver
+    takes at most ``MAX_HOT_KEYS + 1`` of them."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    fraction = min(fraction, 1.0)
+    sample = df.select(*keys)
+    if fraction < 1:
+        sample = sample.sample(fraction=fraction, seed=17)
+    cut = (max_group_rows / 2) * fraction
+    found = (sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") >= F.lit(cut)).limit(MAX_HOT_KEYS + 1).collect())
+    return [(tuple(r[k] for k in keys), r["_n"] / fraction) for r in found]
+
+
+def salt_counts(hot: list[tuple], rows_per_task: int = ROWS_PER_TASK) -> list[tuple]:
+    """``[(key values tuple, number of salt values)]``."""
+    return [(k, max(1, -(-int(n) // rows_per_task))) for k, n in hot]
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys, hot: list[tuple] | None = None,
+                max_group_rows: int = MAX_GROUP_ROWS,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Inner equi-join on ``keys`` (column names present on both sides) with
+    the hot keys of ``big`` salted. Same rows as ``big.join(small, keys)``."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if hot is None:
+        hot = hot_keys(big, keys, max_group_rows)
+    if not hot or len(hot) > MAX_HOT_KEYS:
+        return big.join(small, keys, "inner")
+    schema = ", ".join(f"`{k}` {big.schema[k].dataType.simpleString()}" for k in keys)
+    salts = F.broadcast(big.sparkSession.createDataFrame(
+        [(*k, n) for k, n in salt_counts(hot, rows_per_task)], f"{schema}, _salts int"))
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    big_s = (big.join(salts, keys, "left")
+             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
+             .drop("_salts"))
+    small_s = (small.join(salts, keys, "left")
+               .withColumn("_salt", F.explode(F.sequence(
+                   F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
+               .drop("_salts"))
+    return big_s.join(small_s, keys + ["_salt"], "inner").drop("_salt")

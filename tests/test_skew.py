@@ -130,7 +130,7 @@ def test_salted_join_spreads_a_hot_key_without_aqe(spark):
             F.col("id").alias("v"))
         from regcurate.operators.dedup import hot_keys
         hot = hot_keys(df, "k", max_group_rows=10_000)
-        assert [h[0] for h in hot] == ["hot"]
+        assert [h[0] for h in hot] == [("hot",)]
         out = first_file_wins(df, "k", strategy="join", max_group_rows=10_000,
                               rows_per_task=4_000)
         plan = out._jdf.queryExecution().optimizedPlan().toString()
@@ -144,3 +144,35 @@ def test_salted_join_spreads_a_hot_key_without_aqe(spark):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", saved)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_salted_many_to_many_join_equals_plain_join(spark):
+    """Diagnoses-style join: a hot record id on the many side is salted; the
+    rows equal the plain join (the one-side rows are repeated per salt)."""
+    from regcurate.operators.joins import aligned_join
+    from regcurate.operators.skew import hot_keys, salted_join
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rec = spark.range(3_000).select(
+            F.lit("lpr2").alias("register"), F.lit("1990").alias("period"),
+            (F.col("id") % 1_000).cast("string").alias("record_id"),
+            F.concat(F.lit("p"), F.col("id").cast("string")).alias("person_id"))
+        dia = spark.range(60_000).select(
+            F.lit("lpr2").alias("register"), F.lit("1990").alias("period"),
+            F.when(F.col("id") % 2 == 0, F.lit("7"))
+             .otherwise((F.col("id") % 1_000).cast("string")).alias("record_id"),
+            F.col("id").cast("string").alias("diagnosis_id"))
+        keys = ["register", "period", "record_id"]
+        hot = hot_keys(dia, keys, max_group_rows=20_000, fraction=0.05)
+        assert [h[0] for h in hot] == [("lpr2", "1990", "7")]
+        salted = salted_join(dia, rec, keys, hot=hot, rows_per_task=5_000)
+        plain = rec.join(dia, keys, "inner")
+        cols = ["register", "period", "record_id", "person_id", "diagnosis_id"]
+        assert sorted(salted.select(cols).collect()) == sorted(plain.select(cols).collect())
+        assert salted.count() == 3 * 60_000                 # every diagnosis meets 3 records
+        parts = salted.where("record_id = '7'").select(F.spark_partition_id()).distinct()
+        assert parts.count() > 1
+        via_plan = aligned_join(rec, dia, hot=hot)
+        assert via_plan.count() == plain.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
