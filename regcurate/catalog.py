@@ -74,7 +74,8 @@ def q_population_window(spark, sf_dir):
 def q_population_join(spark, sf_dir):
     """Population through the skew-safe form of first-file-wins: partial
     ``min`` of the first file per person, equi-join back on (person, first
-    file); a hot person is split by AQE's skew join."""
+    file, salt). Persons found hot in a 1% sample are salted over several
+    tasks; AQE's skew join splits what the sample misses."""
     return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="join")
 
 
