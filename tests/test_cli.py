@@ -68,3 +68,34 @@ def test_run_on_existing_stage1_csv_folder(spark, tmp_path, capsys):
     assert inc.where("source_file = 'ind.sas7bdat' AND tax_year IS NOT NULL").count() == 0
     expected = register_view(spark, SF_SMALL, "ind").where("PNR <> ''").count()
     assert result["stage2"]["income"] == expected
+
+
+def test_cli_incremental_land_then_curate(spark, tmp_path, capsys):
+    dated, undated, out = tmp_path / "grund", tmp_path / "external", tmp_path / "out"
+    dated.mkdir()
+    undated.mkdir()
+    spec = {"stage1": {"faik": {"columns": list(REGISTERS["faik"].columns)}}}
+    spec_path = tmp_path / "spec.json"
+    spec_path.write_text(json.dumps(spec))
+    pdf = register_view(spark, SF_SMALL, "faik").toPandas()
+    groups = sorted(pdf.groupby("source_file"), key=lambda g: g[0])
+    half = len(groups) // 2
+
+    def write(parts):
+        for src, part in parts:
+            pq.write_table(pa.Table.from_pandas(part.drop(columns="source_file"),
+                                                preserve_index=False),
+                           dated / (src.rsplit(".", 1)[0] + ".parquet"))
+
+    args = ["land", str(spec_path), str(dated), str(undated), str(out), "--incremental"]
+    write(groups[:half])
+    assert main(args) == 0
+    capsys.readouterr()
+    write(groups[half:])
+    assert main(args) == 0                     # lands only the new files
+    assert main(args) == 0                     # nothing new: no rows added
+    capsys.readouterr()
+    assert main(["curate", str(out)]) == 0
+    result = json.loads(capsys.readouterr().out)
+    expected = register_view(spark, SF_SMALL, "faik").where("FAMILIE_ID <> ''").count()
+    assert result == {"family_income": expected}
