@@ -20,7 +20,7 @@ from ..session import size_shuffle_partitions
 from ..sinks.writers import write_curated, write_landed
 from ..sources.files import land_folder, list_files, read_landed
 from ..specs.registers import REGISTERS, RegisterSpec
-from ..streaming.landing import land_folders_available_now
+from ..streaming.landing import land_csv_available_now, land_folders_available_now
 from . import PLANS, MULTI_INPUT
 
 
@@ -49,11 +49,16 @@ def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, ou
             has_dated = spec.dated and _has_files(spark, dated_dir, f"{name}*.{ext}")
             has_undated = _has_files(spark, undated_dir, f"{name}.{ext}")
             path = os.path.join(out, "stage1", name)
-            if has_dated or has_undated:
+            ckpt = os.path.join(out, "_checkpoints", "stage1", name)
+            if (has_dated or has_undated) and fmt == "csv":
+                # header layouts may drift between years: a file-path stream
+                # feeds the layout-aware batch reader
+                land_csv_available_now(spark, dated_dir if has_dated else None,
+                                       undated_dir if has_undated else None, spec, path, ckpt)
+            elif has_dated or has_undated:
                 land_folders_available_now(
                     spark, dated_dir if has_dated else None,
-                    undated_dir if has_undated else None, spec, path,
-                    os.path.join(out, "_checkpoints", "stage1", name), fmt)
+                    undated_dir if has_undated else None, spec, path, ckpt, fmt)
             if has_dated or has_undated or _has_files(spark, path, "*"):
                 done[name] = path
         return done

@@ -125,6 +125,15 @@ def read_csv_register(spark: SparkSession, root: str, spec: RegisterSpec,
         return df.select(*spec.columns, _provenance())
 
     files = register_files(spark, root, dated, {spec.name: spec}, glob)
+    return read_csv_files(spark, files, spec, null_value)
+
+
+def read_csv_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec,
+                   null_value: str = "NA") -> DataFrame:
+    """CSV files listed in ``files`` (a ``path`` column), one scan per header
+    layout, unioned by name into the spec's columns + ``source_file``."""
+    reader = (spark.read.option("header", "true").option("nullValue", null_value)
+              .option("mode", "FAILFAST"))
     # one row per file: bounded by the number of files, like Spark's own file index
     layouts: dict[str, list[str]] = {}
     for row in csv_layouts(spark, files).collect():

@@ -91,3 +91,55 @@ def land_folders_available_now(spark: SparkSession, dated_dir: str | None,
     if query.exception() is not None:
         raise query.exception()
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+_BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def land_csv_available_now(spark: SparkSession, dated_dir: str | None,
+                           undated_dir: str | None, spec: RegisterSpec, out_path: str,
+                           checkpoint: str, null_value: str = "NA") -> int:
+    """Incremental CSV landing that survives header drift between years.
+
+    A streaming ``binaryFile`` source over each folder yields the paths of
+    files not seen before (``content`` is not selected, so no bytes are read
+    by the stream); each micro-batch lands exactly those files with the batch
+    reader, which groups files by header layout. The write replaces the
+    periods of the batch (dynamic partition overwrite), so a retried batch
+    leaves no duplicate rows. Returns the number of files landed."""
+    from ..sinks.writers import write_landed
+    from ..sources.files import read_csv_files
+
+    streams = []
+    for folder, dated in ((dated_dir, True), (undated_dir, False)):
+        if not folder or (dated and not spec.dated):
+            continue
+        glob = f"{spec.name}*.csv" if dated else f"{spec.name}.csv"
+        paths = (spark.readStream.format("binaryFile").schema(_BINARY_FILE_SCHEMA)
+                 .option("pathGlobFilter", glob).load(folder).select("path"))
+        name = F.element_at(F.split("path", "/"), -1)
+        streams.append(paths.where(dataset_from_file_name(name, dated) == F.lit(spec.name))
+                       .withColumn("_dated", F.lit(dated)))
+    if not streams:
+        return 0
+    files = streams[0]
+    for s in streams[1:]:
+        files = files.unionByName(s)
+    landed_files = []
+
+    def land_batch(batch, _epoch):
+        for dated in (True, False):
+            part = batch.where(F.col("_dated") == F.lit(dated)).select("path")
+            if part.isEmpty():
+                continue
+            rows = read_csv_files(batch.sparkSession, part, spec, null_value)
+            landed = land_register(rows, spec)
+            write_landed(landed, out_path)
+            landed_files.append(part.count())
+
+    query = (files.writeStream.foreachBatch(land_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return sum(landed_files)

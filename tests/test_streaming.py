@@ -51,3 +51,26 @@ def test_incremental_pipeline_lands_new_files_only(spark, tmp_path):
         {"0": 2, "2001": 3, "2002": 4}
     side = curate(spark, str(out), landed, registers=regs)["employment"]
     assert side["size"] == 9 and side["period"]["first"] == "2001"
+
+
+def test_incremental_csv_landing_survives_header_drift(spark, tmp_path):
+    from regcurate.streaming.landing import land_csv_available_now
+    src, out, ckpt = tmp_path / "src", tmp_path / "out", tmp_path / "ckpt"
+    src.mkdir()
+    spec = REGISTERS["faik"]
+    cols = list(spec.columns)
+    (src / "faik2001.csv").write_text(",".join(cols) + "\n" + ",".join(f"a{c}" for c in cols)
+                                      + "\n")
+    rev = cols[::-1]
+    (src / "faik2002.csv").write_text(",".join(rev) + "\n" + ",".join(f"b{c}" for c in rev)
+                                      + "\n")
+    assert land_csv_available_now(spark, str(src), None, spec, str(out), str(ckpt)) == 2
+    assert land_csv_available_now(spark, str(src), None, spec, str(out), str(ckpt)) == 0
+    (src / "faik2003.csv").write_text(",".join(cols) + "\n" + ",".join(f"c{c}" for c in cols)
+                                      + "\n")
+    assert land_csv_available_now(spark, str(src), None, spec, str(out), str(ckpt)) == 1
+    table = read_landed(spark, str(out), spec)
+    got = {r.period: (r.FAMILIE_ID, r.FAMTYPE, r.source_file) for r in table.collect()}
+    assert got == {"2001": ("aFAMILIE_ID", "aFAMTYPE", "faik2001.csv"),
+                   "2002": ("bFAMILIE_ID", "bFAMTYPE", "faik2002.csv"),
+                   "2003": ("cFAMILIE_ID", "cFAMTYPE", "faik2003.csv")}
