@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.landing import union_all
 from ..session import size_shuffle_partitions
 from ..sinks.writers import write_curated, write_landed
-from ..sources.files import land_folder, list_files, read_landed
+from ..sources.files import land_folder, list_files, read_landed, register_files
 from ..specs.registers import REGISTERS, RegisterSpec
 from ..streaming.landing import land_csv_available_now, land_folders_available_now
 from . import PLANS, MULTI_INPUT
@@ -33,6 +33,19 @@ def _has_files(spark: SparkSession, root: str | None, glob: str) -> bool:
         return False
 
 
+def _present(spark: SparkSession, root: str | None, dated: bool, ext: str,
+             registers: dict[str, RegisterSpec]) -> set[str]:
+    """Registers with at least one file in ``root``: one listing per folder,
+    reduced to the distinct register names (at most one per spec entry)."""
+    if not root:
+        return set()
+    try:
+        files = register_files(spark, root, dated, registers, f"*.{ext}")
+        return {r["dataset"] for r in files.select("dataset").distinct().collect()}
+    except Exception:  # folder absent
+        return set()
+
+
 def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, out: str,
          fmt: str = "parquet", registers: dict[str, RegisterSpec] | None = None,
          incremental: bool = False) -> dict:
@@ -43,11 +56,13 @@ def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, ou
     file adds nothing. Use one mode per output folder."""
     registers = REGISTERS if registers is None else registers
     ext = "csv" if fmt == "csv" else "parquet"
+    in_dated = _present(spark, dated_dir, True, ext, registers)
+    in_undated = _present(spark, undated_dir, False, ext, registers)
     done = {}
     if incremental:
         for name, spec in registers.items():
-            has_dated = spec.dated and _has_files(spark, dated_dir, f"{name}*.{ext}")
-            has_undated = _has_files(spark, undated_dir, f"{name}.{ext}")
+            has_dated = spec.dated and name in in_dated
+            has_undated = name in in_undated
             path = os.path.join(out, "stage1", name)
             ckpt = os.path.join(out, "_checkpoints", "stage1", name)
             if (has_dated or has_undated) and fmt == "csv":
@@ -64,9 +79,9 @@ def land(spark: SparkSession, dated_dir: str | None, undated_dir: str | None, ou
         return done
     for name, spec in registers.items():
         frames = []
-        if spec.dated and _has_files(spark, dated_dir, f"{name}*.{ext}"):
+        if spec.dated and name in in_dated:
             frames.append(land_folder(spark, dated_dir, spec, fmt, dated=True))
-        if _has_files(spark, undated_dir, f"{name}.{ext}"):
+        if name in in_undated:
             frames.append(land_folder(spark, undated_dir, spec, fmt, dated=False))
         if not frames:
             continue
