@@ -104,6 +104,10 @@ def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
     assert side["size"] == inc.count() > 0
     assert side["period"]["first"] <= side["period"]["last"]
     assert list(side["columns"]) == inc.columns
+    pid = side["columns"]["person_id"]
+    assert pid["index"] == 0 and pid["nullable"] is False
+    assert pid["relations"] == [{"kind": "originates_from", "target": "urn:column:dst:IND:PNR"}]
+    assert side["columns"]["income_social_contrib"]["index"] == 5
     # undated ind copy lands with period 0 and gives a null tax year
     assert inc.where("tax_year IS NULL").count() == \
         inc.where("source_file = 'ind.parquet'").count()
@@ -120,6 +124,10 @@ def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
     b = diagnoses.records(inputs).agg(F.min("starts_at"), F.max("ends_at")).first()
     assert (diag_side["period"]["first"], diag_side["period"]["last"]) == (b[0], b[1])
     pop_side = json.load(open(str(out / "stage2" / "population_metadata.json")))
+    assert pop_side["columns"]["gender"]["enum"] == [{"value": "m"}, {"value": "f"}]
+    assert pop_side["columns"]["born_at"]["format"] == "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+    assert diag_side["sorted_by"] == ["person_id", "record_id"]
+    assert diag_side["columns"]["ends_at"]["nullable"] is True
     b = population.candidates(inputs["bef"]).agg(F.min("born_at"), F.max("born_at")).first()
     assert (pop_side["period"]["first"], pop_side["period"]["last"]) == (b[0], b[1])
     assert pop_side["size"] == spark.read.parquet(str(out / "stage2" / "population")).count()
