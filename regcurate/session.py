@@ -7,7 +7,9 @@ is unset (tests, bench) and never override cluster settings.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -106,3 +108,20 @@ def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes,
                                                                               128 << 20)))
     return n
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers: a zip of
+    it is added to the running application, once. Nothing is done if the package
+    itself came in an archive (``--py-files``) or on a Connect session, where
+    the client adds it as an artifact."""
+    here, sc = Path(__file__).resolve().parent, _context(spark)
+    if sc is None or not here.is_dir() or sc.applicationId in _SHIPPED:
+        return
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="regcurate-code-"))
+    shutil.copytree(here, f"{folder}/src/{here.name}", ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(f"{folder}/{here.name}", "zip", f"{folder}/src"))
+    _SHIPPED.add(sc.applicationId)
