@@ -3,10 +3,12 @@ parameters, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regcurate.llm import fixity, quality_rules, sharding, url_lists
+from regcurate.llm import (classifier, decontaminate, fixity, jaccard, packing, quality_rules,
+                           sharding, token_files, url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +84,13 @@ from b left join cut c on b.lang is not distinct from c.lang
 """
 
 
+# --- 2 classifier -------------------------------------------------------------
+
+def op2_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels not held out."""
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 # --- 3 sharding ---------------------------------------------------------------
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +139,7 @@ def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 5 URL lists --------------------------------------------------------------
 
-def _captures_sql(hour: str = "") -> str:
+def _captures_sql() -> str:
     return "select page_id, url, date '2024-01-01' + cast((page_id * 37) % 366 as int) as fetched_on"
 
 
@@ -184,11 +193,49 @@ from captures c left join hits using (page_id)
 """
 
 
+# --- 6 token files ------------------------------------------------------------
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files and read back, frame by frame. The
+    vocabulary has fewer than 2**16 ids, so the files hold 16-bit ids."""
+    return token_files.encode_and_read(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2, dtype="<u2")
+
+
+# --- 8 packing ----------------------------------------------------------------
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"), end_id=0, length=1024)
+
+
+# --- 9 Jaccard join -----------------------------------------------------------
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document at similarity 0.8."""
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
+# --- 10 decontamination -------------------------------------------------------
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document within its error budget."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_classifier": op2_classifier,
     "op3_sharding": op3_sharding,
     "op4_fixity": op4_fixity,
     "op5_url_lists": op5_url_lists,
+    "op6_token_files": op6_token_files,
+    "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE = {

@@ -5,14 +5,14 @@ over Arrow string buffers."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regcurate.session import ensure_checkpoint_dir
+from regcurate.session import ensure_checkpoint_dir, ship_package
 
 #: Sides of at most this many bytes (estimated from a real row count) are
 #: broadcast; larger ones go through a shuffled join.
@@ -50,14 +50,21 @@ def sha256_key(text: Column | str) -> Column:
     return F.substring(F.sha2(F.coalesce(col, F.lit("")).cast("binary"), 256), 1, 32)
 
 
-# --- Arrow ------------------------------------------------------------------
+# --- Python tasks -----------------------------------------------------------
+
+def in_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
-def arrow_batches(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:
-    """One batch of ``schema`` from name -> array-like."""
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c, f.type)
-         for f, c in ((f, columns[f.name]) for f in schema)], schema=schema)
 
+def per_group(df: DataFrame, keys: Sequence[str], fn: Callable, schema) -> DataFrame:
+    """``fn(pa.Table) -> pa.Table`` for all rows of each key, likewise."""
+    ship_package(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(fn, schema)
+
+
+# --- Arrow ------------------------------------------------------------------
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column as numpy views; NULL counts as ''."""
@@ -206,8 +213,3 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, size: int = 5) -> list[np.nda
         else:
             out.append(np.zeros(0, np.uint64))
     return out
-
-
-def exchanged(df: DataFrame, key: str, fn: Callable, schema: str) -> DataFrame:
-    """Hand all rows of one ``key`` to ``fn(pa.Table) -> pa.Table``."""
-    return df.groupBy(key).applyInArrow(fn, schema)
