@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regcurate.llm import (classifier, decontaminate, fixity, jaccard, packing, quality_rules,
-                           sharding, token_files, url_lists)
+                           sharding, suffix_dedup, token_files, url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -203,6 +203,13 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         end_id=2, dtype="<u2")
 
 
+# --- 7 suffix-array dedup -------------------------------------------------------
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 200-byte strings."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 # --- 8 packing ----------------------------------------------------------------
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +240,7 @@ QUERIES = {
     "op4_fixity": op4_fixity,
     "op5_url_lists": op5_url_lists,
     "op6_token_files": op6_token_files,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,

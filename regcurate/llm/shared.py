@@ -103,7 +103,6 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 2
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15                       # odd, hence invertible mod 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -132,17 +131,19 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hash(raw: np.ndarray) -> np.ndarray:
-    """H with H[j] - H[i] determined by raw[i:j] up to the factor base**i."""
+def prefix_hash(raw: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """H with H[j] - H[i] determined by raw[i:j] up to the factor base**i; the
+    base must be odd."""
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(raw)), out=out[1:])
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(base, len(raw)), out=out[1:])
     return out
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray,
+               base: int = _BASE) -> np.ndarray:
     """64-bit hash of each byte range [start, end): equal for equal bytes,
     wherever they stand; the length is mixed in."""
-    inv = _powers(_BASE_INV, len(prefix))
+    inv = _powers(pow(base, -1, 1 << 64), len(prefix))
     body = (prefix[end] - prefix[start]) * inv[start]
     return mix64(body + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
