@@ -365,4 +365,25 @@ def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
             break
     done = _with_components(members, merged)
     return done.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                       F.coalesce("component", "doc_id").alias("component_id"))
+                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+                       .alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """``docs``, all columns, with one row of each component: of the document
+    with the least doc_id. Rows with a NULL doc_id stay."""
+    found = staged(linked(docs, percent, words).select("doc_id", "component_id"),
+                   "jaccard-linked")
+    gone = staged(found.where("component_id <> doc_id").select("doc_id").distinct(),
+                  "jaccard-gone")
+    kept = docs.join(small_side(gone, 24), "doc_id", "left_anti").select(*docs.columns)
+    again = staged(found.where("doc_id is not null").groupBy("doc_id").count()
+                   .where("count > 1").select("doc_id"), "jaccard-again")
+    if not again.take(1):
+        return kept
+    again = small_side(again, 24)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    single = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(whole, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("row"))
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns) \
+        .unionByName(single.select("row.*"))

@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from regcurate.llm import (classifier, decontaminate, fixity, jaccard, packing, quality_rules,
                            sharding, suffix_dedup, token_files, url_lists)
 
@@ -110,8 +111,9 @@ def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset behind its predecessor."""
     return table(spark, sf_dir, "pages").selectExpr(
         "concat('part-', page_id div 1000) as archive",
-        f"sum(octet_length(html) + {_RECORD_BYTES}) over (partition by page_id div 1000 "
-        f"order by page_id) - octet_length(html) - {_RECORD_BYTES} as at",
+        f"sum(octet_length(coalesce(html, '')) + {_RECORD_BYTES}) over (partition by "
+        f"page_id div 1000 order by page_id rows unbounded preceding) "
+        f"- octet_length(coalesce(html, '')) - {_RECORD_BYTES} as at",
         "page_id as record_id", "html as payload")
 
 
@@ -244,6 +246,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
