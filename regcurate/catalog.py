@@ -4,27 +4,33 @@ independent DuckDB SQL oracle over the same stand-in views.
 
 The oracles are written in a different form from the Spark plans where the
 operator is the point: first-file-wins as a correlated ``min``, the five
-register joins as five separate joins ``UNION ALL``, eras as integer
-``CASE``s, reconciliation as a full outer join.
+register joins as five separate joins ``UNION ALL``, reconciliation as a full
+outer join.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import plans
+from .functions.columns import non_empty
 from .operators import profile
+from .operators.dedup import file_ordinals, rows_in_first_file
 from .operators.landing import land_register
+from .plans.pipeline import land
 from .session import ensure_checkpoint_dir
-from .sinks.writers import sorted_for_write
-from .sources.files import read_landed
-from .sources.fixtures import duckdb_with, register_view, register_views
+from .sinks.writers import URN, read_json, sorted_for_write, write_curated
+from .sources import fs
+from .sources.files import land_folder, read_landed, register_files, rows_by_file
+from .sources.fixtures import duckdb_with, register_view, register_views, stage_extracts
 from .specs.curated import DIAGNOSIS_PAIRS, TABLES
-from .specs.registers import AKM_AS_SHIPPED, REGISTERS
+from .specs.registers import AKM_AS_SHIPPED, REGISTERS, RegisterSpec
 from .streaming.landing import land_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,38 +70,39 @@ def q_population_unique(spark, sf_dir):
 
 
 def q_population_window(spark, sf_dir):
-    """Population through the window form of first-file-wins (``rank`` over
-    ``partitionBy(person_id)``): one shuffle of the rows. The default
-    ``population`` takes this form only when no person's group exceeds the
-    one-task bound, else the join form."""
-    return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="window")
+    """Population by ``rank`` over ``partitionBy(person_id)``: one shuffle of
+    the rows, for registers in which no person has many."""
+    return plans.population.build_window(register_view(spark, sf_dir, "bef"))
 
 
 def q_population_join(spark, sf_dir):
-    """Population through the skew-safe form of first-file-wins: partial
-    ``min`` of the first file per person, equi-join back on (person, first
-    file, salt). Persons found hot in a 1% sample are salted over several
-    tasks; AQE's skew join splits what the sample misses."""
-    return plans.population.build(register_view(spark, sf_dir, "bef"), strategy="join")
+    """Population by the skew-safe form, which is the default: ``min`` over
+    integer file ordinals per person, equi-join back on (person, ordinal)."""
+    return plans.population.build(register_view(spark, sf_dir, "bef"))
+
+
+_JOINED = "n_records * n_diagnoses"       # joined rows of a key
 
 
 def q_diagnoses_by_register(spark, sf_dir):
-    d = plans.diagnoses.build_with_register(_inputs(spark, sf_dir, "diagnoses"))
-    return profile.group_count(d, "register")
+    """Joined rows per register, from per-key counts: no join."""
+    totals = plans.diagnoses.counts(_inputs(spark, sf_dir, "diagnoses"))
+    return totals.groupBy("register").agg(F.sum(F.expr(_JOINED)).alias("n")).where("n > 0")
 
 
 def q_diagnoses_pair_profile(spark, sf_dir):
-    """Per register pair: filtered records, filtered diagnoses, joined rows.
-    One tagged union and one aggregate; a pair without rows is absent."""
-    inputs = _inputs(spark, sf_dir, "diagnoses")
-    rec = plans.diagnoses.records(inputs).select("register", F.lit("r").alias("side"))
-    dia = plans.diagnoses.diagnoses(inputs).select("register", F.lit("d").alias("side"))
-    out = plans.diagnoses.build_with_register(inputs).select("register",
-                                                             F.lit("j").alias("side"))
-    return rec.unionByName(dia).unionByName(out).groupBy("register").agg(
-        F.count_if(F.col("side") == "r").alias("records"),
-        F.count_if(F.col("side") == "d").alias("diagnoses"),
-        F.count_if(F.col("side") == "j").alias("joined"))
+    """Per register pair: filtered records, filtered diagnoses, joined rows, all
+    from per-key counts; a pair without rows is absent."""
+    totals = plans.diagnoses.counts(_inputs(spark, sf_dir, "diagnoses"))
+    return totals.groupBy("register").agg(
+        F.sum("n_records").alias("records"), F.sum("n_diagnoses").alias("diagnoses"),
+        F.sum(F.expr(_JOINED)).alias("joined"))
+
+
+def q_count_by_patient_kind(spark, sf_dir):
+    """Joined rows per patient kind, from per-key counts: no join."""
+    totals = plans.diagnoses.counts(_inputs(spark, sf_dir, "diagnoses"), by=("patient_kind",))
+    return totals.groupBy("patient_kind").agg(F.sum(F.expr(_JOINED)).alias("n")).where("n > 0")
 
 
 def q_income_sorted(spark, sf_dir):
@@ -105,22 +112,121 @@ def q_income_sorted(spark, sf_dir):
                             TABLES["income"].sorted_by)
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the session's shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def q_land_available_now(spark, sf_dir):
-    """Incremental landing end to end: the bef extracts are staged as
-    Spark-written ``source_file=<extract>`` folders in a fresh folder under
-    the session's checkpoint dir, landed by the available-now stream, landed
-    again (the rerun must add no row), and the landed table is returned."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/available-now-{uuid.uuid4().hex}"
-    spec = REGISTERS["bef"]
-    register_view(spark, sf_dir, "bef").write.partitionBy("source_file").parquet(base + "/src")
-    args = (spark, base + "/src", spec, base + "/out", base + "/ckpt")
-    land_available_now(*args, layout="partitioned")
-    again = land_available_now(*args, layout="partitioned")
+    """Incremental landing end to end: the bef extracts arrive as files in two
+    deliveries, the second with modification times a year back; each delivery is
+    landed by the available-now stream, a third run adds nothing, and the landed
+    table is returned."""
+    base, spec = _scratch(spark, "available-now"), REGISTERS["bef"]
+    ready = stage_extracts(register_view(spark, sf_dir, "bef"), spec, base + "/ready")
+    args = (spark, base + "/dated", None, spec, base + "/out", base + "/ckpt")
+    for part in (ready[::2], ready[1::2]):
+        for path in part:
+            to = f"{base}/dated/{path.rsplit('/', 1)[1]}"
+            fs.move(spark, path, to)
+            if part[0] != ready[0]:
+                fs.set_modified(spark, to, int((time.time() - 365 * 86400) * 1000))
+        if part and not land_available_now(*args):
+            raise RuntimeError("a delivery was not landed")
+    again = land_available_now(*args)
     if again:
         raise RuntimeError(f"rerun of the available-now landing added {again} rows")
     return read_landed(spark, base + "/out", spec)
 
 
+def q_land_files(spark, sf_dir):
+    """ras landed from files: yearly extracts and an undated copy, told apart by
+    name from a foreign file and from another register's, provenance from the
+    file names."""
+    base, spec = _scratch(spark, "land-files"), REGISTERS["ras"]
+    stage_extracts(register_view(spark, sf_dir, "ras"), spec, base)
+    stage_extracts(register_view(spark, sf_dir, "akm"), REGISTERS["akm"], base)
+    foreign = RegisterSpec("zzz", spec.columns)
+    stage_extracts(register_view(spark, sf_dir, "ras").withColumn(
+        "source_file", F.lit("zzz2001.sas7bdat")), foreign, base)
+    landed = land(spark, base + "/dated", base + "/undated", base + "/out",
+                  registers={"ras": spec})
+    return read_landed(spark, landed["ras"], spec)
+
+
+def q_land_csv_drift(spark, sf_dir):
+    """faik landed from CSV files in two layouts: odd years have the columns in
+    reverse, one column more and NA for missing values; even years have the
+    spec's order and leave missing values empty. Empty strings are quoted."""
+    base, spec = _scratch(spark, "land-csv"), REGISTERS["faik"]
+    faik = spark.sql(_FAIK_DRIFT_SQL, faik=register_view(spark, sf_dir, "faik"))
+    odd = F.col("source_file").rlike("[13579][.]")
+    stage_extracts(faik.where(odd).select(*reversed(spec.columns), F.lit("x").alias("EXTRA"),
+                                          "source_file"),
+                   spec, base + "/odd", "csv", header="true", nullValue="NA")
+    stage_extracts(faik.where(~odd), spec, base + "/even", "csv", header="true", nullValue="")
+    for side in ("odd", "even"):
+        for name, _ in fs.children(spark, f"{base}/{side}/dated"):
+            fs.move(spark, f"{base}/{side}/dated/{name}", f"{base}/dated/{name}")
+    return land_folder(spark, base + "/dated", spec, fmt="csv")
+
+
+_FAIK_DRIFT_SQL = """SELECT FAMILIE_ID, CASE WHEN FAMTYPE = '3' THEN NULL ELSE FAMTYPE END AS FAMTYPE,
+ FAMINDKOMSTIALT_13, FAMLOENMV_13, FAMERHVERVSINDK_13, FAMOFF_OVERFORSEL_13, FAMPRIVAT_PENSION_13,
+ CASE WHEN FAMTYPE = '2' THEN '' ELSE FAMRESTINDK_13 END AS FAMRESTINDK_13, FAMSKATTOT_13, source_file
+FROM {faik}"""
+
+
+def q_prescriptions_partitioned(spark, sf_dir):
+    """Prescriptions as the category sink writes them, read back by folder."""
+    path = _scratch(spark, "prescriptions") + "/prescriptions"
+    write_curated("prescriptions", _inputs(spark, sf_dir, "prescriptions"), path)
+    return spark.read.schema(StructType([StructField(n, StringType()) for n in (
+        *TABLES["prescriptions"].names, "atc_category")])).parquet(path)
+
+
+def _columns_told() -> list[dict]:
+    """What the sidecars say about columns, without the written table's size."""
+    return [{"table_name": t.key, "column_index": i, "column_name": c.name, "title": c.title,
+             "description": c.description, "examples": "|".join(c.examples), "type": c.type,
+             "nullable": c.nullable, "format": c.format, "enum": "|".join(c.enum),
+             "lineage": "|".join(URN.format(register=o.split(":")[0], column=o.split(":")[1])
+                                 for o in c.origin)}
+            for t in TABLES.values() for i, c in enumerate(t.columns)]
+
+
+def q_sidecars(spark, sf_dir):
+    """Every curated table written, and its sidecar read back: one row per table
+    and column."""
+    base, rows = _scratch(spark, "sidecars"), []
+    for name in plans.PLANS:
+        write_curated(name, _inputs(spark, sf_dir, name), f"{base}/{name}")
+        doc = read_json(spark, f"{base}/{name}_metadata.json")
+        for column, c in doc["columns"].items():
+            rows.append((doc["key"], c["index"], column, c["title"], c["description"],
+                         "|".join(c["examples"]), c["type"], c["nullable"], c.get("format"),
+                         "|".join(e["value"] for e in c.get("enum", ())),
+                         "|".join(r["target"] for r in c.get("relations", ())),
+                         doc["size"], doc["period"]["first"], doc["period"]["last"]))
+    return spark.createDataFrame(rows, (
+        "table_name string, column_index int, column_name string, title string, "
+        "description string, examples string, type string, nullable boolean, format string, "
+        "enum string, lineage string, rows long, first string, last string"))
+
+
+def q_sorted_order(spark, sf_dir):
+    """Every table with a declared order written in it: rows, and how many stand
+    below their predecessor across the files as read in name order."""
+    base, out = _scratch(spark, "sorted"), []
+    for name, spec in TABLES.items():
+        if not spec.sorted_by:
+            continue
+        write_curated(name, _inputs(spark, sf_dir, name), f"{base}/{name}", sort=True)
+        out.append(profile.out_of_order(spark.read.parquet(f"{base}/{name}"), spec.sorted_by)
+                   .select(F.lit(name).alias("table_name"), "rows", "out_of_order"))
+    return profile.union_rows(out)
+
+
 def q_prescriptions_by_category(spark, sf_dir):
     p = plans.prescriptions.build(register_view(spark, sf_dir, "lmdb"))
     return profile.group_count(p, "atc_category")
@@ -138,45 +244,94 @@ def q_family_size(spark, sf_dir):
 
 
 def q_coverage(spark, sf_dir):
-    """Per curated table: first and last period value and rows. Population
-    bounds are taken before the dedup, diagnoses bounds on the records."""
+    """Per curated table: first and last period value and rows. Population bounds
+    are taken before the dedup, diagnoses bounds on the records; their rows are
+    counted per key, without building the table."""
     regs = register_views(spark, sf_dir, sorted({r for m in plans.PLANS.values()
                                                  for r in m.INPUTS}))
     rows = []
-    for name, mod in plans.PLANS.items():
+    for name in plans.PLANS:
         first, last = TABLES[name].period_columns
-        if name in ("population", "diagnoses"):
-            rows.append(profile.coverage_row(name, plans.bounds_input(name, regs),
-                                             plans.build(name, regs), first, last))
+        if name == "population":
+            cands = plans.bounds_input(name, regs)
+            rows.append(profile.coverage_of_parts(
+                name, cands, first, last, rows_in_first_file(cands, "person_id"),
+                F.col("_rows")))
+        elif name == "diagnoses":
+            rows.append(profile.coverage_of_parts(
+                name, plans.bounds_input(name, regs), first, last,
+                plans.diagnoses.counts(regs), F.expr(_JOINED)))
         else:
-            rows.append(profile.coverage_row(name, plans.build(name, regs), None, first, last))
+            rows.append(profile.coverage_row(name, plans.build(name, regs), first, last))
     return profile.union_rows(rows)
 
 
-def q_file_inventory(spark, sf_dir):
-    regs = {n: land_register(register_view(spark, sf_dir, n), REGISTERS[n]) for n in REGISTERS}
-    return profile.file_inventory(regs)
+EMPTY_FILE = "bef190012.parquet"
 
 
-_RECONCILED = ("income", "family_income", "education", "employment", "population",
-               "prescriptions")
+def q_file_inventory(spark, sf_dir):
+    """Every register as extract files, an empty file and a foreign one among
+    them: the files by listing, their rows by file."""
+    base = _scratch(spark, "inventory")
+    for name, spec in REGISTERS.items():
+        stage_extracts(register_view(spark, sf_dir, name), spec, base)
+    bef = register_view(spark, sf_dir, "bef").drop("source_file")
+    for name in (EMPTY_FILE, "zzz2001.parquet"):
+        bef.limit(0).coalesce(1).write.parquet(f"{base}/staging/{name}")
+        part = next(n for n, _ in fs.children(spark, f"{base}/staging/{name}")
+                    if n.startswith("part-"))
+        fs.move(spark, f"{base}/staging/{name}/{part}", f"{base}/dated/{name}")
+    files = [register_files(spark, f"{base}/{side}", side == "dated")
+             .select("dataset", "period", "file_name") for side in ("dated", "undated")]
+    rows = [rows_by_file(spark, f"{base}/{side}") for side in ("dated", "undated")]
+    return profile.file_inventory(profile.union_rows(files), profile.union_rows(rows))
+
+
+_KEYS = {"income": "PNR", "family_income": "FAMILIE_ID", "education": "PNR", "employment": "PNR"}
 
 
 def q_rows_per_file(spark, sf_dir):
-    """Landed rows against curated rows per source file."""
+    """Landed against curated rows per source file, for all eight tables
+    (diagnoses: per record file). Tables that only filter take one scan; the
+    others are counted per key."""
     out = []
-    for name in _RECONCILED:
-        reg = plans.PLANS[name].INPUTS[0]
-        landed = register_view(spark, sf_dir, reg)
-        out.append(profile.rows_per_file(landed, plans.build(name, {reg: landed}), name))
+    for name in plans.PLANS:
+        regs = _inputs(spark, sf_dir, name)
+        if name == "population":
+            cands = plans.bounds_input(name, regs)
+            first = rows_in_first_file(cands, "person_id").groupBy("_ordinal") \
+                .agg(F.sum("_rows").alias("curated_rows"))
+            curated = first.join(file_ordinals(cands), "_ordinal").select(
+                F.col("_file").alias("source_file"), "curated_rows")
+            out.append(profile.reconcile_counts(regs["bef"], curated, name))
+        elif name == "diagnoses":
+            landed = profile.union_rows(
+                regs[sides["records"][0]].select("source_file")
+                for sides in DIAGNOSIS_PAIRS.values())
+            curated = plans.diagnoses.counts(regs, by=("record_source_file",)) \
+                .where("n_records > 0").groupBy(F.col("record_source_file").alias("source_file")) \
+                .agg(F.sum(F.expr(_JOINED)).alias("curated_rows"))
+            out.append(profile.reconcile_counts(landed, curated, name))
+        else:
+            landed = profile.union_rows(r.select("source_file", *(
+                [_KEYS[name]] if name in _KEYS else [])) for r in regs.values())
+            kept = non_empty(_KEYS[name]) if name in _KEYS else F.lit(True)
+            out.append(profile.rows_per_file(landed, kept, name))
     return profile.union_rows(out)
 
 
 def q_contract_report(spark, sf_dir):
+    """Violations of every declared contract; diagnoses are counted per key on
+    the side a column comes from, without the join."""
     regs = register_views(spark, sf_dir, sorted({r for m in plans.PLANS.values()
                                                  for r in m.INPUTS}))
-    return profile.union_rows(profile.contract_report(plans.build(n, regs), TABLES[n])
-                              for n in plans.PLANS)
+    diagnoses = plans.diagnoses
+    return profile.union_rows(
+        profile.joined_contract_report(
+            TABLES[n], diagnoses.record_columns(),
+            lambda r, d: diagnoses.counts(regs, record_sums=r, diagnosis_sums=d))
+        if n == "diagnoses" else profile.contract_report(plans.build(n, regs), TABLES[n])
+        for n in plans.PLANS)
 
 
 QUERIES: dict[str, Query] = {}
@@ -184,6 +339,8 @@ for _n in REGISTERS:
     QUERIES[f"land_{_n}"] = _land(_n)
 QUERIES["land_akm_sparse"] = q_land_akm_sparse
 QUERIES["land_available_now"] = q_land_available_now
+QUERIES["land_files"] = q_land_files
+QUERIES["land_csv_drift"] = q_land_csv_drift
 for _t in plans.PLANS:
     QUERIES[_t] = _curated(_t)
 QUERIES.update({
@@ -194,10 +351,13 @@ QUERIES.update({
     "diagnoses_pair_profile": q_diagnoses_pair_profile,
     "income_sorted": q_income_sorted,
     "prescriptions_by_category": q_prescriptions_by_category,
+    "prescriptions_partitioned": q_prescriptions_partitioned,
+    "sidecars": q_sidecars,
+    "sorted_order": q_sorted_order,
     "count_by_gender": _count_by("population", "gender"),
     "count_by_status_source": _count_by("employment", "status_source"),
     "count_by_tax_scope": _count_by("income", "tax_scope"),
-    "count_by_patient_kind": _count_by("diagnoses", "patient_kind"),
+    "count_by_patient_kind": q_count_by_patient_kind,
     "family_size": q_family_size,
     "coverage": q_coverage,
     "file_inventory": q_file_inventory,
@@ -244,18 +404,19 @@ FAMILY_INCOME_SQL = f"""SELECT FAMILIE_ID AS family_id, FAMTYPE AS family_kind,
 EDUCATION_SQL = """SELECT PNR AS person_id, HFAUDD AS kind, HFINSTNR AS institute, HF_KILDE AS source,
  HF_VFRA AS completed_at, source_file FROM udda WHERE PNR <> ''"""
 
+# years are compared as text, as the source does
 EMPLOYMENT_SQL = f"""SELECT person_id, year,
- CASE WHEN y <= 1993 THEN 'ARBSTIL' WHEN y BETWEEN 1994 AND 1995 THEN 'NYARB'
-      WHEN y BETWEEN 1996 AND 2007 THEN 'SOCSTIL_KODE' ELSE 'SOC_STATUS_KODE' END AS status_source,
- CASE WHEN y <= 1993 THEN ARBSTIL WHEN y BETWEEN 1994 AND 1995 THEN NYARB
-      WHEN y BETWEEN 1996 AND 2007 THEN SOCSTIL_KODE ELSE SOC_STATUS_KODE END AS status,
- CASE WHEN y < 1992 THEN 'BRANCHE_77' WHEN y BETWEEN 1992 AND 2007 THEN 'BRANCHE_KODE'
-      ELSE 'ARB_HOVED_BRA_DB07' END AS industry_source,
- CASE WHEN y < 1992 THEN BRANCHE_77 WHEN y BETWEEN 1992 AND 2007 THEN BRANCHE_KODE
-      ELSE ARB_HOVED_BRA_DB07 END AS industry,
+ CASE WHEN year <= '1993' THEN 'ARBSTIL' WHEN year >= '1994' AND year <= '1995' THEN 'NYARB'
+      WHEN year >= '1996' AND year <= '2007' THEN 'SOCSTIL_KODE' ELSE 'SOC_STATUS_KODE'
+      END AS status_source,
+ CASE WHEN year <= '1993' THEN ARBSTIL WHEN year >= '1994' AND year <= '1995' THEN NYARB
+      WHEN year >= '1996' AND year <= '2007' THEN SOCSTIL_KODE ELSE SOC_STATUS_KODE END AS status,
+ CASE WHEN year < '1992' THEN 'BRANCHE_77' WHEN year >= '1992' AND year <= '2007'
+      THEN 'BRANCHE_KODE' ELSE 'ARB_HOVED_BRA_DB07' END AS industry_source,
+ CASE WHEN year < '1992' THEN BRANCHE_77 WHEN year >= '1992' AND year <= '2007'
+      THEN BRANCHE_KODE ELSE ARB_HOVED_BRA_DB07 END AS industry,
  source_file
-FROM (SELECT *, PNR AS person_id, {_year_sql('ras')} AS year,
-             TRY_CAST({_year_sql('ras')} AS INTEGER) AS y FROM ras WHERE PNR <> '') t"""
+FROM (SELECT *, PNR AS person_id, {_year_sql('ras')} AS year FROM ras WHERE PNR <> '') t"""
 
 POPULATION_CANDIDATES_SQL = """SELECT PNR AS person_id,
  CASE WHEN KOEN IS NULL THEN NULL WHEN KOEN = '1' THEN 'm' ELSE 'f' END AS gender,
@@ -328,11 +489,9 @@ def _with(views) -> str:
     return duckdb_with(sorted(set(views)))
 
 
-def _oracle_coverage() -> str:
+def _oracle_coverage_body() -> str:
     parts = []
-    views = set()
-    for name, (sql, regs) in CURATED_SQL.items():
-        views |= set(regs)
+    for name, (sql, _) in CURATED_SQL.items():
         first, last = TABLES[name].period_columns
         if name == "population":
             parts.append(f"""SELECT 'population' AS table_name,
@@ -350,33 +509,74 @@ def _oracle_coverage() -> str:
         else:
             parts.append(f"SELECT '{name}' AS table_name, min({first}) AS first, "
                          f"max({last}) AS last, count(*) AS rows FROM ({sql}) t")
-    return _with(views) + "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts)
+
+
+def _oracle_coverage() -> str:
+    return _with({r for _, regs in CURATED_SQL.values() for r in regs}) + _oracle_coverage_body()
+
+
+_AS_FILE = "replace(source_file, '.sas7bdat', '.parquet')"
+
+
+def _landed_files_sql(name: str) -> str:
+    """A landed register whose extracts are Parquet files."""
+    sel = ", ".join(REGISTERS[name].columns)
+    return f"SELECT {sel}, {_AS_FILE} AS source_file, period FROM ({_land_sql(name)}) l"
 
 
 def _oracle_file_inventory() -> str:
-    parts = [f"SELECT '{n}' AS dataset, period, source_file FROM ({_land_sql(n)}) l"
-             for n in REGISTERS]
+    parts = [f"SELECT '{n}' AS dataset, period, {_AS_FILE} AS source_file, 1 AS n "
+             f"FROM ({_land_sql(n)}) l" for n in REGISTERS]
+    parts.append(f"SELECT 'bef', '190012', '{EMPTY_FILE}', 0")
     return _with(REGISTERS) + f"""SELECT dataset, count(DISTINCT source_file) AS n_files,
  min(period) AS first_period, max(period) AS last_period,
  string_agg(DISTINCT period, ',' ORDER BY period) AS periods,
- string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS source_files, count(*) AS rows
+ string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS source_files, sum(n)::BIGINT AS rows
 FROM ({' UNION ALL '.join(parts)}) t GROUP BY dataset"""
 
 
 def _oracle_rows_per_file() -> str:
     parts, views = [], set()
-    for name in _RECONCILED:
-        sql, regs = CURATED_SQL[name]
+    for name, (sql, regs) in CURATED_SQL.items():
         views |= set(regs)
+        file, landed = "source_file", regs
+        if name == "diagnoses":
+            file = "record_source_file"
+            landed = [s["records"][0] for s in DIAGNOSIS_PAIRS.values()]
+        raw = " UNION ALL ".join(f"SELECT source_file FROM {r}" for r in landed)
         parts.append(f"""SELECT '{name}' AS table_name, coalesce(l.source_file, c.source_file) AS source_file,
  coalesce(l.n, 0) AS landed_rows, coalesce(c.n, 0) AS curated_rows,
  coalesce(l.n, 0) - coalesce(c.n, 0) AS dropped_rows
-FROM (SELECT source_file, count(*) AS n FROM {regs[0]} GROUP BY source_file) l
-FULL OUTER JOIN (SELECT source_file, count(*) AS n FROM ({sql}) x GROUP BY source_file) c
+FROM (SELECT source_file, count(*) AS n FROM ({raw}) r GROUP BY source_file) l
+FULL OUTER JOIN (SELECT {file} AS source_file, count(*) AS n FROM ({sql}) x GROUP BY {file}) c
   ON l.source_file = c.source_file""")
     return _with(views) + "\nUNION ALL\n".join(parts)
 
 
+def _text(v) -> str:
+    return "NULL" if v is None else str(v).upper() if isinstance(v, bool) else \
+        str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+
+def _oracle_sidecars() -> str:
+    told = _columns_told()
+    values = ",\n".join("(" + ", ".join(_text(v) for v in row.values()) + ")" for row in told)
+    views = {r for _, regs in CURATED_SQL.values() for r in regs}
+    return f"""{_with(views)}, cov AS ({_oracle_coverage_body()}),
+told({', '.join(told[0])}) AS (VALUES {values})
+SELECT told.* REPLACE (column_index::INTEGER AS column_index), cov.rows,
+ coalesce(cov.first, '{profile.FIRST_START}') AS first,
+ coalesce(cov.last, '{profile.LAST_START}') AS last
+FROM told JOIN cov USING (table_name)"""
+
+
+def _oracle_sorted_order() -> str:
+    parts = [f"SELECT '{n}' AS table_name, count(*) AS rows, 0::BIGINT AS out_of_order "
+             f"FROM ({sql}) t" for n, (sql, _) in CURATED_SQL.items() if TABLES[n].sorted_by]
+    return _with({r for _, regs in CURATED_SQL.values() for r in regs}) + " UNION ALL ".join(parts)
+
+
 def _oracle_contract_report() -> str:
     parts, views = [], set()
     for name, (sql, regs) in CURATED_SQL.items():
@@ -422,7 +622,12 @@ ORACLE: dict[str, str] = {}
 for _n in REGISTERS:
     ORACLE[f"land_{_n}"] = _with([_n]) + _land_sql(_n)
 ORACLE["land_akm_sparse"] = _with(["akm"]) + _land_sql("akm", AKM_AS_SHIPPED.columns)
-ORACLE["land_available_now"] = ORACLE["land_bef"]
+ORACLE["land_available_now"] = _with(["bef"]) + _landed_files_sql("bef")
+ORACLE["land_files"] = _with(["ras"]) + _landed_files_sql("ras")
+ORACLE["land_csv_drift"] = (
+    _with(["faik"]) + ", drift AS (" + _FAIK_DRIFT_SQL.replace("{faik}", "faik") + ") "
+    + _land_sql("faik").replace("source_file, ", "replace(source_file, '.sas7bdat', '.csv') "
+                                "AS source_file, ", 1).replace("FROM faik", "FROM drift"))
 for _t, (_sql, _regs) in CURATED_SQL.items():
     ORACLE[_t] = _with(_regs) + _sql
 ORACLE.update({
@@ -440,6 +645,9 @@ ORACLE.update({
     "count_by_patient_kind": _count_sql(DIAGNOSES_SQL, plans.diagnoses.INPUTS, "patient_kind"),
     "family_size": _with(["bef"]) + f"""SELECT family_id, count(*) AS members FROM ({POPULATION_SQL}) p
  WHERE family_id IS NOT NULL AND family_id <> '' GROUP BY family_id""",
+    "prescriptions_partitioned": _with(["lmdb"]) + PRESCRIPTIONS_SQL,
+    "sidecars": _oracle_sidecars(),
+    "sorted_order": _oracle_sorted_order(),
     "coverage": _oracle_coverage(),
     "file_inventory": _oracle_file_inventory(),
     "rows_per_file": _oracle_rows_per_file(),

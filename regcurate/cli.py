@@ -3,7 +3,7 @@
     python -m regcurate run <spec.json> <dated_dir> <undated_dir> <output_dir>
         [--format csv] [--output-format csv] [--incremental] [--sorted]
     python -m regcurate land <spec.json> <dated_dir> <undated_dir> <output_dir>
-    python -m regcurate curate <output_dir>
+    python -m regcurate curate <output_dir> [--spec spec.json]
     python -m regcurate summarise <column> <table_path> <output_path>
 
 Runs on the session ``spark-submit`` provides (cluster settings win); a
@@ -20,9 +20,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.profile import group_count
-from .plans.pipeline import curate, land
+from .plans.pipeline import curate, land, missing_inputs
 from .session import apply_defaults
-from .sources.fs import read_text
+from .sources.fs import exists, read_text
 from .specs.registers import REGISTERS, specs_from_json
 
 
@@ -37,7 +37,7 @@ def _session() -> SparkSession:
 def _specs(path: str | None):
     if not path:
         return REGISTERS
-    return specs_from_json(json.loads(read_text(path)))
+    return specs_from_json(json.loads(read_text(_session(), path)))
 
 
 def main(argv=None) -> int:
@@ -59,6 +59,7 @@ def main(argv=None) -> int:
                        help="write curated tables in their declared order")
     s = sub.add_parser("curate")
     s.add_argument("output_dir")
+    s.add_argument("--spec", default=None, help="landing spec, if not the built-in one")
     s.add_argument("--output-format", default="parquet", choices=["parquet", "csv"])
     s.add_argument("--sorted", action="store_true")
     s = sub.add_parser("summarise")
@@ -74,17 +75,17 @@ def main(argv=None) -> int:
         specs = _specs(args.spec)
         landed = land(spark, args.dated_dir, args.undated_dir, args.output_dir, args.format,
                       specs, args.incremental)
-        result = {"stage1": landed}
+        result = {"stage1": landed, "missing": missing_inputs(landed)}
         if args.cmd == "run":
-            result["stage2"] = {k: v["size"] for k, v in curate(
-                spark, args.output_dir, landed, args.output_format, args.sorted,
-                registers=specs).items()}
+            result["stage2"] = _sizes(curate(spark, args.output_dir, landed, args.output_format,
+                                             args.sorted, specs))
     elif args.cmd == "curate":
+        specs = _specs(args.spec)
         root = os.path.join(args.output_dir, "stage1")
-        landed = {n: os.path.join(root, n) for n in REGISTERS}
-        landed = {n: p for n, p in landed.items() if _exists(spark, p)}
-        result = {k: v["size"] for k, v in curate(spark, args.output_dir, landed,
-                                                  args.output_format, args.sorted).items()}
+        landed = {n: p for n in specs if exists(spark, p := os.path.join(root, n))}
+        result = {"missing": missing_inputs(landed),
+                  "stage2": _sizes(curate(spark, args.output_dir, landed, args.output_format,
+                                          args.sorted, specs))}
     else:
         fmt = args.format or ("csv" if args.table.rstrip("/").endswith(".csv") else "parquet")
         reader = spark.read.option("header", "true") if fmt == "csv" else spark.read
@@ -96,12 +97,8 @@ def main(argv=None) -> int:
     return 0
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:
-        return False
+def _sizes(sidecars: dict) -> dict:
+    return {name: side["size"] for name, side in sidecars.items()}
 
 
 if __name__ == "__main__":

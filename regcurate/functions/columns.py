@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..specs.curated import ATC_CATEGORIES, NO_CATEGORY
+from ..specs.curated import NO_CATEGORY, Era
 
 _EXT = r"\.[^./]+$"   # any single extension: .sas7bdat, .csv, .parquet
 
@@ -68,17 +69,17 @@ def recode_gender(c: Column | str) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("string")).when(c == "1", "m").otherwise("f")
 
 
-def _era_conditions(year: Column, eras: Sequence[tuple[str | None, str, str]]):
+def _era_conditions(year: Column, eras: Sequence[Era]):
     """Yield (condition, column name) per era; comparisons are on strings.
 
     A null year makes every condition null, i.e. false, so it falls through
     to the default -- as a ``case_when`` on a character year does.
     """
-    for low, high, name in eras:
-        cond = year <= F.lit(high)
-        if low is not None:
-            cond = (year >= F.lit(low)) & cond
-        yield cond, name
+    for era in eras:
+        bounds = [(year >= F.lit(era.since)) if era.since else None,
+                  (year <= F.lit(era.up_to)) if era.up_to else None,
+                  (year < F.lit(era.below)) if era.below else None]
+        yield reduce(lambda a, b: a & b, [b for b in bounds if b is not None]), era.column
 
 
 def era_source(year: Column | str, eras, default: str) -> Column:
@@ -104,13 +105,3 @@ def atc_category(atc: Column | str) -> Column:
     """First letter of the ATC code; missing or empty code -> ``_none``."""
     atc = F.col(atc) if isinstance(atc, str) else atc
     return F.coalesce(F.nullif(F.substring(atc, 1, 1), F.lit("")), F.lit(NO_CATEGORY))
-
-
-def is_declared_category(category: Column | str) -> Column:
-    category = F.col(category) if isinstance(category, str) else category
-    return category.isin(*ATC_CATEGORIES)
-
-
-def matches(c: Column | str, pattern: str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.rlike(pattern)

@@ -1,30 +1,16 @@
 """First-file-wins deduplication.
 
-Files are taken in name order; a row of a later file is kept only if its key
-did not occur in any earlier file. *All* rows of the key inside its first
-file stay (rank semantics, not row_number).
-
-Two physical forms:
-
-* ``"join"`` never groups a key's rows into one task. The first file of each
-  key comes from a partial (map-side) ``min`` aggregation -- a hot key costs
-  one row per map task -- and the rows are matched back with an equi-join
-  on ``(key, first file, salt)``. Rows of later files hash elsewhere and fall
-  out of the join. Hot keys (found in a sample, see :func:`.skew.hot_keys`) are
-  salted: each hot row gets a deterministic salt from a hash of the row, and
-  the key's single first-file row is repeated once per salt, so the hot
-  key's rows spread over ``ceil(rows / rows_per_task)`` tasks. Keys that are
-  not hot keep salt 0 (no repetition). The salt table is broadcast only up
-  to ``MAX_HOT_KEYS`` entries; beyond, the join runs unsalted and AQE's skew
-  join (always on as a second line) splits the hot partitions.
-* ``"window"`` is ``rank`` over ``partitionBy(key)``: one shuffle of the rows
-  (with a partial ``WindowGroupLimit``), about 1.5x faster than the join
-  when no key is large (20M rows, 2M keys, local[8]) -- but every key's
-  group is processed by one task.
-
-``"auto"`` (the default) samples the key column once: without a hot key it
-takes the window form, otherwise the salted join. A group in one task is
-therefore bounded.
+Files are taken in name order (a missing name first); a row of a later file is
+kept only if its key did not occur in any earlier file. *All* rows of the key
+inside its first file stay (rank semantics, not row_number).
+
+The file names are metadata: every file gets an integer ordinal, so the first
+file of a key is a ``min`` over integers -- a hash aggregate with map-side
+merging, in which a hot key costs one row per map task. The rows are matched
+back by an equi-join on (key, ordinal): rows of later files hash elsewhere and
+fall out, and AQE's skew join splits a hot (key, file).
+
+Nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -32,76 +18,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import (MAX_GROUP_ROWS, MAX_HOT_KEYS, ROWS_PER_TASK, SAMPLE_FRACTION, hot_keys,
-                   salt_counts)
-
-__all__ = ["MAX_GROUP_ROWS", "first_file_wins", "hot_keys", "largest_group",
-           "one_row_per_key", "choose_strategy"]
-
-def largest_group(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION) -> float:
-    """Estimated rows of the largest key group (same seeded sample as
-    :func:`hot_keys`)."""
-    sample = df.select(key)
-    if fraction < 1:
-        sample = sample.sample(fraction=fraction, seed=17)
-    top = sample.groupBy(key).count().agg(F.max("count")).first()[0]
-    return float(top or 0) / min(fraction, 1.0)
-
-
-def choose_strategy(df: DataFrame, key: str, max_group_rows: int = MAX_GROUP_ROWS) -> str:
-    """``window`` when no key is estimated near the bound, else ``join``."""
-    return "join" if hot_keys(df, key, max_group_rows) else "window"
-
-
-def _salt_table(spark, hot: list[tuple], key_type, rows_per_task: int) -> DataFrame:
-    data = [(k[0], n) for k, n in salt_counts(hot, rows_per_task)]
-    schema = f"_hot_key {key_type.simpleString()}, _salts int"
-    return spark.createDataFrame(data, schema)
-
-
-def first_file_wins(df: DataFrame, key: str, order: str = "source_file",
-                    strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS,
-                    rows_per_task: int = ROWS_PER_TASK, hot: list | None = None) -> DataFrame:
-    """``hot`` may pass the result of :func:`hot_keys` when it is known."""
-    if strategy in ("auto", "join") and hot is None:
-        hot = hot_keys(df, key, max_group_rows)
-    if strategy == "auto":
-        strategy = "join" if hot else "window"
-    if strategy == "window":
-        w = Window.partitionBy(key).orderBy(F.col(order))
-        return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
-    if strategy != "join":
-        raise ValueError(strategy)
-
-    firsts = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
-    cond = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_first"))
-    if not hot:
-        return df.join(firsts, cond, "inner").drop("_key", "_first")
-
-    if len(hot) > MAX_HOT_KEYS:
-        # the broadcast would be too large: unsalted, AQE's skew join splits
-        return df.join(firsts, cond, "inner").drop("_key", "_first")
-    # salt the hot keys: a size-checked table (see hot_keys) is broadcast
-    salts = F.broadcast(_salt_table(df.sparkSession, hot, df.schema[key].dataType,
-                                    rows_per_task))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    rows = (df.join(salts, F.col(key) == F.col("_hot_key"), "left")
-            .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                        .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
-            .drop("_hot_key", "_salts"))
-    firsts = (firsts.join(salts, F.col("_key") == F.col("_hot_key"), "left")
-              .withColumn("_fsalt", F.explode(F.sequence(
-                  F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - F.lit(1))))
-              .drop("_hot_key", "_salts"))
-    cond = cond & (F.col("_salt") == F.col("_fsalt"))
-    return rows.join(firsts, cond, "inner").select(*[F.col(c) for c in df.columns])
+
+def file_ordinals(df: DataFrame, order: str = "source_file") -> DataFrame:
+    """``_file, _ordinal``: one row per file, numbered in name order."""
+    by_name = Window.orderBy(F.col("_file").asc_nulls_first())
+    return df.select(F.col(order).alias("_file")).distinct() \
+        .withColumn("_ordinal", F.row_number().over(by_name))
+
+
+def with_ordinal(df: DataFrame, order: str = "source_file") -> DataFrame:
+    """``df`` and the ``_ordinal`` of each row's file. The broadcast side has one
+    row per extract file, no more than the listing the driver plans the scan
+    from."""
+    files = F.broadcast(file_ordinals(df, order))
+    return df.join(files, F.col(order).eqNullSafe(F.col("_file"))).drop("_file")
+
+
+def first_file_wins(df: DataFrame, key: str, order: str = "source_file") -> DataFrame:
+    """The rows of each key's first file."""
+    ranked = with_ordinal(df, order)
+    firsts = ranked.groupBy(F.col(key).alias("_key")).agg(F.min("_ordinal").alias("_first"))
+    first = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_ordinal") == F.col("_first"))
+    return ranked.join(firsts, first).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def first_file_wins_window(df: DataFrame, key: str, order: str = "source_file") -> DataFrame:
+    """The same rows by ``rank`` over the key: one shuffle, but all rows of a key
+    in one task, so only for keys known to be small."""
+    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first())
+    return df.withColumn("_rank", F.rank().over(w)).where("_rank = 1").drop("_rank")
+
+
+def rows_in_first_file(df: DataFrame, key: str, order: str = "source_file") -> DataFrame:
+    """``_ordinal, _rows`` per key: its first file and how many rows it has
+    there, without fetching a row. Ordinal and count share one integer, so that
+    both aggregates are hash aggregates."""
+    per_file = with_ordinal(df.select(key, order), order).groupBy(key, "_ordinal").count()
+    packed = F.min(F.shiftleft(F.col("_ordinal").cast("long"), 40) + F.col("count")).alias("_p")
+    return per_file.groupBy(key).agg(packed).select(
+        key, F.shiftright("_p", 40).cast("int").alias("_ordinal"),
+        F.col("_p").bitwiseAND(F.lit((1 << 40) - 1)).alias("_rows"))
 
 
 def one_row_per_key(df: DataFrame, key: str, order: str = "source_file") -> DataFrame:
     """Strict variant: exactly one row per key -- the first file's row that
-    sorts first on all columns (nulls first). Implemented as ``min(struct)``,
-    a plain aggregate with map-side partial merging: no window, no join, and a
-    hot key costs one row per map task."""
+    sorts first on all columns (nulls first), as ``min(struct)`` with map-side
+    merging: a hot key costs one row per map task."""
     others = [c for c in df.columns if c not in (key, order)]
     packed = F.struct(*[F.col(c) for c in [order] + others]).alias("_row")
     agg = df.groupBy(key).agg(F.min(packed).alias("_row"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..specs.curated import TableSpec
@@ -20,77 +20,76 @@ FIRST_START = "9999-12-31"
 LAST_START = "0001-01-01"
 
 
-def period_bounds(df: DataFrame, first_col: str, last_col: str) -> DataFrame:
-    """``first``/``last``: string min/max; nulls are skipped."""
-    return df.agg(F.min(first_col).alias("first"), F.max(last_col).alias("last"))
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))
-
-
 def group_count(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     """``group_by(column) -> n``."""
     return df.groupBy(F.col(column).alias(alias or column)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def coverage_row(name: str, bounds_df: DataFrame, rows_df: DataFrame | None,
-                 first_col: str, last_col: str) -> DataFrame:
-    """One row ``(table_name, first, last, rows)``; bounds and rows may come
-    from different points of the plan (population: before the dedup). With
-    ``rows_df=None`` both come from ``bounds_df`` in one aggregate."""
-    if rows_df is None:
-        return bounds_df.agg(
-            F.min(first_col).alias("first"), F.max(last_col).alias("last"),
-            F.count(F.lit(1)).alias("rows"),
-        ).select(F.lit(name).alias("table_name"), "first", "last", "rows")
-    b = bounds_df.select(F.col(first_col).alias("first"), F.col(last_col).alias("last"),
-                         F.lit(0).cast("bigint").alias("rows"))
-    r = rows_df.select(F.lit(None).cast("string").alias("first"),
-                       F.lit(None).cast("string").alias("last"),
-                       F.lit(1).cast("bigint").alias("rows"))
-    return (b.unionByName(r)
-            .agg(F.min("first").alias("first"), F.max("last").alias("last"),
-                 F.sum("rows").alias("rows"))
-            .select(F.lit(name).alias("table_name"), "first", "last",
-                    F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows")))
+def coverage_row(name: str, df: DataFrame, first_col: str, last_col: str) -> DataFrame:
+    """One row ``(table_name, first, last, rows)`` of a table, in one aggregate."""
+    return df.agg(F.min(first_col).alias("first"), F.max(last_col).alias("last"),
+                  F.count(F.lit(1)).alias("rows")) \
+        .select(F.lit(name).alias("table_name"), "first", "last", "rows")
+
+
+def coverage_of_parts(name: str, bounds_df: DataFrame, first_col: str, last_col: str,
+                      counts_df: DataFrame, rows: Column) -> DataFrame:
+    """The same where the period is defined on other rows than the table's, and
+    the table's rows are a sum over counts."""
+    b = bounds_df.agg(F.min(first_col).alias("first"), F.max(last_col).alias("last")) \
+        .select("first", "last", F.lit(0).cast("bigint").alias("rows"))
+    r = counts_df.agg(F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows")) \
+        .select(F.lit(None).cast("string").alias("first"),
+                F.lit(None).cast("string").alias("last"), "rows")
+    return b.unionByName(r).agg(F.min("first").alias("first"), F.max("last").alias("last"),
+                                F.sum("rows").alias("rows")) \
+        .select(F.lit(name).alias("table_name"), "first", "last", "rows")
 
 
 def union_rows(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), list(frames))
 
 
-def file_inventory(frames: dict[str, DataFrame]) -> DataFrame:
+def file_inventory(files: DataFrame, rows: DataFrame) -> DataFrame:
     """Per register: number of files, first/last period, the period list, the
-    file list and rows. Each input needs ``source_file`` and ``period``. Distinct periods
-    and files per register are bounded by the files of one register."""
-    tagged = union_rows(
-        df.select(F.lit(name).alias("dataset"), "period", "source_file")
-        for name, df in frames.items())
-    per_file = tagged.groupBy("dataset", "period", "source_file").agg(
-        F.count(F.lit(1)).alias("rows"))
-    return per_file.groupBy("dataset").agg(
+    file list and rows. ``files`` (dataset, period, file_name) is the listing, so
+    files without rows count too; ``rows`` has file_name and rows."""
+    return files.join(rows, "file_name", "left").groupBy("dataset").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.min("period").alias("first_period"),
         F.max("period").alias("last_period"),
         F.concat_ws(",", F.sort_array(F.collect_set("period"))).alias("periods"),
-        F.concat_ws(",", F.sort_array(F.collect_list("source_file"))).alias("source_files"),
-        F.sum("rows").alias("rows"),
+        F.concat_ws(",", F.sort_array(F.collect_list("file_name"))).alias("source_files"),
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
     )
 
 
-def rows_per_file(landed: DataFrame, curated: DataFrame, name: str) -> DataFrame:
-    """Reconcile landed against curated rows per ``source_file``: one union
-    and one aggregate (no join)."""
-    both = landed.select("source_file", F.lit(1).alias("l"), F.lit(0).alias("c")).unionByName(
-        curated.select("source_file", F.lit(0).alias("l"), F.lit(1).alias("c")))
+def _reconciled(name: str, both: DataFrame) -> DataFrame:
+    """Sum of landed_rows and curated_rows per source file."""
     return both.groupBy("source_file").agg(
-        F.sum("l").cast("bigint").alias("landed_rows"),
-        F.sum("c").cast("bigint").alias("curated_rows"),
+        F.sum("landed_rows").cast("bigint").alias("landed_rows"),
+        F.sum("curated_rows").cast("bigint").alias("curated_rows"),
     ).select(F.lit(name).alias("table_name"), "source_file", "landed_rows", "curated_rows",
              (F.col("landed_rows") - F.col("curated_rows")).alias("dropped_rows"))
 
 
+def rows_per_file(landed: DataFrame, kept: Column, name: str) -> DataFrame:
+    """Landed against curated rows per ``source_file`` of a table that only
+    filters its rows: one scan, one aggregate."""
+    return _reconciled(name, landed.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("landed_rows"), F.count_if(kept).alias("curated_rows")))
+
+
+def reconcile_counts(landed: DataFrame, curated: DataFrame, name: str) -> DataFrame:
+    """The same where the curated rows per file (``source_file, curated_rows``)
+    were counted on their own."""
+    left = landed.groupBy("source_file").agg(F.count(F.lit(1)).alias("landed_rows")) \
+        .withColumn("curated_rows", F.lit(0).cast("long"))
+    right = curated.select("source_file", F.lit(0).cast("long").alias("landed_rows"),
+                           "curated_rows")
+    return _reconciled(name, left.unionByName(right))
+
+
 def contract_rules(spec: TableSpec) -> list[tuple[str, str, Column]]:
     """(column, rule, violation predicate) for every declared contract."""
     rules = []
@@ -109,18 +108,53 @@ def contract_rules(spec: TableSpec) -> list[tuple[str, str, Column]]:
     return rules
 
 
-def contract_report(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """``(table_name, column_name, rule, violations)``: one pass, one
-    ``count_if`` per rule, unpivoted with ``stack``."""
-    rules = contract_rules(spec)
-    aggs = [F.count_if(F.coalesce(pred, F.lit(False))).alias(f"v{i}")
-            for i, (_, _, pred) in enumerate(rules)]
-    wide = df.agg(*aggs)
+def _stacked(wide: DataFrame, spec: TableSpec, rules) -> DataFrame:
     args = ", ".join(f"'{c}', '{r}', v{i}" for i, (c, r, _) in enumerate(rules))
     long = wide.selectExpr(
         f"stack({len(rules)}, {args}) AS (column_name, rule, violations)")
     return long.select(F.lit(spec.key).alias("table_name"), "column_name", "rule",
-                       F.col("violations").cast("bigint").alias("violations"))
+                       F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
+def contract_report(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``(table_name, column_name, rule, violations)``: one pass, one
+    ``count_if`` per rule, unpivoted with ``stack``."""
+    rules = contract_rules(spec)
+    return _stacked(df.agg(*[F.count_if(F.coalesce(pred, F.lit(False))).alias(f"v{i}")
+                             for i, (_, _, pred) in enumerate(rules)]), spec, rules)
+
+
+def joined_contract_report(spec: TableSpec, left: set[str], totals) -> DataFrame:
+    """The report of a joined table without joining: each rule is counted per
+    join key on the side its column comes from and weighted by the other side's
+    rows. ``left``: columns of the records; ``totals(record_sums,
+    diagnosis_sums)`` gives the per-key sums."""
+    rules = contract_rules(spec)
+    sums = {f"v{i}": F.coalesce(pred, F.lit(False)).cast("int")
+            for i, (_, _, pred) in enumerate(rules)}
+    mine = {f"v{i}" for i, (c, _, _) in enumerate(rules) if c in left}
+    per_key = totals({v: c for v, c in sums.items() if v in mine},
+                     {v: c for v, c in sums.items() if v not in mine})
+    return _stacked(per_key.agg(*[
+        F.sum(F.col(v) * F.col("n_diagnoses" if v in mine else "n_records")).alias(v)
+        for v in sums]), spec, rules)
+
+
+def out_of_order(table: DataFrame, keys) -> DataFrame:
+    """``rows, out_of_order`` of a table read back from Parquet files: how many
+    rows sort below their predecessor, within each file and from one file to the
+    next in name order."""
+    key = F.struct(*[F.col(k) for k in keys])
+    rows = table.select(key.alias("k"), F.col("_metadata.file_name").alias("f"),
+                        F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    files = rows.withColumn("bad", (before > F.col("k")).cast("int")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
+        F.min_by("k", "i").alias("first"), F.max_by("k", "i").alias("last"))
+    step = F.lag("last").over(Window.orderBy("f")) > F.col("first")     # one row per file
+    return files.withColumn("bad", F.col("bad") + F.coalesce(step.cast("int"), F.lit(0))).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("out_of_order"))
 
 
 def family_size(population: DataFrame) -> DataFrame:

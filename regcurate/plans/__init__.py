@@ -21,6 +21,12 @@ PLANS = {
 MULTI_INPUT = {"deaths", "diagnoses"}
 
 
+def accepts(name: str, register: str) -> bool:
+    """Whether a landed register is an input of curated table ``name``."""
+    mod = PLANS[name]
+    return mod.accepts(register) if hasattr(mod, "accepts") else register in mod.INPUTS
+
+
 def build(name: str, inputs: dict, **kw):
     """Build curated table ``name`` from ``{register: DataFrame}``."""
     mod = PLANS[name]

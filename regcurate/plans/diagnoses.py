@@ -5,9 +5,9 @@ to one schema from the pair's column map, tagged with the register and the
 file period, and filtered on their keys (records: record id and person id;
 diagnoses: record id). The five record sides and the five diagnosis sides
 are each unioned and joined in one inner equi-join on
-``(register, period, record_id)``: one shuffle for all pairs. Alignment
-keys that are hot on the diagnosis side (a 1% sample) are salted, see
-:mod:`regcurate.operators.skew`.
+``(register, period, record_id)``: one shuffle for all pairs; AQE's skew join
+splits a hot record id on either side. Counts over the joined rows need no join,
+see :func:`counts`.
 
 ``patient_icd8`` is both sides of its pair (a self-join: a repeated record
 id multiplies). The covered period is taken on the filtered records, before
@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_empty, period_from_file_name
-from ..operators.joins import ALIGN_KEYS, aligned_join, normalise
-from ..operators.skew import hot_keys
+from ..operators.joins import aligned_join, key_totals, normalise
 from ..operators.landing import union_all
 from ..specs.curated import DIAGNOSIS_PAIRS, table
 from ..specs.registers import spec as register_spec
@@ -72,14 +71,9 @@ def missing_pairs(inputs: dict[str, DataFrame]) -> list[str]:
             if s["records"][0] not in inputs or s["diagnoses"][0] not in inputs]
 
 
-def _hot(inputs: dict[str, DataFrame]) -> list[tuple]:
-    """Hot alignment keys of the diagnosis side, from a 1% sample."""
-    return hot_keys(diagnoses(inputs), list(ALIGN_KEYS))
-
-
 def build_with_register(inputs: dict[str, DataFrame]) -> DataFrame:
     """The joined rows plus the ``register`` tag (for per-register profiles)."""
-    joined = aligned_join(records(inputs), diagnoses(inputs), hot=_hot(inputs))
+    joined = aligned_join(records(inputs), diagnoses(inputs))
     return joined.select("register", *SPEC.names)
 
 
@@ -90,9 +84,22 @@ def build(inputs: dict[str, DataFrame], observe=None) -> DataFrame:
     if observe is not None:
         obs, metrics = observe
         rec = rec.observe(obs, *metrics)
-    joined = aligned_join(rec, diagnoses(inputs), hot=_hot(inputs))
+    joined = aligned_join(rec, diagnoses(inputs))
     return select_contract(joined, SPEC, {})
 
 
+def counts(inputs: dict[str, DataFrame], by: tuple[str, ...] = (), record_sums=None,
+           diagnosis_sums=None) -> DataFrame:
+    """Per alignment key (and ``by``) the rows of both sides; the joined rows are
+    ``n_records * n_diagnoses``."""
+    return key_totals(records(inputs), diagnoses(inputs), record_sums or {},
+                      diagnosis_sums or {}, by=by)
+
+
+def record_columns() -> set[str]:
+    """Curated columns that come from the records."""
+    return {*next(iter(DIAGNOSIS_PAIRS.values()))["records"][1], "record_source_file"}
+
+
 def bounds_input(inputs: dict[str, DataFrame]) -> DataFrame:
     return records(inputs)

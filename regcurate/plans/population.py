@@ -1,8 +1,7 @@
 """T-7 population (register ``bef``): first file wins.
 
 drop empty person ids -> rename -> recode gender -> keep the rows of each
-person's first file (all of them; see :mod:`regcurate.operators.dedup` for
-the adaptive choice between the window and the skew-safe join form).
+person's first file (all of them; see :mod:`regcurate.operators.dedup`).
 The covered period is taken *before* the dedup, over all kept-key rows.
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.columns import non_empty, recode_gender
-from ..operators.dedup import MAX_GROUP_ROWS, first_file_wins, hot_keys, one_row_per_key
+from ..operators.dedup import first_file_wins, first_file_wins_window, one_row_per_key
 from ..specs.curated import POPULATION_RENAMES, table
 from ._common import renamed, select_contract
 
@@ -26,19 +25,13 @@ def candidates(bef: DataFrame) -> DataFrame:
     return select_contract(bef.where(non_empty("PNR")), SPEC, exprs)
 
 
-def build(bef: DataFrame, strategy: str = "auto", observe=None) -> DataFrame:
-    """``observe=(Observation, [metrics])`` is evaluated on the candidates --
-    where the covered period is defined -- in the same pass as the table."""
-    cands = candidates(bef)
-    hot = None
-    if strategy in ("auto", "join"):   # sampled before the observation is attached
-        hot = hot_keys(cands, "person_id", MAX_GROUP_ROWS)
-        if strategy == "auto":
-            strategy = "join" if hot else "window"
-    if observe is not None:
-        obs, metrics = observe
-        cands = cands.observe(obs, *metrics)
-    return first_file_wins(cands, "person_id", "source_file", strategy, hot=hot)
+def build(bef: DataFrame) -> DataFrame:
+    return first_file_wins(candidates(bef), "person_id", "source_file")
+
+
+def build_window(bef: DataFrame) -> DataFrame:
+    """The same table with ``rank`` over the person (small persons only)."""
+    return first_file_wins_window(candidates(bef), "person_id", "source_file")
 
 
 def build_unique(bef: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ is unset (tests, bench) and never override cluster settings.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
@@ -24,7 +25,7 @@ _DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "regcurate") -> SparkSession:
+                  app: str = "regcurate", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,12 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("REGCURATE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        # local runs only: a scratch folder; clusters name a shared one
-        builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="regcurate-ckpt-"))
-    else:
-        builder = builder.config("spark.checkpoint.dir", os.environ["SPARK_CHECKPOINT_DIR"])
+    folder = checkpoint_dir or os.environ.get("SPARK_CHECKPOINT_DIR")
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -79,35 +77,41 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; set a scratch one only when unset
-    (local tests). On a cluster it is always configured and shared."""
+    """The shared folder for intermediate tables: the one the session names in
+    ``spark.checkpoint.dir``. Only a local session, which has one machine, gets
+    a scratch folder where none is named; on a cluster that is an error, as
+    executors would write to their own disks."""
     d = checkpoint_dir(spark)
     sc = _context(spark)
-    if d:
-        if sc is not None and sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="regcurate-ckpt-")
-    if sc is not None:
+    if not d:
+        master = sc.master if sc is not None else ""
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all "
+                               "executors share")
+        d = tempfile.mkdtemp(prefix="regcurate-ckpt-")
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir()
     return d
 
 
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
-                            target_bytes: int = 256 << 20, floor: int = 200) -> int:
-    """Size ``spark.sql.shuffle.partitions`` from the input volume, so that a
-    shuffle of the whole input gives about ``target_bytes`` per partition
-    (AQE coalesces the small ones and splits skewed ones at runtime). A value
-    set at launch (``--conf``) is left alone. Returns the value in effect."""
-    sc = _context(spark)
-    if sc is not None and sc.getConf().contains("spark.sql.shuffle.partitions"):
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(floor, -(-int(input_bytes) // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_bytes,
-                                                                              128 << 20)))
-    return n
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, inputs, target_bytes: int = 256 << 20):
+    """Shuffles inside get about ``target_bytes`` per partition of ``inputs``, by
+    Spark's own size statistics (no job). A value set at launch or on the session
+    is left alone, and the session is as before afterwards."""
+    key, sc = "spark.sql.shuffle.partitions", _context(spark)
+    old = spark.conf.get(key)
+    if sc is None or sc.getConf().contains(key) or old != "200":     # 200: Spark's default
+        yield
+        return
+    size = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+               for df in inputs)
+    spark.conf.set(key, str(max(int(old), min(-(-size // target_bytes), 1 << 20))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 _SHIPPED: set[str] = set()

@@ -2,12 +2,13 @@
 and their JSON sidecars.
 
 * The row count and the covered period come from the write itself
-  (``DataFrame.observe``): no second pass. Where the period is defined at
-  another point of the plan (population: before the dedup; diagnoses: on
-  the records before the join) the observation sits at that node.
+  (``DataFrame.observe``): no second pass. For diagnoses the period is observed
+  on the records, before the join; for population it is defined before the
+  dedup, whose plan reads its input more than once, so there it is one aggregate
+  over a single column.
 * Writes are whole-table ``overwrite`` (an empty input still leaves a table
   with the full schema), or dynamic partition overwrite for landing, so a
-  re-landed period replaces only itself. Spark's commit protocol makes a
+  re-landed extract file replaces only itself. Spark's commit protocol makes a
   failed or retried task invisible: lost executors do not leave half files.
 * Category-partitioned output is rebalanced on the category first
   (``REBALANCE`` hint): AQE splits a dominant category over several tasks
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import plans
@@ -40,9 +41,9 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by=()):
 
 
 def write_landed(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Landing sink: one table per register, partitioned by ``period``;
-    only the periods present in ``df`` are replaced."""
-    (_writer(df, fmt, "overwrite", ("period",))
+    """Landing sink: one table per register, a folder per period and extract
+    file; only the extract files present in ``df`` are replaced."""
+    (_writer(df, fmt, "overwrite", ("period", "source_file"))
      .option("partitionOverwriteMode", "dynamic").save(path))
 
 
@@ -62,6 +63,13 @@ def sorted_for_write(df: DataFrame, keys) -> DataFrame:
     return out.repartitionByRange(*ordered).sortWithinPartitions(*ordered).drop("_tiebreak")
 
 
+_FORMATS = {
+    "parquet": {"extension": "parquet", "type": "binary"},
+    "csv": {"extension": "csv", "type": "text", "delimiter": ",", "quote": "\"",
+            "linebreaks": "\n"},
+}
+
+
 def sidecar(spec: TableSpec, rows: int, first: str | None, last: str | None,
             fmt: str) -> dict:
     """Sidecar dictionary: size, covered period, columns with lineage."""
@@ -69,7 +77,8 @@ def sidecar(spec: TableSpec, rows: int, first: str | None, last: str | None,
     last = LAST_START if last is None else last
     cols = {}
     for i, c in enumerate(spec.columns):
-        entry = {"index": i, "title": c.title, "type": c.type, "nullable": c.nullable}
+        entry = {"index": i, "title": c.title, "description": c.description,
+                 "examples": list(c.examples), "type": c.type, "nullable": c.nullable}
         if c.format:
             entry["format"] = c.format
         if c.enum:
@@ -84,7 +93,7 @@ def sidecar(spec: TableSpec, rows: int, first: str | None, last: str | None,
         "key": spec.key,
         "title": spec.title,
         "description": spec.description.format(first=first, last=last),
-        "file_format": {"extension": fmt, "type": "binary" if fmt == "parquet" else "text"},
+        "file_format": _FORMATS[fmt],
         "size": rows,
         "period": {"first": first, "last": last},
         "sorted_by": list(spec.sorted_by),
@@ -104,15 +113,13 @@ def write_curated(name: str, inputs: dict[str, DataFrame], path: str, fmt: str =
     spec = TABLES[name]
     first_col, last_col = spec.period_columns
     bounds = [F.min(first_col).alias("first"), F.max(last_col).alias("last")]
-    rows_obs = Observation(f"rows_{name}")
+    rows_obs, bounds_obs = Observation(f"rows_{name}"), Observation(f"bounds_{name}")
     rows_metrics = [F.count(F.lit(1)).alias("rows")]
-    if name in ("population", "diagnoses"):
-        bounds_obs = Observation(f"bounds_{name}")
+    if name == "diagnoses":
         df = plans.build(name, inputs, observe=(bounds_obs, bounds))
     else:
-        bounds_obs = rows_obs
-        rows_metrics += bounds
         df = plans.build(name, inputs)
+        rows_metrics += bounds if name != "population" else []
     if spec.partition_by:
         df = df.hint("rebalance", *spec.partition_by)
     elif sort and spec.sorted_by:
@@ -120,17 +127,20 @@ def write_curated(name: str, inputs: dict[str, DataFrame], path: str, fmt: str =
     # observed last: above any range-partition sampling job, counted once
     df = df.observe(rows_obs, *rows_metrics)
     _writer(df, fmt, "overwrite", spec.partition_by).save(path)
-    got_rows, got_bounds = rows_obs.get, bounds_obs.get
-    meta = sidecar(spec, int(got_rows.get("rows", 0)), got_bounds.get("first"),
-                   got_bounds.get("last"), fmt)
-    write_json(path.rstrip("/") + "_metadata.json", meta)
+    got = dict(rows_obs.get)
+    if name == "diagnoses":
+        got |= bounds_obs.get
+    elif name == "population":
+        got |= plans.bounds_input(name, inputs).agg(*bounds).first().asDict()
+    meta = sidecar(spec, int(got.get("rows") or 0), got.get("first"), got.get("last"), fmt)
+    write_json(df.sparkSession, path.rstrip("/") + "_metadata.json", meta)
     return meta
 
 
-def write_json(path: str, doc: dict) -> None:
+def write_json(spark: SparkSession, path: str, doc: dict) -> None:
     """Write a small JSON document next to a table (any file system)."""
-    write_text(path, json.dumps(doc, indent=2, ensure_ascii=False))
+    write_text(spark, path, json.dumps(doc, indent=2, ensure_ascii=False))
 
 
-def read_json(path: str) -> dict:
-    return json.loads(read_text(path))
+def read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(read_text(spark, path))

@@ -4,14 +4,13 @@
   or ``patient_icd8.parquet`` (undated folder, period ``"0"``);
 * the register name of a file is matched against the landing spec
   (whitelist); other files are ignored;
-* Parquet copies are read by column name in one scan per register (a column
-  a file lacks reads as null);
-* CSV copies can change column order between years. Spark applies a CSV schema
-  by position, so files are grouped by their header line (read in a
-  distributed job, first bytes of each file only) and each layout is scanned
-  with its own schema, then unioned by name.
-
-File listing, file-name parsing and header peeking are metadata work; rows
+* files of one register can differ in columns, column order (CSV, which Spark
+  reads by position) and types (Parquet copies of typed extracts). So files are
+  grouped by layout -- the header line, or the footer's schema, read on the
+  executors -- and each layout is scanned with its own schema, every value made
+  a string, and unioned by name. A column a file lacks reads as null.
+
+File listing, file-name parsing and layout peeking are metadata work; rows
 never pass through the driver.
 """
 
@@ -20,14 +19,16 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import base_name, dataset_from_file_name, dated_period
 from ..operators.landing import PROVENANCE, land_register, project_to_spec, union_all
+from ..session import ship_package
 from ..specs.registers import REGISTERS, RegisterSpec
-from .fs import read_head
+from .fs import read_first_line, read_parquet_schema
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -52,114 +53,130 @@ def register_files(spark: SparkSession, root: str, dated: bool = True,
     return files.where(F.col("dataset").isin(list(registers)))
 
 
-def _file_name_filter(spec: RegisterSpec, dated: bool):
-    fname = F.col("_metadata.file_name")
-    return dataset_from_file_name(fname, dated) == F.lit(spec.name)
-
-
-def read_parquet_register(spark: SparkSession, root: str, spec: RegisterSpec,
-                          dated: bool | None = None, layout: str = "files") -> DataFrame:
-    """One scan for all files of a register: read by name with the spec schema,
-    ``source_file`` from ``_metadata.file_name``. The file-name predicate is on
-    a metadata column, so Spark prunes non-matching files before reading.
-
-    ``layout="partitioned"`` reads ``<root>/source_file=<extract>/part-*``
-    instead: provenance is the partition value, the register filter a
-    partition filter."""
+def folder_files(spark: SparkSession, root: str | None, dated: bool,
+                 registers: dict[str, RegisterSpec] | None = None,
+                 glob: str = "*") -> DataFrame | None:
+    """:func:`register_files`, or None where the folder does not exist. Any other
+    listing failure (credentials, an unknown scheme) is raised."""
+    if not root:
+        return None
+    try:
+        return register_files(spark, root, dated, registers, glob)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_partitioned_register(spark: SparkSession, root: str, spec: RegisterSpec,
+                              dated: bool | None = None) -> DataFrame:
+    """A register laid out as ``<root>/source_file=<extract>/part-*``: provenance
+    is the partition value, the register filter a partition filter."""
     dated = spec.dated if dated is None else dated
-    if layout == "partitioned":
-        df = spark.read.schema(spec.schema(with_source_file=True)).parquet(root)
-        return (df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
-                .select(*spec.columns, PROVENANCE))
-    glob = f"{spec.name}*.parquet" if dated else f"{spec.name}.parquet"
-    df = (
-        spark.read.schema(spec.schema(with_source_file=True)).option("pathGlobFilter", glob)
-        .parquet(root)
-        .where(_file_name_filter(spec, dated))
-        .select(*spec.columns, _provenance(F.col(PROVENANCE)))
-    )
-    return df
+    df = spark.read.schema(spec.schema(with_source_file=True)).parquet(root)
+    return (df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
+            .select(*spec.columns, PROVENANCE))
 
 
-def _provenance(in_file: F.Column | None = None) -> F.Column:
+def _provenance(in_file: Column | None = None) -> Column:
     """``source_file``: the value carried in the file when there is one (a
     landed copy keeps its original extract name), else the file's name."""
     name = F.col("_metadata.file_name")
     return (name if in_file is None else F.coalesce(in_file, name)).alias(PROVENANCE)
 
 
-def _headers(batches):
-    import pandas as pd
+def rows_by_file(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """``file_name, rows`` of the Parquet files of a folder that have rows. No
+    column is read, only row counts."""
+    none = T.StructType([T.StructField("_none", T.StringType(), True)])
+    return (spark.read.schema(none).option("pathGlobFilter", glob).parquet(root)
+            .groupBy(F.col("_metadata.file_name").alias("file_name"))
+            .agg(F.count(F.lit(1)).alias("rows")))
 
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            chunk = read_head(p)
-            line = chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
-            heads.append(",".join(next(csv.reader(io.StringIO(line)), [])))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
 
+# --- layouts ------------------------------------------------------------------
 
-def csv_layouts(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """``path, header`` for every file, read on the executors (first 64 KiB)."""
-    return files.select("path").mapInPandas(_headers, "path string, header string")
+def _csv_header(path: str) -> list[str]:
+    """Column names of a CSV file; a byte-order mark is not part of them."""
+    line = read_first_line(path).rstrip(b"\r").decode("utf-8-sig", "replace")
+    return next(csv.reader(io.StringIO(line)), [])
 
 
-def read_csv_register(spark: SparkSession, root: str, spec: RegisterSpec,
-                      dated: bool | None = None, null_value: str = "NA",
-                      single_layout: bool = False) -> DataFrame:
-    """All CSV files of a register, every value a string.
+def _parquet_header(path: str) -> list[str]:
+    return [f"{f.name}\t{f.type}" for f in read_parquet_schema(path)]
 
-    ``single_layout=True`` skips the header check and lets Spark verify each
-    file's header against the spec order (``enforceSchema=false`` fails on a
-    mismatch instead of reading columns under the wrong names).
-    """
-    dated = spec.dated if dated is None else dated
-    glob = f"{spec.name}*.csv" if dated else f"{spec.name}.csv"
-    reader = (spark.read.option("header", "true").option("nullValue", null_value)
-              .option("mode", "FAILFAST"))
-    if single_layout:
-        df = (reader.option("enforceSchema", "false").schema(spec.schema())
-              .option("pathGlobFilter", glob).csv(root)
-              .where(_file_name_filter(spec, dated)))
-        return df.select(*spec.columns, _provenance())
 
-    files = register_files(spark, root, dated, {spec.name: spec}, glob)
-    return read_csv_files(spark, files, spec, null_value)
-
-
-def read_csv_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec,
-                   null_value: str = "NA") -> DataFrame:
-    """CSV files listed in ``files`` (a ``path`` column), one scan per header
-    layout, unioned by name into the spec's columns + ``source_file``."""
-    reader = (spark.read.option("header", "true").option("nullValue", null_value)
-              .option("mode", "FAILFAST"))
-    # one row per file: bounded by the number of files, like Spark's own file index
-    layouts: dict[str, list[str]] = {}
-    for row in csv_layouts(spark, files).collect():
-        layouts.setdefault(row["header"], []).append(row["path"])
-    if not layouts:
-        return spark.createDataFrame([], spec.schema(with_source_file=True))
+def layouts(files: DataFrame, fmt: str) -> list[tuple[list[str], list[str]]]:
+    """(header, paths) of each layout among ``files`` (a ``path`` column). The
+    heads are read on the executors; the driver gets every header once, and the
+    paths, as Spark's own file index does."""
+    ship_package(files.sparkSession)
+    header = _csv_header if fmt == "csv" else _parquet_header
+
+    def heads(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame({"path": pdf["path"], "header": [header(p) for p in pdf["path"]]})
+
+    found = files.select("path").mapInPandas(heads, "path string, header array<string>") \
+        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return sorted((r["header"], r["paths"]) for r in found)
+
+
+def as_text(c: Column, kind: T.DataType) -> Column:
+    """A typed value as the text an extract would carry: dates as YYYY-MM-DD,
+    whole numbers without decimals."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+        return F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+    if isinstance(kind, T.DecimalType):
+        return F.regexp_replace(c.cast("string"), r"\.0+$", "")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        day = F.date_format(c, "yyyy-MM-dd")
+        midnight = F.date_format(c, "HH:mm:ss") == "00:00:00"
+        return F.when(midnight, day).otherwise(F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
+    return c.cast("string")
+
+
+def _read_layout(spark: SparkSession, header: list[str], paths: list[str], fmt: str,
+                 null_value: str) -> DataFrame:
+    if fmt == "csv":
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in header])
+        return (spark.read.option("header", "true").option("nullValue", null_value)
+                .option("mode", "FAILFAST").schema(schema).csv(paths))
+    return spark.read.parquet(*paths)           # one schema: any footer gives it
+
+
+def read_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec, fmt: str = "parquet",
+               null_value: str = "NA") -> DataFrame:
+    """Files listed in ``files`` (a ``path`` column), one scan per layout, every
+    value a string, unioned by name into the spec's columns + ``source_file``."""
     frames = []
-    for header, paths in sorted(layouts.items()):
-        names = header.split(",")
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        df = reader.schema(schema).csv(paths)
-        carried = F.col(PROVENANCE) if PROVENANCE in names else None
-        df = df.select(*[F.col(f"`{n}`") for n in names if n in spec.columns],
-                       _provenance(carried))
-        frames.append(project_to_spec(df, spec.columns))
+    for header, paths in layouts(files, fmt):
+        df = _read_layout(spark, header, paths, fmt, null_value)
+        kinds = {f.name: f.dataType for f in df.schema}
+        carried = F.col(PROVENANCE).cast("string") if PROVENANCE in kinds else None
+        frames.append(project_to_spec(
+            df.select(*[as_text(F.col(f"`{n}`"), k).alias(n) for n, k in kinds.items()
+                        if n in spec.columns], _provenance(carried)), spec.columns))
+    if not frames:
+        return spark.createDataFrame([], spec.schema(with_source_file=True))
     return union_all(frames)
 
 
 def read_register(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str = "parquet",
-                  dated: bool | None = None, **kw) -> DataFrame:
+                  dated: bool | None = None, layout: str = "files",
+                  null_value: str = "NA") -> DataFrame:
     """Read one register (raw columns + ``source_file``) from a landing folder."""
-    if fmt == "parquet":
-        return read_parquet_register(spark, root, spec, dated, **kw)
-    if fmt == "csv":
-        return read_csv_register(spark, root, spec, dated, **kw)
-    raise ValueError(f"unsupported format {fmt!r}")
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"unsupported format {fmt!r}")
+    if layout == "partitioned":
+        return read_partitioned_register(spark, root, spec, dated)
+    dated = spec.dated if dated is None else dated
+    glob = f"{spec.name}*.{fmt}" if dated else f"{spec.name}.{fmt}"
+    files = register_files(spark, root, dated, {spec.name: spec}, glob)
+    return read_files(spark, files, spec, fmt, null_value)
 
 
 def land_folder(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str = "parquet",
@@ -174,7 +191,17 @@ def landed_schema(spec: RegisterSpec) -> T.StructType:
 
 
 def read_landed(spark: SparkSession, path: str, spec: RegisterSpec) -> DataFrame:
-    """A landed register table. The schema is given, so the ``period``
-    partition column stays a string (no partition-type inference: ``0`` and
-    ``198512`` are names, not numbers) and filters on it prune folders."""
-    return spark.read.schema(landed_schema(spec)).parquet(path)
+    """A landed register table. The schema is given, so the partition columns
+    ``period`` and ``source_file`` stay strings (no partition-type inference:
+    ``0`` and ``198512`` are names, not numbers) and filters on them prune
+    folders."""
+    schema = landed_schema(spec)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def files_without_key(landed: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``source_file, key``: files that have rows but no value at all in a key
+    column -- the column is missing, or spelled differently."""
+    wide = landed.groupBy(PROVENANCE).agg(*[F.count(k).alias(k) for k in keys])
+    return wide.select(PROVENANCE, F.explode(F.array_compact(F.array(
+        *[F.when(F.col(k) == 0, F.lit(k)) for k in keys]))).alias("key"))

@@ -1,11 +1,63 @@
-"""Small-file access (headers, sidecars) on any file system Spark uses,
-through ``pyarrow.fs``: local paths, ``file:``, ``hdfs://``, ``s3a://``."""
+"""Small metadata access (existence, rename, sidecars) through Hadoop's file
+systems, with the session's own credentials, and file heads read by the
+executors through ``pyarrow.fs`` (local paths, ``file:``, ``hdfs://``,
+``s3a://``)."""
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the entries of a folder."""
+    fs, p, _ = _hadoop(spark, path)
+    return [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(p)]
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, p, jvm = _hadoop(spark, path)
+    target = jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    fs, p, _ = _hadoop(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _hadoop(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p, jvm = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
 
 def resolve(path: str):
-    """``(FileSystem, path)`` for a Spark-style URI or a plain local path."""
+    """pyarrow ``(FileSystem, path)`` for a Spark-style URI or a local path."""
     from pyarrow import fs
 
     if path.startswith("file:") and not path.startswith("file:///"):
@@ -17,22 +69,22 @@ def resolve(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def read_head(path: str, nbytes: int = 1 << 16) -> bytes:
+def read_first_line(path: str, chunk: int = 1 << 16) -> bytes:
+    """Bytes up to the first newline, however long the line is."""
     filesystem, p = resolve(path)
+    parts = []
     with filesystem.open_input_stream(p) as stream:
-        return stream.read(nbytes)
-
+        while data := stream.read(chunk):
+            head, newline, _ = data.partition(b"\n")
+            parts.append(head)
+            if newline:
+                break
+    return b"".join(parts)
 
-def write_text(path: str, text: str) -> None:
-    filesystem, p = resolve(path)
-    parent = p.rsplit("/", 1)[0]
-    if parent:
-        filesystem.create_dir(parent, recursive=True)
-    with filesystem.open_output_stream(p) as out:
-        out.write(text.encode("utf-8"))
 
+def read_parquet_schema(path: str):
+    """Arrow schema of one Parquet file, from its footer."""
+    import pyarrow.parquet as pq
 
-def read_text(path: str) -> str:
     filesystem, p = resolve(path)
-    with filesystem.open_input_stream(p) as stream:
-        return stream.read().decode("utf-8")
+    return pq.read_schema(p, filesystem=filesystem)

@@ -7,7 +7,9 @@ the sidecar reports and the contract report checks, not the stored type.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+
+from .registers import REGISTERS
 
 DATE_FORMAT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
@@ -21,6 +23,8 @@ class ColumnSpec:
     format: str | None = None      # regex the text must match
     enum: tuple[str, ...] = ()     # allowed values
     origin: tuple[str, ...] = ()   # "REGISTER:COLUMN" lineage
+    description: str = ""
+    examples: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -45,6 +49,17 @@ class TableSpec:
         raise KeyError(name)
 
 
+@dataclass(frozen=True)
+class Era:
+    """Years in which a value stands in ``column``: from ``since`` on, up to
+    ``up_to`` inclusive, or strictly below ``below``."""
+
+    column: str
+    since: str | None = None
+    up_to: str | None = None
+    below: str | None = None
+
+
 def _c(name, title, type="string", nullable=False, format=None, enum=(), origin=()):
     return ColumnSpec(name, title, type, nullable, format, tuple(enum), tuple(origin))
 
@@ -105,6 +120,8 @@ DEATHS_VARIANTS = {
 }
 # file-name prefix (case-folded) that selects the first variant; others use the second
 DEATHS_PRIMARY_PREFIX = "dodsaars"
+# every register whose name starts so is an input of deaths
+DEATHS_REGISTER_PREFIX = "dodsaa"
 
 # prescriptions: lmdb columns in spec order, renamed by position
 PRESCRIPTION_COLUMNS = ("person_id", "atc_id", "ibnr_id", "dispensed_at", "volume",
@@ -114,17 +131,17 @@ PRESCRIPTION_COLUMNS = ("person_id", "atc_id", "ibnr_id", "dispensed_at", "volum
 ATC_CATEGORIES = ("A", "B", "C", "D", "G", "H", "J", "L", "M", "N", "P", "R", "S", "V")
 NO_CATEGORY = "_none"
 
-# employment eras: (lowest year, highest year, source column); bounds are
-# compared as *strings*, the way the source compares its character year
+# employment eras; bounds are compared as *strings*, the way the source
+# compares its character year (so "199112" is below "1992" but above "1991")
 STATUS_ERAS = (
-    (None, "1993", "ARBSTIL"),
-    ("1994", "1995", "NYARB"),
-    ("1996", "2007", "SOCSTIL_KODE"),
+    Era("ARBSTIL", up_to="1993"),
+    Era("NYARB", since="1994", up_to="1995"),
+    Era("SOCSTIL_KODE", since="1996", up_to="2007"),
 )
 STATUS_DEFAULT = "SOC_STATUS_KODE"
 INDUSTRY_ERAS = (
-    (None, "1991", "BRANCHE_77"),      # written "year < 1992" at the source
-    ("1992", "2007", "BRANCHE_KODE"),
+    Era("BRANCHE_77", below="1992"),
+    Era("BRANCHE_KODE", since="1992", up_to="2007"),
 )
 INDUSTRY_DEFAULT = "ARB_HOVED_BRA_DB07"
 
@@ -262,10 +279,10 @@ TABLES: dict[str, TableSpec] = {
             _c("year", "Year", "integer"),
             _c("status_source", "Column the status was taken from"),
             _c("status", "Labour-market status code",
-               origin=tuple(f"RAS:{e[2]}" for e in STATUS_ERAS) + (f"RAS:{STATUS_DEFAULT}",)),
+               origin=tuple(f"RAS:{e.column}" for e in STATUS_ERAS) + (f"RAS:{STATUS_DEFAULT}",)),
             _c("industry_source", "Column the industry was taken from"),
             _c("industry", "Industry code", "number",
-               origin=tuple(f"RAS:{e[2]}" for e in INDUSTRY_ERAS) + (f"RAS:{INDUSTRY_DEFAULT}",)),
+               origin=tuple(f"RAS:{e.column}" for e in INDUSTRY_ERAS) + (f"RAS:{INDUSTRY_DEFAULT}",)),
             _SOURCE_FILE,
         ),
         sorted_by=("person_id",), period_columns=("year", "year"),
@@ -320,9 +337,7 @@ TABLES: dict[str, TableSpec] = {
         tuple(
             _c(n, t, ty, nullable=(n == "atc_id"), origin=(f"LMDB:{raw}",))
             for n, raw, t, ty in zip(
-                PRESCRIPTION_COLUMNS,
-                ("PNR", "ATC", "IBNR", "EKSD", "VOLUME", "VOLTYPECODE", "PACKSIZE", "STRNUM",
-                 "STRUNIT", "DOSFORM"),
+                PRESCRIPTION_COLUMNS, REGISTERS["lmdb"].columns,
                 ("Person id", "ATC code", "Item number", "Dispensing date", "Volume",
                  "Volume type code", "Pack size", "Strength", "Strength unit", "Dosage form"),
                 ("string", "code", "string", "string", "number", "string", "string", "number",
@@ -333,6 +348,83 @@ TABLES: dict[str, TableSpec] = {
     ),
 }
 
+# What a column holds and what its values look like, for the sidecars; columns
+# that mean the same in several tables are described once.
+_ABOUT: dict[str, tuple[str, tuple[str, ...]]] = {
+    "person_id": ("Pseudonymous id of a person, the same in every table; leading zeros count.",
+                  ("0012345", "778120")),
+    "family_id": ("Pseudonymous id of the family a person belongs to.", ("000451", "90377")),
+    "source_file": ("Name of the extract file the row was landed from.",
+                    ("ind2001.sas7bdat", "bef198512.sas7bdat")),
+    "tax_year": ("Year the income and taxes belong to, from the file name; empty for an "
+                 "undated extract.", ("1985", "2014")),
+    "tax_scope": ("Code telling whether, and how fully, the person is liable to tax.",
+                  ("0", "3")),
+    "tax_sum": ("All taxes of the year together.", ("41250.50", "0")),
+    "income_main_source": ("Code of the activity most of the income comes from.", ("08", "13")),
+    "income_social_contrib": ("Business income on which social contributions are paid.",
+                              ("12000", "0")),
+    "income_employment": ("Wages and salaries.", ("245000", "0")),
+    "income_social": ("Public transfers.", ("31000", "0")),
+    "income_priv_pension": ("Payments from private pensions.", ("0", "87000")),
+    "income_other": ("Income that falls under none of the other kinds.", ("150", "0")),
+    "income_sum": ("All income of the year before tax.", ("310500", "98000")),
+    "family_kind": ("Code of the kind of family.", ("1", "5")),
+    "kind": ("Code of the highest completed education.", ("1099", "4407")),
+    "institute": ("Number of the institution that awarded it.", ("101303", "109321")),
+    "source": ("Code of the source that reported the education.", ("1", "14")),
+    "completed_at": ("Date from which the education counts as completed.",
+                     ("1994-06-30", "2010-01-31")),
+    "year": ("Year of the record, from the file name; empty for an undated extract.",
+             ("1991", "199311")),
+    "status_source": ("Register column the status was taken from; it depends on the year.",
+                      ("ARBSTIL", "SOC_STATUS_KODE")),
+    "status": ("Code of the person's position on the labour market.", ("3", "112")),
+    "industry_source": ("Register column the industry was taken from; it depends on the year.",
+                        ("BRANCHE_77", "ARB_HOVED_BRA_DB07")),
+    "industry": ("Code of the industry the person works in.", ("017", "861000")),
+    "gender": ("Legal gender.", ("m", "f")),
+    "born_at": ("Date of birth.", ("1948-11-02", "2001-05-17")),
+    "birthplace_id": ("Code of the authority that registered the birth.", ("101", "8401")),
+    "mother_id": ("Person id of the mother, if known.", ("0012346", "")),
+    "father_id": ("Person id of the father, if known.", ("0012347", "")),
+    "record_id": ("Id of a hospital record; unique within one register and period only.",
+                  ("500120", "13")),
+    "patient_kind": ("Code telling in- from out-patients.", ("0", "2")),
+    "starts_at": ("Date on which the record begins.", ("1987-03-09", "2015-12-24")),
+    "ends_at": ("Date on which the record ends; empty while it is open.", ("1987-03-12", "")),
+    "diagnosis_id": ("Diagnosis code of the classification then in use.", ("DF32", "DJ459")),
+    "diagnosis_kind": ("Code telling main from additional diagnoses.", ("A", "B")),
+    "record_source_file": ("Name of the extract file the record was landed from.",
+                           ("lpr_adm1994.sas7bdat",)),
+    "diagnosis_source_file": ("Name of the extract file the diagnosis was landed from.",
+                              ("lpr_diag1994.sas7bdat",)),
+    "deceased_at": ("Date of death.", ("1993-06-04", "2008-11-30")),
+    "mode": ("Code of the manner of death.", ("01", "07")),
+    "cause_1_icd_id": ("Underlying cause of death.", ("9002", "DI219")),
+    "cause_2_icd_id": ("Second cause of death on the certificate.", ("9005", "")),
+    "cause_3_icd_id": ("Third cause of death on the certificate.", ("9001", "")),
+    "cause_4_icd_id": ("Fourth cause of death on the certificate.", ("9003", "")),
+    "atc_id": ("ATC code of the drug; empty if none was reported.", ("N06AB04", "")),
+    "ibnr_id": ("Number of the dispensing pharmacy's item.", ("27", "118")),
+    "dispensed_at": ("Date on which the drug was handed out.", ("1996-02-20", "2013-07-01")),
+    "volume": ("Amount handed out, in the unit of the volume type.", ("28", "100")),
+    "volume_type_code": ("Unit in which the volume is counted.", ("A", "N")),
+    "pack_size": ("Content of one pack.", ("1", "30")),
+    "strength": ("Strength of the drug, in the unit given next to it.", ("25", "0.5")),
+    "strength_unit": ("Unit of the strength.", ("MG", "O")),
+    "dosage_form": ("Form in which the drug is taken.", ("INJVSKS", "TABFILM")),
+}
+
+
+def _about(spec: TableSpec) -> TableSpec:
+    told = tuple(replace(c, description=_ABOUT[c.name][0], examples=_ABOUT[c.name][1])
+                 for c in spec.columns)
+    return replace(spec, columns=told)
+
+
+TABLES = {k: _about(t) for k, t in TABLES.items()}
+
 
 def table(key: str) -> TableSpec:
     return TABLES[key]

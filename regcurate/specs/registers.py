@@ -78,6 +78,17 @@ REGISTERS: dict[str, RegisterSpec] = {
 }
 
 AKM_AS_SHIPPED = RegisterSpec("akm", REGISTERS["ras"].columns)
+
+# columns a curated table filters its rows by; a file without one cannot be
+# curated (registers not named here are curated without a key)
+KEY_COLUMNS: dict[str, tuple[str, ...]] = {
+    "bef": ("PNR",), "ind": ("PNR",), "faik": ("FAMILIE_ID",), "udda": ("PNR",), "ras": ("PNR",),
+    "lpr_adm": ("RECNUM", "PNR"), "lpr_diag": ("RECNUM",),
+    "psyk_adm": ("RECNUM", "PNR"), "psyk_diag": ("RECNUM",),
+    "lpr_f_kontakter": ("DW_EK_KONTAKT", "PNR"), "lpr_f_diagnoser": ("DW_EK_KONTAKT",),
+    "patient_icd8": ("PAT_SEQ", "CPRNR"), "patient_icd10": ("PAT_SEQ", "CPRNR"),
+    "diag_icd10": ("PAT_SEQ",),
+}
 # -----------------------------------------------------------------------------
 
 

@@ -1,145 +1,74 @@
 """Incremental landing: a file that has been landed is never landed again.
 
-A Structured Streaming file source over the register's folder, run with
-``trigger(availableNow=True)``: every run processes exactly the files that
-arrived since the last run (the source's file log in the checkpoint is the
-"already landed" list) and stops. A rerun with no new file adds no rows; a
-new year's file adds only its own rows. The checkpoint must be on shared
-storage (``spark.checkpoint.dir`` or a path next to the table) so that a
-restarted driver or lost executors resume from it.
+A Structured Streaming ``binaryFile`` source over a register's folders yields
+the paths of files not seen before (``content`` is not selected, so the stream
+reads no bytes); the source's file log in the checkpoint is the "already landed"
+list, and files are taken whatever their modification time. With
+``trigger(availableNow=True)`` every run lands exactly the files that arrived
+since the last run and stops. Each micro-batch is read by the layout-aware batch
+reader and written by the batch sink, which replaces whole extract files: a batch
+that is run again leaves no duplicate rows, and incremental and batch landing
+share one table.
+
+The checkpoint must be on shared storage, so that a restarted driver or lost
+executors resume from it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import dataset_from_file_name
-from ..operators.landing import PROVENANCE, land_register
+from ..operators.landing import land_register
+from ..sinks.writers import write_landed
+from ..sources.files import read_files
 from ..specs.registers import RegisterSpec
 
-
-def stream_register(spark: SparkSession, root: str, spec: RegisterSpec, fmt: str = "parquet",
-                    dated: bool | None = None, max_files_per_trigger: int | None = None,
-                    layout: str = "files"):
-    """Streaming DataFrame of one register's rows, landed (spec columns,
-    ``source_file``, ``period``).
-
-    ``layout="files"``: one file per extract, named ``<register><period>.<ext>``.
-    ``layout="partitioned"``: ``<root>/source_file=<extract name>/part-*`` (as
-    Spark writes ``partitionBy("source_file")``); provenance is the partition
-    value and the register filter prunes folders.
-    """
-    dated = spec.dated if dated is None else dated
-    if layout == "partitioned":
-        reader = spark.readStream.format(fmt).schema(spec.schema(with_source_file=True))
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        df = reader.load(root)
-        df = df.where(dataset_from_file_name(F.col(PROVENANCE), dated) == F.lit(spec.name))
-        return land_register(df.select(*spec.columns, PROVENANCE), spec)
-    ext = "csv" if fmt == "csv" else "parquet"
-    glob = f"{spec.name}*.{ext}" if dated else f"{spec.name}.{ext}"
-    reader = spark.readStream.format(fmt).schema(spec.schema()).option("pathGlobFilter", glob)
-    if fmt == "csv":
-        reader = (reader.option("header", "true").option("nullValue", "NA")
-                  .option("enforceSchema", "false"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.load(root)
-    fname = F.col("_metadata.file_name")
-    df = (df.where(dataset_from_file_name(fname, dated) == F.lit(spec.name))
-          .select(*spec.columns, fname.alias(PROVENANCE)))
-    return land_register(df, spec)
-
-
-def land_available_now(spark: SparkSession, root: str, spec: RegisterSpec, out_path: str,
-                       checkpoint: str, fmt: str = "parquet", dated: bool | None = None,
-                       layout: str = "files") -> int:
-    """Land the files of ``root`` not landed before into ``out_path``
-    (Parquet, partitioned by period). Returns the number of rows added."""
-    landed = stream_register(spark, root, spec, fmt, dated, layout=layout)
-    query = (landed.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint).partitionBy("period")
-             .trigger(availableNow=True).start(out_path))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-
-
-def land_folders_available_now(spark: SparkSession, dated_dir: str | None,
-                               undated_dir: str | None, spec: RegisterSpec, out_path: str,
-                               checkpoint: str, fmt: str = "parquet") -> int:
-    """Incremental landing of one register from both folders in *one*
-    streaming query: the dated stream and the undated stream are unioned, so
-    the table has one sink log and one checkpoint. Returns rows added."""
-    streams = []
-    if dated_dir and spec.dated:
-        streams.append(stream_register(spark, dated_dir, spec, fmt, dated=True))
-    if undated_dir:
-        streams.append(stream_register(spark, undated_dir, spec, fmt, dated=False))
-    if not streams:
-        return 0
-    landed = streams[0]
-    for s in streams[1:]:
-        landed = landed.unionByName(s)
-    query = (landed.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", checkpoint).partitionBy("period")
-             .trigger(availableNow=True).start(out_path))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-
-
 _BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-
-
-def land_csv_available_now(spark: SparkSession, dated_dir: str | None,
-                           undated_dir: str | None, spec: RegisterSpec, out_path: str,
-                           checkpoint: str, null_value: str = "NA") -> int:
-    """Incremental CSV landing that survives header drift between years.
-
-    A streaming ``binaryFile`` source over each folder yields the paths of
-    files not seen before (``content`` is not selected, so no bytes are read
-    by the stream); each micro-batch lands exactly those files with the batch
-    reader, which groups files by header layout. The write replaces the
-    periods of the batch (dynamic partition overwrite), so a retried batch
-    leaves no duplicate rows. Returns the number of files landed."""
-    from ..sinks.writers import write_landed
-    from ..sources.files import read_csv_files
-
-    streams = []
-    for folder, dated in ((dated_dir, True), (undated_dir, False)):
-        if not folder or (dated and not spec.dated):
-            continue
-        glob = f"{spec.name}*.csv" if dated else f"{spec.name}.csv"
-        paths = (spark.readStream.format("binaryFile").schema(_BINARY_FILE_SCHEMA)
-                 .option("pathGlobFilter", glob).load(folder).select("path"))
-        name = F.element_at(F.split("path", "/"), -1)
-        streams.append(paths.where(dataset_from_file_name(name, dated) == F.lit(spec.name))
-                       .withColumn("_dated", F.lit(dated)))
+#: Spark forgets files older than this against the newest one; archive years
+#: copied with their times kept are the normal case, so nothing is too old.
+_ANY_AGE = "36500d"
+
+
+def stream_files(spark: SparkSession, folder: str, spec: RegisterSpec, fmt: str,
+                 dated: bool) -> DataFrame:
+    """Streaming ``path, _dated`` of one register's files in a folder."""
+    glob = f"{spec.name}*.{fmt}" if dated else f"{spec.name}.{fmt}"
+    paths = (spark.readStream.format("binaryFile").schema(_BINARY_FILE_SCHEMA)
+             .option("pathGlobFilter", glob).option("maxFileAge", _ANY_AGE)
+             .load(folder).select("path"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return (paths.where(dataset_from_file_name(name, dated) == F.lit(spec.name))
+            .withColumn("_dated", F.lit(dated)))
+
+
+def land_available_now(spark: SparkSession, dated_dir: str | None, undated_dir: str | None,
+                       spec: RegisterSpec, out_path: str, checkpoint: str, fmt: str = "parquet",
+                       null_value: str = "NA") -> int:
+    """Land the files of both folders not landed before into ``out_path``.
+    Returns the number of rows landed."""
+    streams = [stream_files(spark, folder, spec, fmt, dated)
+               for folder, dated in ((dated_dir, True), (undated_dir, False))
+               if folder and (spec.dated or not dated)]
     if not streams:
         return 0
     files = streams[0]
     for s in streams[1:]:
         files = files.unionByName(s)
-    landed_files = []
+    landed_rows = []
 
-    def land_batch(batch, _epoch):
-        for dated in (True, False):
-            part = batch.where(F.col("_dated") == F.lit(dated)).select("path")
-            if part.isEmpty():
-                continue
-            rows = read_csv_files(batch.sparkSession, part, spec, null_value)
-            landed = land_register(rows, spec)
-            write_landed(landed, out_path)
-            landed_files.append(part.count())
+    def land_batch(batch: DataFrame, _epoch: int) -> None:
+        if batch.isEmpty():
+            return
+        rows = land_register(read_files(batch.sparkSession, batch, spec, fmt, null_value), spec)
+        seen = Observation()
+        write_landed(rows.observe(seen, F.count(F.lit(1)).alias("rows")), out_path)
+        landed_rows.append(int(seen.get["rows"]))
 
     query = (files.writeStream.foreachBatch(land_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(landed_files)
+    return sum(landed_rows)

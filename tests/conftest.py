@@ -1,4 +1,6 @@
+import os
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cores="*", shuffle_partitions=8, app="regcurate-tests")
+    s = local_session(cores=os.environ.get("TEST_CPUS", "*"), shuffle_partitions=8, app="regcurate-tests",
+                      checkpoint_dir=tempfile.mkdtemp(prefix="regcurate-tests-"))
     yield s
     s.stop()
 

@@ -98,7 +98,8 @@ def test_cli_incremental_land_then_curate(spark, tmp_path, capsys):
     assert main(["curate", str(out)]) == 0
     result = json.loads(capsys.readouterr().out)
     expected = register_view(spark, SF_SMALL, "faik").where("FAMILIE_ID <> ''").count()
-    assert result == {"family_income": expected}
+    assert result["stage2"] == {"family_income": expected}
+    assert result["missing"]["population"] == ["bef"]
 
 
 def test_cli_incremental_csv_with_header_drift(spark, tmp_path, capsys):
@@ -122,7 +123,7 @@ def test_cli_incremental_csv_with_header_drift(spark, tmp_path, capsys):
     assert main(["curate", str(out)]) == 0
     result = json.loads(capsys.readouterr().out)
     expected = register_view(spark, SF_SMALL, "faik").where("FAMILIE_ID <> ''")
-    assert result == {"family_income": expected.count()}
+    assert result["stage2"] == {"family_income": expected.count()}
     got = spark.read.parquet(str(out / "stage2" / "family_income"))
     # values sit under the right names whatever the file's column order
     want = {(r.FAMILIE_ID, r.FAMTYPE, r.FAMSKATTOT_13) for r in expected.collect()}

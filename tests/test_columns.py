@@ -2,11 +2,11 @@ from conftest import rows
 from regcurate.functions.columns import (atc_category, period_from_file_name, recode_gender,
                                          year_from_file_name)
 from regcurate.plans import employment
+from regcurate.specs.registers import REGISTERS
 
 
 def _ras(spark, files):
-    cols = ["PNR", "ARBSTIL", "NYARB", "SOCSTIL_KODE", "SOC_STATUS_KODE", "BRANCHE_77",
-            "BRANCHE_KODE", "ARB_HOVED_BRA_DB07", "source_file"]
+    cols = [*REGISTERS["ras"].columns, "source_file"]
     data = [(str(i + 1), "a", "n", "s", "ss", "077", "bk", "db07", f) for i, f in enumerate(files)]
     return spark.createDataFrame(data, cols)
 
@@ -32,10 +32,11 @@ def test_every_era_boundary(spark):
 
 
 def test_month_in_file_name_compares_as_string(spark):
-    out = employment.build(_ras(spark, ["ras199312.sas7bdat"])).first()
-    assert out.year == "199312"
-    assert out.status_source == "SOC_STATUS_KODE"
-    assert out.industry_source == "BRANCHE_KODE"
+    out = {r.year: r for r in employment.build(_ras(
+        spark, ["ras199312.sas7bdat", "ras199112.sas7bdat"])).collect()}
+    assert out["199312"].status_source == "SOC_STATUS_KODE"
+    assert out["199312"].industry_source == "BRANCHE_KODE"
+    assert out["199112"].industry_source == "BRANCHE_77"      # strictly below "1992"
 
 
 def test_year_from_file_name_is_anchored(spark):
@@ -66,9 +67,7 @@ def test_atc_category(spark):
 
 def test_null_and_empty_keys_dropped(spark):
     from regcurate.plans import income
-    cols = ["PNR", "ALDER_ULT_INK", "BESKST13", "OMFANG", "PERINDKIALT_13", "LOENMV_13",
-            "ERHVERVSINDK_13", "OFF_OVERFORSEL_13", "PRIVAT_PENSION_13", "RESUINK_13",
-            "SKATTOT_13", "source_file"]
+    cols = [*REGISTERS["ind"].columns, "source_file"]
     data = [(k, "1", "08", "1", "10", "4", "5", "2", "0", "1", "3.8", "ind2001.sas7bdat")
             for k in ("", None, "0001")]
     out = income.build(spark.createDataFrame(data, "{}".format(

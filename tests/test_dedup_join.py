@@ -1,26 +1,27 @@
 import pytest
 
 from conftest import rows
-from regcurate.operators.dedup import first_file_wins, one_row_per_key
+from regcurate.operators.dedup import (first_file_wins, first_file_wins_window,
+                                       one_row_per_key, rows_in_first_file)
 from regcurate.plans import diagnoses, population
+from regcurate.specs.registers import REGISTERS
 
-BEF = ["PNR", "KOEN", "FOED_DAG", "FOEDREG_KODE", "MOR_ID", "FAR_ID", "FAMILIE_ID",
-       "ADRESSE_ID", "BOPIKOM", "BOP_VFRA", "source_file"]
+BEF = [*REGISTERS["bef"].columns, "source_file"]
 
 
 def _bef(spark, data):
     return spark.createDataFrame(data, ", ".join(f"{c} string" for c in BEF))
 
 
-@pytest.mark.parametrize("strategy", ["join", "window"])
-def test_first_file_wins_keeps_all_rows_of_first_file(spark, strategy):
+@pytest.mark.parametrize("build", [population.build, population.build_window])
+def test_first_file_wins_keeps_all_rows_of_first_file(spark, build):
     data = [
         ("7", "1", "1970-01-01", "1", None, None, "f", "a", "b", "c", "bef198512.sas7bdat"),
         ("7", "2", "1970-01-02", "1", None, None, "f", "a", "b", "c", "bef198512.sas7bdat"),
         ("7", "1", "1970-01-03", "1", None, None, "f", "a", "b", "c", "bef198612.sas7bdat"),
         ("8", "1", "1980-01-01", "1", None, None, "g", "a", "b", "c", "bef198612.sas7bdat"),
     ]
-    out = population.build(_bef(spark, data), strategy=strategy)
+    out = build(_bef(spark, data))
     assert rows(out, "person_id", "born_at", "source_file") == [
         ("7", "1970-01-01", "bef198512.sas7bdat"),
         ("7", "1970-01-02", "bef198512.sas7bdat"),
@@ -32,19 +33,30 @@ def test_first_file_wins_keeps_all_rows_of_first_file(spark, strategy):
     assert rows(uniq, "person_id", "born_at") == [("7", "1970-01-02"), ("8", "1980-01-01")]
 
 
-@pytest.mark.parametrize("strategy", ["auto", "join", "window"])
-def test_hot_key_is_exact(spark, strategy):
+@pytest.mark.parametrize("form", [first_file_wins, first_file_wins_window])
+def test_hot_key_is_exact(spark, form):
     # one key holds a third of the rows, spread over files: result stays whole
     data = [("hot", f"f{i % 3}", i) for i in range(3000)] + \
            [(f"k{i}", f"f{i % 2}", i) for i in range(6000)]
     df = spark.createDataFrame(data, "k string, source_file string, v int")
-    got = first_file_wins(df, "k", strategy=strategy)
+    got = form(df, "k")
     assert got.where("k = 'hot'").count() == 1000
     assert got.where("k <> 'hot'").count() == 6000
     assert one_row_per_key(df, "k").count() == 6001
     assert one_row_per_key(df, "k").where("k = 'hot'").first().v == 0
 
 
+@pytest.mark.parametrize("form", [first_file_wins, first_file_wins_window])
+def test_missing_file_name_or_key(spark, form):
+    """A missing file name comes first; a missing key is a key of its own."""
+    df = spark.createDataFrame(
+        [("a", None, 1), ("a", "f1", 2), ("b", "f1", 3), ("b", "f1", 4), ("b", "f0", 5),
+         (None, "f1", 6), (None, "f2", 7)], "k string, source_file string, v int")
+    assert sorted(r.v for r in form(df, "k").collect()) == [1, 5, 6]
+    got = {(r.k, r._ordinal): r._rows for r in rows_in_first_file(df, "k").collect()}
+    assert got == {("a", 1): 1, ("b", 2): 1, (None, 3): 1}
+
+
 def _adm(spark, data):
     return spark.createDataFrame(data, "RECNUM string, PNR string, C_PATTYPE string, "
                                        "D_INDDTO string, D_UDDTO string, source_file string")

@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 
 from conftest import rows
 from regcurate.operators.landing import land_register
-from regcurate.sources.files import land_folder, read_csv_register, register_files
+from regcurate.sources.files import land_folder, read_register, register_files
 from regcurate.specs.registers import REGISTERS, RegisterSpec
 
 
@@ -22,7 +22,7 @@ def test_csv_layouts_read_by_header(spark, tmp_path):
     spec = RegisterSpec("zz", ("A", "B"))
     _write_csv(tmp_path / "zz2001.csv", "A,B\na1,b1\n")
     _write_csv(tmp_path / "zz2002.csv", "B,A\nb2,a2\n")
-    out = read_csv_register(spark, str(tmp_path), spec)
+    out = read_register(spark, str(tmp_path), spec, "csv")
     assert rows(out) == [("a1", "b1", "zz2001.csv"), ("a2", "b2", "zz2002.csv")]
 
 
@@ -162,3 +162,106 @@ def test_carried_source_file_is_kept(spark, tmp_path):
     pq.write_table(pa.Table.from_pandas(pdf, preserve_index=False), tmp_path / "faik2002.parquet")
     got = land_folder(spark, str(tmp_path), spec)
     assert rows(got, "source_file") == [("faik2002.parquet",)]
+
+
+def test_csv_header_longer_than_a_read_with_bom_and_quotes(spark, tmp_path):
+    spec = RegisterSpec("zz", ("A", "B", "C,D"))
+    filler = ",".join(f"column_{i:05d}" for i in range(6000))
+    head = f'A,{filler},B,"C,D"'
+    assert len(head) > 1 << 16
+    body = "a1," + ",".join("x" * 6000) + ",b1,cd1"
+    (tmp_path / "zz2001.csv").write_bytes(b"\xef\xbb\xbf" + f"{head}\r\n{body}\r\n".encode())
+    (tmp_path / "zz2002.csv").write_text('"C,D",A,B\ncd2,a2,b2\n')
+    out = read_register(spark, str(tmp_path), spec, "csv")
+    assert rows(out) == [("a1", "b1", "cd1", "zz2001.csv"), ("a2", "b2", "cd2", "zz2002.csv")]
+
+
+def test_typed_parquet_reads_as_text(spark, tmp_path):
+    from datetime import date, datetime
+    from decimal import Decimal
+    spec = RegisterSpec("zz", ("I", "D", "T", "F", "M", "S"))
+    pq.write_table(pa.table({
+        "I": pa.array([1, None], pa.int64()), "D": pa.array([date(2001, 2, 3), None]),
+        "T": pa.array([datetime(2001, 2, 3), datetime(2001, 2, 3, 4, 5, 6)], pa.timestamp("us")),
+        "F": pa.array([2001.0, 0.25]), "M": pa.array([Decimal("12.50"), Decimal("3.00")]),
+        "S": ["007", ""]}), tmp_path / "zz2001.parquet")
+    pq.write_table(pa.table({"S": ["x"], "I": ["0042"]}), tmp_path / "zz2002.parquet")
+    out = read_register(spark, str(tmp_path), spec)
+    assert rows(out) == [
+        (None, None, "2001-02-03 04:05:06", "0.25", "3", "", "zz2001.parquet"),
+        ("0042", None, None, None, None, "x", "zz2002.parquet"),
+        ("1", "2001-02-03", "2001-02-03", "2001", "12.50", "007", "zz2001.parquet")]
+
+
+def test_missing_key_column_is_an_error(spark, tmp_path):
+    import pytest
+    from regcurate.plans.pipeline import MissingKeyColumn, curate, land
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    _write_csv(src / "udda2001.csv", "PNR,HFAUDD\n1,2\n")
+    _write_csv(src / "udda2002.csv", "pnr,HFAUDD\n1,2\n")
+    regs = {"udda": REGISTERS["udda"]}
+    landed = land(spark, str(src), None, out, "csv", regs)
+    with pytest.raises(MissingKeyColumn, match="udda2002.csv has no PNR"):
+        curate(spark, out, landed, registers=regs)
+    with pytest.warns(UserWarning, match="population: no landed files of bef"):
+        side = curate(spark, out, landed, registers=regs, strict_keys=False)
+    assert side["education"]["size"] == 1
+
+
+def test_failing_listing_raises_and_absent_folder_does_not(spark, tmp_path):
+    import pytest
+    from regcurate.plans.pipeline import land
+    assert land(spark, str(tmp_path / "absent"), None, str(tmp_path / "out")) == {}
+    with pytest.raises(Exception):
+        land(spark, "nosuchscheme://bucket/dir", None, str(tmp_path / "out"))
+
+
+def test_every_dodsaa_register_goes_into_deaths(spark, tmp_path):
+    from regcurate.plans.pipeline import curate, land
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    cols = REGISTERS["dodsaasg"].columns
+    regs = {n: RegisterSpec(n, cols) for n in ("dodsaasg", "dodsaax")}
+    for n in regs:
+        _write_csv(src / f"{n}2001.csv", ",".join(cols) + "\n" + ",".join(f"{n}{c}" for c in cols)
+                   + "\n")
+    side = curate(spark, out, land(spark, str(src), None, out, "csv", regs), registers=regs)
+    assert side["deaths"]["size"] == 2
+    got = spark.read.parquet(out + "/stage2/deaths")
+    assert rows(got, "person_id", "cause_4_icd_id") == [
+        ("dodsaasgPNR", "dodsaasgC_DOD_1D"), ("dodsaaxPNR", "dodsaaxC_DOD_1D")]
+
+
+def test_sidecar_tells_columns_and_text_format(spark, tmp_path):
+    from regcurate.sinks.writers import read_json, write_curated
+    from regcurate.sources.fixtures import register_view
+    from conftest import SF_SMALL
+    path = str(tmp_path / "faik")
+    write_curated("family_income", {"faik": register_view(spark, SF_SMALL, "faik")}, path, "csv")
+    doc = read_json(spark, path + "_metadata.json")
+    assert doc["file_format"] == {"extension": "csv", "type": "text", "delimiter": ",",
+                                  "quote": '"', "linebreaks": "\n"}
+    assert all(c["description"] and c["examples"] for c in doc["columns"].values())
+
+
+def test_curate_leaves_session_settings(spark, tmp_path):
+    from regcurate.session import sized_shuffles
+    from regcurate.sources.fixtures import register_view
+    from conftest import SF_SMALL
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    df = register_view(spark, SF_SMALL, "faik")
+    with sized_shuffles(spark, [df], target_bytes=1):
+        assert spark.conf.get(key) == old             # set at launch: left alone
+    assert spark.conf.get(key) == old
+
+
+def test_cluster_session_must_name_a_shared_folder(monkeypatch):
+    import pytest
+    from types import SimpleNamespace
+    from regcurate import session
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: {})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))

@@ -69,12 +69,26 @@ def test_diagnoses_is_one_join_with_one_shuffle_per_side(spark, landed, no_broad
 
 
 def test_population_first_file_wins_shape(spark, landed, no_broadcast):
-    join = plans.population.build(landed["bef"], strategy="join")
-    plan = _plan(join)
+    plan = _plan(plans.build("population", landed))
     assert plan.count("SortMergeJoin") == 1
-    assert "partial_min" in plan            # map-side pre-aggregation of the first file
-    assert "Window" not in plan
-    # no large group here: the adaptive default takes the one-shuffle window form
-    auto = plans.build("population", landed)
-    assert "Window" in _plan(auto) and _exchanges(auto) == 1
+    assert "partial_min" in plan and "HashAggregate" in plan
+    assert "SortAggregate" not in plan and "rank(" not in plan
+    assert _exchanges(plans.population.build_window(landed["bef"])) == 1
     assert _exchanges(plans.population.build_unique(landed["bef"])) == 1
+
+
+@pytest.mark.parametrize("name", ["population", "diagnoses"])
+def test_building_a_plan_runs_nothing(spark, landed, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", "")
+    plans.build(name, landed)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_counts_of_diagnoses_do_not_join(spark, no_broadcast):
+    from regcurate.catalog import QUERIES
+    for name in ("diagnoses_by_register", "diagnoses_pair_profile", "count_by_patient_kind",
+                 "contract_report", "coverage"):
+        plan = _plan(QUERIES[name](spark, SF_SMALL))
+        joins = re.findall(r"SortMergeJoin \[([^\]]*)\]", plan)
+        assert not [j for j in joins if "record_id" in j], name

@@ -1,8 +1,11 @@
 """Profiles on small literal tables."""
 
 from conftest import rows
-from regcurate.operators.profile import (contract_report, coverage_row, file_inventory,
-                                         group_count, rows_per_file)
+from pyspark.sql import functions as F
+
+from regcurate.operators.profile import (contract_report, coverage_of_parts, coverage_row,
+                                         file_inventory, group_count, joined_contract_report,
+                                         out_of_order, reconcile_counts, rows_per_file)
 from regcurate.specs.curated import TABLES
 
 
@@ -42,24 +45,61 @@ def test_undeclared_category_is_flagged(spark):
 
 def test_coverage_from_two_plan_points(spark):
     bounds = spark.createDataFrame([("1990",), ("1985",), (None,)], "y string")
-    out = spark.createDataFrame([(1,), (2,)], "v int")
-    r = coverage_row("t", bounds, out, "y", "y").first()
-    assert (r.table_name, r.first, r.last, r.rows) == ("t", "1985", "1990", 2)
-    empty = spark.createDataFrame([], "y string")
-    r = coverage_row("e", empty, None, "y", "y").first()
-    assert (r.first, r.last, r.rows) == (None, None, 0)
+    counts = spark.createDataFrame([(1,), (4,)], "n long")
+    r = coverage_of_parts("t", bounds, "y", "y", counts, F.col("n") * 2).first()
+    assert (r.table_name, r.first, r.last, r.rows) == ("t", "1985", "1990", 10)
+    empty = spark.createDataFrame([], "y string, n long")
+    for r in (coverage_row("e", empty, "y", "y").first(),
+              coverage_of_parts("e", empty, "y", "y", empty, F.col("n")).first()):
+        assert (r.first, r.last, r.rows) == (None, None, 0)
 
 
 def test_group_count_inventory_and_reconciliation(spark):
     landed = spark.createDataFrame(
         [("a", "1"), ("a", "2"), ("b", "1"), (None, "1")], "source_file string, k string")
     assert rows(group_count(landed, "k")) == [("1", 3), ("2", 1)]
-    curated = landed.where("k = '1'")
-    rec = rows_per_file(landed.where("source_file IS NOT NULL"), curated, "t")
-    assert rows(rec, "source_file", "landed_rows", "curated_rows", "dropped_rows") == [
-        (None, 0, 1, -1), ("a", 2, 1, 1), ("b", 1, 1, 0)]
-    inv = file_inventory({"x": spark.createDataFrame(
-        [("x1990.csv", "1990"), ("x1985.csv", "1985"), ("x1985.csv", "1985")],
-        "source_file string, period string")}).first()
+    want = [(None, 1, 1, 0), ("a", 2, 1, 1), ("b", 1, 1, 0)]
+    cols = ("source_file", "landed_rows", "curated_rows", "dropped_rows")
+    assert rows(rows_per_file(landed, F.col("k") == "1", "t"), *cols) == want
+    curated = landed.where("k = '1'").groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("curated_rows"))
+    assert rows(reconcile_counts(landed, curated, "t"), *cols) == want
+    files = spark.createDataFrame([("x", "1990", "x1990.csv"), ("x", "1985", "x1985.csv"),
+                                   ("x", "1986", "x1986.csv")],
+                                  "dataset string, period string, file_name string")
+    counted = spark.createDataFrame([("x1990.csv", 1), ("x1985.csv", 2)],
+                                    "file_name string, rows long")
+    inv = file_inventory(files, counted).first()
     assert (inv.n_files, inv.first_period, inv.last_period, inv.periods, inv.source_files,
-            inv.rows) == (2, "1985", "1990", "1985,1990", "x1985.csv,x1990.csv", 3)
+            inv.rows) == (3, "1985", "1990", "1985,1986,1990", "x1985.csv,x1986.csv,x1990.csv", 3)
+
+
+def test_joined_contract_report_equals_the_report_of_the_join(spark):
+    from regcurate.plans import diagnoses
+    spec = TABLES["diagnoses"]
+    adm = spark.createDataFrame(
+        [("1", "p", None, "1990-01-01", "x", "lpr_adm1990.sas7bdat"),
+         ("1", "q", "0", "", None, "lpr_adm1990.sas7bdat"),
+         ("2", "r", "0", "1990-01-01", None, "lpr_adm1990.sas7bdat")],
+        "RECNUM string, PNR string, C_PATTYPE string, D_INDDTO string, D_UDDTO string, "
+        "source_file string")
+    dia = spark.createDataFrame(
+        [("1", None, "A", "lpr_diag1990.sas7bdat"), ("1", "", None, "lpr_diag1990.sas7bdat"),
+         ("3", None, "A", "lpr_diag1990.sas7bdat")],
+        "RECNUM string, C_DIAG string, C_DIAGTYPE string, source_file string")
+    inputs = {"lpr_adm": adm, "lpr_diag": dia}
+    got = joined_contract_report(
+        spec, diagnoses.record_columns(),
+        lambda r, d: diagnoses.counts(inputs, record_sums=r, diagnosis_sums=d))
+    assert rows(got) == rows(contract_report(diagnoses.build(inputs), spec))
+
+
+def test_out_of_order_counts_within_and_across_files(spark, tmp_path):
+    for name, values in (("a", ["1", "3", "2", None]), ("b", ["0", "5"]), ("c", ["6"])):
+        spark.createDataFrame([(v,) for v in values], "k string").coalesce(1) \
+            .write.parquet(str(tmp_path / "w" / name))
+        part = next((tmp_path / "w" / name).glob("part-*"))
+        (tmp_path / "t").mkdir(exist_ok=True)
+        part.rename(tmp_path / "t" / f"{name}.parquet")
+    r = out_of_order(spark.read.parquet(str(tmp_path / "t")), ["k"]).first()
+    assert (r.rows, r.out_of_order) == (7, 2)       # 3 > 2 and 2 > NULL; NULL < 0, 5 < 6

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
-from regcurate.operators.dedup import first_file_wins, one_row_per_key
+from regcurate.operators.dedup import first_file_wins, first_file_wins_window, one_row_per_key
 from regcurate.operators.joins import aligned_join
 
 SETTINGS = settings(max_examples=12, deadline=None,
@@ -31,10 +31,7 @@ def test_first_file_wins_equals_brute_force(spark, data):
     df = spark.createDataFrame(data, "k string, source_file string, v int")
     expected = _brute_first_file(data)
     assert rows(first_file_wins(df, "k")) == expected
-    assert rows(first_file_wins(df, "k", strategy="window")) == expected
-    # every sampled key is "hot" at this bound: the fully salted join
-    assert rows(first_file_wins(df, "k", strategy="join", max_group_rows=2,
-                                rows_per_task=1)) == expected
+    assert rows(first_file_wins_window(df, "k")) == expected
 
 
 @SETTINGS
@@ -79,8 +76,8 @@ def test_eras_compare_years_as_text(spark, years):
     def brute(y):
         if y is None:
             return STATUS_DEFAULT
-        for low, high, name in STATUS_ERAS:
-            if (low is None or y >= low) and y <= high:
-                return name
+        for era in STATUS_ERAS:
+            if (era.since is None or y >= era.since) and y <= era.up_to:
+                return era.column
         return STATUS_DEFAULT
     assert got == [brute(y) for y in years]
