@@ -13,14 +13,20 @@ Steps, all over the whole table:
 1. A count sketch of fixed size over all shingles gives the order (rare first)
    and the cost estimate; a minimum-values sketch gives the distinct shingles.
 2. Documents with equal sets form classes, each with its least doc_id.
-3. Prefix postings are dealt by shingle as packed arrays; those of shingles in
-   one document only go. Shingles the sketch calls hot are dealt by shingle and
-   document and kept as they are.
-4. Star rounds: for every shingle, one document of each component meets the
-   least one; verified links merge components. Large groups of near copies thus
-   collapse with few pairs, because only connection matters.
+3. Prefix postings of one document per class are dealt by shingle as packed
+   arrays. A posting stays if the shingle is in another document of near size,
+   and both have as many postings left as that pair must share. Dealt by document,
+   the postings left are counted, and so on, PASSES times. Shingles the sketch
+   calls hot are dealt by shingle and document and kept as they are.
+4. Star rounds: for every shingle, one document of each component meets the one
+   whose shingles are the most common -- the original among its edited copies;
+   verified links merge components. Large groups of near copies thus collapse
+   with few pairs, because only connection matters.
 5. All candidate pairs that still lie in two components are verified.
 
+What a pair must share follows from both prefixes: all shingles up to the earlier
+prefix end are compared, so an overlap of o needs o less what lies behind it.
+
 Shingles are 64-bit hashes: a wrong link needs two different shingles of one
 pair of documents to collide. Documents are identified by doc_id: rows that share
 one are versions of one document and linked. Defined results: a text without
@@ -51,7 +57,7 @@ LEAST = 4096
 POSTING, VERIFYING = 8.0, 1.0
 #: Postings a bucket should hold, and the frequency from which a shingle is
 #: dealt out over several buckets.
-BUCKET_ROWS, HOT = 1_000_000, 200_000
+BUCKET_ROWS, HOT = 250_000, 200_000
 #: Star rounds at most; what they leave goes to the last step.
 ROUNDS = 4
 
@@ -164,71 +170,145 @@ def set_key(grams: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-_POSTINGS = "bucket long, hot boolean, data binary"
-_RECORD = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("n", "<i4"), ("l", "<i4")])
+_RECORD = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("n", "<i4"), ("l", "<i4"), ("left", "<i4"),
+                    ("hot", "u1")])
+_PACKED = "bucket long, data binary"
+
+
+def needed(nx, ny, lx, ly, percent: int):
+    """Prefix shingles two documents must share to be similar enough (arrays)."""
+    overlap = -(-(nx + ny) * percent // (100 + percent))
+    behind = np.maximum(-(-percent * nx // 100) - lx, -(-percent * ny // 100) - ly)
+    return np.maximum(np.minimum(lx, ly), overlap - behind)
+
+
+def _deal(data: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row per bucket with its records."""
+    key = key % np.uint64(buckets)
+    order = np.argsort(key, kind="stable")
+    key, data = key[order], data[order]
+    ends = (np.flatnonzero(np.append(key[1:] != key[:-1], True)) + 1).tolist() if len(key) else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(key[b - 1]) for b in ends], pa.int64()),
+         pa.array([data[a:b].tobytes() for a, b in zip([0, *ends], ends)], pa.binary())],
+        names=["bucket", "data"])
 
 
-def _packed_postings(docs: DataFrame, freq: Frequencies, percent: int, words: int,
-                     buckets: int) -> DataFrame:
+def _gram_key(data: np.ndarray) -> np.ndarray:
+    """By shingle; hot ones by shingle and document."""
+    return mix64(np.where(data["hot"] > 0, data["gram"] ^ mix64(data["doc"].astype(np.uint64)),
+                          data["gram"]))
+
+
+def _unpack(table: pa.Table) -> np.ndarray:
+    return np.concatenate([np.frombuffer(b.as_py(), _RECORD) for b in table["data"]])
+
+
+def _prefix_rows(docs: DataFrame, freq: Frequencies, percent: int, words: int,
+                 buckets: int) -> DataFrame:
+    """Prefix postings of all documents, dealt by shingle."""
     sent = docs.sparkSession.sparkContext.broadcast(freq)       # fixed size
 
-    def rows(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
         data = np.concatenate(parts)
-        hot = sent.value.of(data["gram"]) >= max(HOT, 8 * sent.value.noise)
-        key = np.where(hot, mix64(data["gram"] ^ mix64(data["doc"].astype(np.uint64))),
-                       mix64(data["gram"])) % np.uint64(buckets)
-        for flag in (False, True):
-            part, k = data[hot == flag], key[hot == flag]
-            order = np.argsort(k, kind="stable")
-            part, k = part[order], k[order]
-            ends = np.flatnonzero(np.append(k[1:] != k[:-1], True)) + 1 if len(k) else []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k[np.asarray(ends, np.int64) - 1].astype(np.int64)),
-                 pa.array([flag] * len(ends), pa.bool_()),
-                 pa.array([part[a:b].tobytes() for a, b in zip([0, *ends], ends)], pa.binary())],
-                names=["bucket", "hot", "data"])
+        data["hot"] = sent.value.of(data["gram"]) >= max(HOT, 8 * sent.value.noise)
+        return _deal(data, _gram_key(data), buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[tuple[int, int]] = set()       # equal sets of a task need one posting
         parts, held = [], 0
         for batch in by_bytes(batches, "text"):
             for doc, grams in zip(batch.column("doc_id").to_pylist(),
                                   shingle_sets(*utf8(batch.column("text")), words)):
-                if doc is None or not len(grams) or (key := set_key(grams)) in known:
+                if doc is None or not len(grams):
                     continue
-                known.add(key)
                 chosen, l_ = prefix(grams, sent.value, percent)
-                part = np.empty(len(chosen), _RECORD)
+                part = np.zeros(len(chosen), _RECORD)
                 part["gram"], part["doc"], part["n"], part["l"] = chosen, doc, len(grams), l_
+                part["left"] = len(chosen)
                 parts.append(part)
                 held += len(part)
-            if held > 2 * BUCKET_ROWS:
-                yield from rows(parts)
+            if held > BUCKET_ROWS:
+                yield rows(parts)
                 parts, held = [], 0
         if parts:
-            yield from rows(parts)
-
-    return in_arrow(docs, run, _POSTINGS)
-
-
-def _shared_only(table: pa.Table) -> pa.Table:
-    """Postings of shingles that stand in two documents or more."""
-    hot = np.array(table["hot"].to_pylist(), bool)
-    parts = [np.frombuffer(b, _RECORD) for b in table["data"].to_pylist()]
-    data = np.concatenate([p for p, h in zip(parts, hot) if not h] or [np.empty(0, _RECORD)])
-    data = data[np.argsort(data["gram"], kind="stable")]
-    same = data["gram"][1:] == data["gram"][:-1]
-    keep = np.append(False, same) | np.append(same, False) if len(data) else np.zeros(0, bool)
-    data = np.concatenate([data[keep], *[p for p, h in zip(parts, hot) if h]])
-    return pa.table({"gram": pa.array(data["gram"].astype(np.int64)), "doc_id": data["doc"].copy(),
-                     "n": data["n"].copy(), "l": data["l"].copy()})
+            yield rows(parts)
+
+    return in_arrow(docs, run, _PACKED)
+
+
+#: Neighbours in size that a posting is compared with before it is kept untested.
+NEIGHBOURS = 2048
+#: Times the postings are dealt by shingle.
+PASSES = 3
+
+
+def met_postings(data: np.ndarray, percent: int) -> np.ndarray:
+    """Postings whose shingle stands in another document of near size, if both
+    documents have as many postings left as the pair must share. Hot ones stay."""
+    data = data[np.lexsort((data["doc"], data["n"], data["gram"]))]
+    first = np.ones(len(data), bool)                # a repeated row says nothing new
+    first[1:] = (data["gram"][1:] != data["gram"][:-1]) | (data["n"][1:] != data["n"][:-1]) \
+        | (data["doc"][1:] != data["doc"][:-1])
+    data = data[first]
+    gram, doc = data["gram"].copy(), data["doc"].copy()
+    n, l_, left = (data[f].astype(np.int64) for f in ("n", "l", "left"))
+    kept = data["hot"] > 0
+    live = np.arange(len(data))
+    for step in range(1, NEIGHBOURS + 1):
+        live = live[live + step < len(data)]
+        live = live[gram[live] == gram[live + step]]
+        live = live[100 * n[live] >= percent * n[live + step]]
+        if not len(live):
+            return data[kept]
+        two = live[(doc[live] != doc[live + step]) & ~(kept[live] & kept[live + step])]
+        other = two + step
+        met = np.minimum(left[two], left[other]) >= needed(n[two], n[other], l_[two], l_[other],
+                                                           percent)
+        kept[two[met]] = True
+        kept[other[met]] = True
+    kept[live] = True                               # more neighbours than are compared
+    kept[live + NEIGHBOURS] = True
+    return data[kept]
+
+
+def _by_gram(percent: int, buckets: int):
+    """Step by shingle: what has a partner goes on to its document's bucket."""
+    def run(table: pa.Table) -> pa.Table:
+        data = met_postings(_unpack(table), percent)
+        return pa.Table.from_batches([_deal(data, mix64(data["doc"].astype(np.uint64)), buckets)])
+    return run
+
+
+def _by_document(buckets: int):
+    """Step by document: its postings are counted and go back to the shingles'."""
+    def run(table: pa.Table) -> pa.Table:
+        data = _unpack(table)
+        data = data[np.lexsort((data["n"], data["doc"]))]
+        new = np.ones(len(data), bool)
+        new[1:] = (data["doc"][1:] != data["doc"][:-1]) | (data["n"][1:] != data["n"][:-1])
+        first = np.flatnonzero(new)
+        count = np.diff(np.append(first, len(data)))
+        data["left"] = np.repeat(count, count)
+        return pa.Table.from_batches([_deal(data, _gram_key(data), buckets)])
+    return run
+
+
+def _plain(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        data = met_postings(_unpack(table), percent)
+        return pa.table({"gram": pa.array(data["gram"].astype(np.int64)),
+                         "rep": data["doc"].copy(), "n": data["n"].copy(), "l": data["l"].copy()})
+    return run
 
 
 def postings(docs: DataFrame, freq: Frequencies, percent: int, words: int) -> DataFrame:
-    """gram, doc_id, n, l of prefix shingles that several documents may share."""
+    """gram, rep, n, l: prefix postings that can still belong to a pair."""
     buckets = max(8, -(-freq.total // (3 * BUCKET_ROWS)))       # prefixes: about a third
-    packed = _packed_postings(docs, freq, percent, words, buckets)
-    return per_group(packed, ["bucket"], _shared_only, "gram long, doc_id long, n int, l int")
+    packed = _prefix_rows(docs, freq, percent, words, buckets)
+    for _ in range(PASSES - 1):
+        packed = per_group(packed, ["bucket"], _by_gram(percent, buckets), _PACKED)
+        packed = per_group(packed, ["bucket"], _by_document(buckets), _PACKED)
+    return per_group(packed, ["bucket"], _plain(percent), "gram long, rep long, n int, l int")
 
 
 # --- verification ---------------------------------------------------------------
@@ -298,29 +378,78 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(across, "gram", "left_semi")
 
 
+def _enough(percent: int):
+    """Whether the ``met`` shingles of a pair are what it must share."""
+    return F.expr(f"""met >= greatest(least(la, lb),
+        ceil((na + nb) * {percent} / {100 + percent})
+        - greatest(ceil({percent} * na / 100) - la, ceil({percent} * nb / 100) - lb))""")
+
+
 def _star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for each shingle, the least document of every component against
-    the least of all; of a document's centres the one met most often."""
-    heads = rows.groupBy("gram", "component").agg(F.min("rep").alias("b"))
-    centres = heads.groupBy("gram").agg(F.min("b").alias("a"))
-    sizes = rows.groupBy("rep").agg(F.min("n").alias("n"))
-    met = heads.join(centres, "gram").where("a < b").groupBy("a", "b").count()
-    near = met.join(sizes.selectExpr("rep as a", "n as na"), "a") \
-        .join(sizes.selectExpr("rep as b", "n as nb"), "b") \
-        .where(_near_in_size("na", "nb", percent))
-    return near.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a")) \
+    """(a, b): for each shingle, the document of every component with the most
+    common shingles against the one of all; of a document's centres the one met
+    most often."""
+    common_ = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    weight = rows.join(common_, "gram").groupBy("rep").agg(
+        F.sum("c").alias("w"), F.min("n").alias("n"), F.min("l").alias("l"))
+    weight = staged(weight, "jaccard-weights")
+    heads = rows.join(weight.select("rep", "w"), "rep").groupBy("gram", "component") \
+        .agg(F.max(F.struct("w", "rep")).alias("head"))
+    centres = heads.groupBy("gram").agg(F.max("head").alias("centre"))
+    met = heads.join(centres, "gram").where("head <> centre") \
+        .groupBy(F.col("centre.rep").alias("a"), F.col("head.rep").alias("b")) \
+        .agg(F.count(F.lit(1)).alias("met"))
+    sizes = weight
+    near = met.join(sizes.selectExpr("rep as a", "n as na", "l as la"), "a") \
+        .join(sizes.selectExpr("rep as b", "n as nb", "l as lb"), "b") \
+        .where(_near_in_size("na", "nb", percent) & _enough(percent))
+    return near.groupBy("b").agg(F.max_by("a", F.struct("met", -F.col("a"))).alias("a")) \
         .select("a", "b")
 
 
+def _units(rows: DataFrame, percent: int) -> DataFrame:
+    """One row per document version with its open shingles, rarest first (at most
+    a prefix), and ``ask``: the least number of them any partner in its lists
+    could ask for."""
+    lists = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min("l").alias("l0"),
+                                     F.min("n").alias("n0"), F.max("n").alias("n1"))
+    units = rows.join(lists, "gram").groupBy("rep", "n", "l", "component").agg(
+        F.sort_array(F.collect_list(F.struct("c", "gram"))).alias("grams"),
+        F.min("l0").alias("l0"), F.min("n0").alias("n0"), F.max("n1").alias("n1"))
+    p = percent
+    return units.selectExpr(
+        "rep", "n", "l", "component", "transform(grams, g -> g.gram) as grams",
+        "least(l, l0) as l0", f"greatest(n0, ceil({p} * n / 100)) as n0",
+        f"least(n1, floor(100 * n / {p})) as n1") \
+        .withColumn("ask", F.expr(f"""greatest(1, l0, least(
+            ceil((n + n0) * {p} / {100 + p}) - ceil({p} * n / 100) + l,
+            ceil((n + n1) * {p} / {100 + p}) - ceil({p} * n1 / 100) + l0) - 2)""")) \
+        .where("size(grams) >= ask").select("rep", "n", "l", "component", "grams", "ask")
+
+
 def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Every candidate pair across components."""
-    x = rows.selectExpr("gram", "rep as a", "n as na", "l as la", "component as ca")
-    y = rows.selectExpr("gram", "rep as b", "n as nb", "l as lb", "component as cb")
-    met = x.join(y, "gram").where("a < b and ca <> cb") \
-        .where(_near_in_size("na", "nb", percent))
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("la").alias("la"),
-                                     F.min("lb").alias("lb")) \
-        .where("met >= least(la, lb)").select("a", "b")
+    """Every candidate pair across components. Two documents that share ``ask``
+    open shingles share one of the first size - ask + 1 of each, so only those
+    meet; what the pair shares is then counted on the whole lists. Of each
+    shingle's documents those in its largest component are on one side only, so a
+    component is never paired with itself."""
+    units = staged(_units(rows, percent), "jaccard-units")
+    probes = units.select("rep", "n", "l", "component", F.explode(F.slice(
+        "grams", F.lit(1), (F.size("grams") - F.col("ask") + 1).cast("int"))).alias("gram"))
+    largest = probes.groupBy("gram", "component").count().groupBy("gram") \
+        .agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
+    probes = probes.join(largest, "gram")
+    x = probes.selectExpr("gram", "rep as a", "n as na", "l as la", "component as ca")
+    y = probes.where("component <> largest").selectExpr(
+        "gram", "rep as b", "n as nb", "l as lb", "component as cb", "largest")
+    met = x.join(y, "gram").where("ca <> cb and (ca = largest or a < b)") \
+        .where(_near_in_size("na", "nb", percent)) \
+        .select("a", "na", "la", "b", "nb", "lb").distinct()
+    left, right = (units.selectExpr(f"rep as {v}", f"n as n{v}", f"l as l{v}", f"grams as g{v}")
+                   for v in "ab")
+    return met.join(left, ["a", "na", "la"]).join(right, ["b", "nb", "lb"]) \
+        .withColumn("met", F.size(F.array_intersect("ga", "gb"))).where(_enough(percent)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -333,35 +462,32 @@ def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
                      .select("doc_id", "n", "rep"), "jaccard-classes")
 
     freq = frequencies(rows, words)
-    found = staged(postings(rows, freq, percent, words), "jaccard-postings")
-    ids = members.where("rep is not null").select("doc_id", "rep", "n").distinct()
-    # l belongs to the set, and so to the class
-    live = staged(found.join(ids, ["doc_id", "n"]).select("gram", "rep", "n", "l").distinct(),
-                  "jaccard-live")
-
-    versions = members.where("rep is not null").groupBy("doc_id") \
+    of_class = members.where("rep is not null")
+    # documents that only repeat others' sets
+    copies = staged(of_class.groupBy("doc_id").agg(
+        F.bool_or(F.col("rep") == F.col("doc_id")).alias("own")).where("not own")
+        .select("doc_id"), "jaccard-copies")
+    single = rows.join(small_side(copies, 24), "doc_id", "left_anti").select("doc_id", "text")
+    live = staged(postings(single, freq, percent, words), "jaccard-live")
+
+    versions = of_class.groupBy("doc_id") \
         .agg(F.min("rep").alias("a"), F.max("rep").alias("top")).where("a < top")
-    links = staged(members.join(versions, "doc_id").where("rep > a")
+    links = staged(of_class.join(versions, "doc_id").where("rep > a")
                    .select("a", F.col("rep").alias("b")), "jaccard-versions")
-    merged = None
-    if links.take(1):
-        merged = staged(components(links), "jaccard-merged")
+    merged = staged(components(links), "jaccard-merged") if links.take(1) else None
     for step in range(ROUNDS + 1):
         live = staged(_open(_with_components(live.drop("component"), merged)), "jaccard-live")
         if not live.take(1):
             break
-        last = step == ROUNDS
-        pairs = staged(_all_pairs(live, percent) if last else _star_pairs(live, percent),
-                       "jaccard-pairs")
-        new = verified(rows, pairs, percent, words)
-        if not new.take(1):
-            if last:
-                break
+        pairs = staged(_all_pairs(live, percent) if step == ROUNDS else
+                       _star_pairs(live, percent), "jaccard-pairs")
+        new = verified(rows, pairs, percent, words) if pairs.take(1) else pairs
+        if step < ROUNDS and not new.take(1):
             pairs = staged(_all_pairs(live, percent), "jaccard-pairs")
-            new, last = verified(rows, pairs, percent, words), True
+            new, step = verified(rows, pairs, percent, words), ROUNDS
         links = links.union(new)
         merged = staged(components(links), "jaccard-merged")
-        if last:
+        if step == ROUNDS:
             break
     done = _with_components(members, merged)
     return done.select("doc_id", F.col("n").cast("long").alias("n_shingles"),

@@ -66,7 +66,28 @@ def test_prefixes_share_enough():
             both = len(np.intersect1d(a, sets[j]))
             if 100 * both >= 80 * (len(a) + len(sets[j]) - both):
                 met = len(np.intersect1d(cut[i][0], cut[j][0]))
-                assert met >= min(cut[i][1], cut[j][1])
+                n, m = np.array([len(a)]), np.array([len(sets[j])])
+                ask = jaccard.needed(n, m, np.array([cut[i][1]]), np.array([cut[j][1]]), 80)[0]
+                assert met >= ask >= min(cut[i][1], cut[j][1])
+
+
+@pytest.mark.parametrize("neighbours", [256, 2])
+def test_met_postings_against_brute_force(monkeypatch, neighbours):
+    monkeypatch.setattr(jaccard, "NEIGHBOURS", neighbours)
+    r = np.random.default_rng(4)
+    data = np.zeros(600, jaccard._RECORD)
+    data["gram"], data["n"] = r.integers(0, 60, 600), r.integers(50, 200, 600)
+    data["doc"], data["l"] = r.integers(0, 300, 600), r.integers(1, 9, 600)
+    data["left"], data["hot"] = r.integers(1, 30, 600), r.integers(0, 20, 600) == 0
+    got = {tuple(x) for x in jaccard.met_postings(data, 80)}
+    for x in data:
+        want = bool(x["hot"]) or any(
+            int(jaccard.needed(*(np.array([int(v)]) for v in (x["n"], y["n"], x["l"], y["l"])),
+                               80)[0]) <= min(x["left"], y["left"])
+            for y in data if y["gram"] == x["gram"] and y["doc"] != x["doc"]
+            and 100 * min(x["n"], y["n"]) >= 80 * max(x["n"], y["n"]))
+        assert (tuple(x) in got) >= want
+        assert neighbours == 2 or (tuple(x) in got) == want
 
 
 def test_edges(edge, empty):
