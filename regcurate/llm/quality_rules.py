@@ -39,7 +39,7 @@ class Rule:
     cutoffs: tuple[float, ...]
 
 
-#: Features are SQL over the base counts; n_words is never 0 where they matter.
+#: Features are SQL over the base counts.
 RULES = (
     Rule("symbols", "n_symbols / n_words", True, (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0)),
     Rule("long_words", "word_chars / n_words", True, (6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0)),
@@ -86,9 +86,12 @@ def with_base_counts(rows: DataFrame, text: Column) -> DataFrame:
         repeated_words(F.col("words")).alias("n_repeat_words")).alias("f"))
 
 
-def _beyond(rule: Rule, cutoff: Column, counts: str = "f.") -> Column:
-    value = F.expr(rule.feature.replace("n_", f"{counts}n_").replace("word_chars",
-                                                                     f"{counts}word_chars"))
+def _beyond(rule: Rule, cutoff: Column) -> Column:
+    """Whether the feature lies beyond the cutoff; NULL for a text without words."""
+    value = F.expr(rule.feature.replace("n_words", "nullif(f.n_words, 0)")
+                   .replace("n_symbols", "f.n_symbols").replace("n_dup_lines", "f.n_dup_lines")
+                   .replace("n_repeat_words", "f.n_repeat_words")
+                   .replace("word_chars", "f.word_chars"))
     return value > cutoff if rule.above else value < cutoff
 
 
