@@ -12,7 +12,7 @@ repeat. The initial buckets are the anchors' strings:
    settles equal contexts it sees itself and passes on one of them, so groups of
    copies do not travel.
 2. Where one anchor string has different contexts, one of each is fetched from
-   its document, and the suffixes in them are refined: buckets of 8-byte strings
+   its document, and the suffixes in them are refined: buckets of Q-byte strings
    first, then by sorting on (own bucket, bucket of a later offset), which
    doubles the length each time up to WINDOW; suffixes alone in their bucket
    drop out, and with them every suffix that points at them.
@@ -23,8 +23,8 @@ repeat. The initial buckets are the anchors' strings:
 
 Texts are UTF-8 bytes, NULL counts as empty; no window crosses a document.
 Documents are known by 88 bits of their SHA-256, so rows with equal text share
-their spans and repeated or NULL doc_ids do no harm; anchors and contexts are
-64-bit hashes. Texts shorter than a window stay whole.
+their spans and repeated or NULL doc_ids do no harm; anchors, contexts and the
+first buckets are 64-bit hashes. Texts shorter than a window stay whole.
 """
 
 from __future__ import annotations
@@ -38,13 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regcurate.llm.shared import (by_bytes, in_arrow, mix64, per_group, prefix_hash, range_hash,
-                                  small_side, staged, utf8)
+                                  staged, utf8)
 
 WINDOW, GRAM = 200, 80
+#: Length of the strings in the first buckets of the refinement.
+Q = 50
 #: Bytes of a window before its anchor, at most.
 REACH = WINDOW - GRAM
 #: Records per bucket of step 1, contexts per bucket of step 2.
-BUCKET_ROWS, BUCKET_CONTEXTS = 500_000, 8_000
+BUCKET_ROWS, BUCKET_CONTEXTS = 250_000, 4_000
 #: Different contexts from which an anchor string is split into windows.
 CONTEXTS = 4_000
 #: One text in SAMPLE looks for hot anchors; hot from HOT occurrences in all.
@@ -123,7 +125,8 @@ def _spans_of(data: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data), _SPAN)
     out["k1"], out["k2"] = data["k1"], data["k2"]
     out["lo"], out["hi"] = data["at"] - data["before"], data["at"] + data["after"].astype(np.int64)
-    return np.unique(out)
+    out = out[np.lexsort((out["lo"], out["k2"], out["k1"]))]
+    return out[_runs(out, "k1", "k2", "lo", "hi")[0]]
 
 
 def collapse(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +242,7 @@ def _anchor_rows(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
             for _, records in _text_anchors(*utf8(batch.column("text"))):
                 parts.append(records)
                 held += len(records)
-            if held > 2 * BUCKET_ROWS:
+            if held > BUCKET_ROWS:
                 yield flush(parts)
                 parts, held = [], 0
         if parts:
@@ -252,7 +255,7 @@ def _anchor_rows(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
 
 def _rank(keys: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """Bucket of each position from its key; -1 where it is alone or absent."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     new = np.append(True, ordered[1:] != ordered[:-1]) if len(keys) else np.zeros(0, bool)
     bucket = np.cumsum(new)
@@ -266,13 +269,9 @@ def repeated_windows(text: np.ndarray, ends: np.ndarray, window: int = WINDOW) -
     """Bucket of every position of ``text`` that starts a ``window``-byte string
     which occurs at another position too; -1 elsewhere. ``ends`` gives for each
     position where its stretch ends."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    keys = np.zeros(n, np.uint64)
-    for k in range(8):                            # initial buckets: 8 bytes, exactly
-        keys = (keys << np.uint64(8)) | padded[k:k + n]
-    at = np.flatnonzero(np.arange(n) + 8 <= ends)
-    rank, length = _rank(keys[at], at, n), 8
+    n, length = len(text), min(Q, window)
+    at = np.flatnonzero(np.arange(n) + length <= ends)
+    rank = _rank(range_hash(prefix_hash(text), at, at + length), at, n)
     while length < window:
         step = min(length, window - length)       # the last step overlaps
         at = np.flatnonzero(rank >= 0)
@@ -296,15 +295,18 @@ def _refine(table: pa.Table) -> pa.Table:
     rank = repeated_windows(text, np.repeat(begin + size, size))
     at = np.flatnonzero(rank >= 0)
     # contexts of one document overlap: a window must stand at two places
-    place = np.zeros(len(at), np.dtype([("bucket", "<i8"), ("k1", "<i8"), ("k2", "<i4"),
-                                        ("start", "<i4")]))
-    own = heads[owner[at]]
-    place["bucket"], place["k1"], place["k2"] = rank[at], own["k1"], own["k2"]
-    place["start"] = own["lo"] + at - begin[owner[at]]
-    places = np.unique(place)
-    first, count = _runs(places, "bucket")
-    twice = places["bucket"][first][count > 1]
-    hit = at[np.isin(place["bucket"], twice) & (own["kind"] == 1)]
+    order = np.lexsort((heads["k2"], heads["k1"]))
+    first, size_ = _runs(heads[order], "k1", "k2")
+    doc = np.empty(len(heads), np.int64)
+    doc[order] = np.repeat(np.arange(len(first)), size_)
+    place = (doc[owner[at]] << np.int64(32)) | (heads["lo"][owner[at]] + at - begin[owner[at]])
+    bucket = rank[at]
+    order = np.lexsort((place, bucket))
+    bucket_, place_ = bucket[order], place[order]
+    new = np.append(True, (bucket_[1:] != bucket_[:-1]) | (place_[1:] != place_[:-1])) \
+        if len(at) else np.zeros(0, bool)
+    places = np.bincount(bucket_[new], minlength=1)
+    hit = at[(places[bucket] > 1) & (heads["kind"][owner[at]] == 1)]
     who, start = owner[hit], hit - begin[owner[hit]]
     first = np.flatnonzero(np.append(True, who[1:] != who[:-1])) if len(who) else who
     spans = np.zeros(len(first), _SPAN)
@@ -321,9 +323,7 @@ def _wanted(rows: DataFrame, asked: DataFrame) -> DataFrame:
     lists = staged(asked.groupBy("k1", "k2").agg(
         F.collect_list(F.struct("at", "lo", "hi", "kind", "gram")).alias("asked")),
         "repeats-asked")
-    n, all_ = lists.agg(F.count(F.lit(1)), F.sum(F.size("asked"))).first()
-    side = small_side(lists, 1, 40 * n + 24 * (all_ or 0))
-    return rows.select(*key_columns(F.col("text")), "text").join(side, ["k1", "k2"]) \
+    return rows.select(*key_columns(F.col("text")), "text").join(lists, ["k1", "k2"]) \
         .select("k1", "k2", "text", "asked")
 
 
@@ -391,7 +391,7 @@ def _window_rows(wanted: DataFrame, buckets: int) -> DataFrame:
                 out["k1"], out["k2"], out["at"], out["after"] = k1, k2, at, WINDOW
                 parts.append(out)
                 held += len(out)
-            if held > 2 * BUCKET_ROWS:
+            if held > BUCKET_ROWS:
                 yield flush(parts)
                 parts, held = [], 0
         if parts:
@@ -455,12 +455,10 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Column ``row`` (all columns of ``docs``), text and spans of every row."""
-    n, all_ = found.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
-    side = small_side(found, 1, 40 * n + 12 * (all_ or 0))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col("text").cast("string").alias("text"))
     return rows.select("row", "text", *key_columns(F.col("text"))) \
-        .join(side, ["k1", "k2"], "left").select("row", "text", "spans")
+        .join(found, ["k1", "k2"], "left").select("row", "text", "spans")
 
 
 def _batch_runs(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
