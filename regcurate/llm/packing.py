@@ -79,7 +79,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int) -> DataFr
     """doc_id, start, length, ids_crc32, doc_tokens of each piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(vocabulary)
-        for batch in by_bytes(batches, "text", 16 << 20, 1 << 14):
+        for batch in by_bytes(batches, "text", 4 << 20):
             ids, off = tok.encode(batch.column("text"))
             docs_, starts, sizes, sums, totals = [], [], [], [], []
             for d, doc_id in enumerate(batch.column("doc_id").to_pylist()):

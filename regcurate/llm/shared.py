@@ -81,7 +81,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20,
+def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20,
              rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``limit`` text bytes, so that
     working arrays stay small whatever the batch size (a longer single text is

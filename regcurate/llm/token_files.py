@@ -47,7 +47,7 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 class TokenFileWriter:
     """Appends documents' ids to an open binary stream."""
 
-    def __init__(self, out, dtype: str = "<u4", level: int = 3):
+    def __init__(self, out, dtype: str = "<u4", level: int = 1):
         import zstandard
 
         self._out, self._dtype = out, dtype
@@ -138,7 +138,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         own = f"{base}/.{name}.{ctx.taskAttemptId()}"
         stream = writer = None
         n_docs = n_tokens = 0
-        for batch in by_bytes(batches, "text", 16 << 20, 1 << 14):
+        for batch in by_bytes(batches, "text", 4 << 20):
             if writer is None:
                 fs.create_dir(base, recursive=True)
                 stream = fs.open_output_stream(own)

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts and letter runs kept per worker; further ones are encoded each time.
-CACHE_PARTS, CACHE_RUNS = 500_000, 300_000
+CACHE_PARTS, CACHE_RUNS = 350_000, 250_000
 
 _GENERAL = re.compile(r"[ \n]*[^ \n]+|[ \n]+$")
 _RUN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)(?=[!-@\[-`{-~]|$)")
