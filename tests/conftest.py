@@ -9,8 +9,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from regcurate.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -18,10 +16,3 @@ def spark():
                       checkpoint_dir=tempfile.mkdtemp(prefix="regcurate-tests-"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples (nulls first) for order-free comparison."""
-    cols = cols or tuple(df.columns)
-    out = [tuple(r[c] for c in cols) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))

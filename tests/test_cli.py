@@ -3,7 +3,7 @@ import json
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from regcurate.cli import main
 from regcurate.sources.fixtures import register_view
 from regcurate.specs.registers import REGISTERS

@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from regcurate.functions.columns import (atc_category, period_from_file_name, recode_gender,
                                          year_from_file_name)
 from regcurate.plans import employment

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from regcurate.operators.dedup import (first_file_wins, first_file_wins_window,
                                        one_row_per_key, rows_in_first_file)
 from regcurate.plans import diagnoses, population

@@ -7,7 +7,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from conftest import rows
+from helpers import rows
 from regcurate.operators.landing import land_register
 from regcurate.sources.files import land_folder, read_register, register_files
 from regcurate.specs.registers import REGISTERS, RegisterSpec
@@ -81,7 +81,7 @@ def test_undated_folder_period_zero(spark, tmp_path):
 
 def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
     """Write fixture registers as yearly files, land them, curate them."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from regcurate.plans.pipeline import run
     from regcurate.sources.fixtures import register_view
 
@@ -134,7 +134,7 @@ def test_pipeline_end_to_end_with_sidecars(spark, tmp_path):
 
 
 def test_partition_folder_layout(spark, tmp_path):
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from regcurate.sources.fixtures import register_view
     src = str(tmp_path / "src")
     ras = register_view(spark, SF_SMALL, "ras")
@@ -236,7 +236,7 @@ def test_every_dodsaa_register_goes_into_deaths(spark, tmp_path):
 def test_sidecar_tells_columns_and_text_format(spark, tmp_path):
     from regcurate.sinks.writers import read_json, write_curated
     from regcurate.sources.fixtures import register_view
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     path = str(tmp_path / "faik")
     write_curated("family_income", {"faik": register_view(spark, SF_SMALL, "faik")}, path, "csv")
     doc = read_json(spark, path + "_metadata.json")
@@ -248,7 +248,7 @@ def test_sidecar_tells_columns_and_text_format(spark, tmp_path):
 def test_curate_leaves_session_settings(spark, tmp_path):
     from regcurate.session import sized_shuffles
     from regcurate.sources.fixtures import register_view
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     df = register_view(spark, SF_SMALL, "faik")

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 # the registers' catalogue; optional subpackages test their own queries
 QUERIES = {k: v for k, v in entry.queries().items() if k in entry.QUERIES}

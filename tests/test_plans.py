@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from regcurate import plans
 from regcurate.operators.landing import land_register
 from regcurate.sinks.writers import write_landed

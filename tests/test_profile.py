@@ -1,6 +1,6 @@
 """Profiles on small literal tables."""
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from regcurate.operators.profile import (contract_report, coverage_of_parts, coverage_row,

@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from helpers import rows
 from regcurate.operators.dedup import first_file_wins, first_file_wins_window, one_row_per_key
 from regcurate.operators.joins import aligned_join
 
