@@ -7,9 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from regcurate.llm import (classifier, decontaminate, fixity, jaccard, packing, quality_rules,
-                           sharding, suffix_dedup, token_files, url_lists)
+from regcurate.llm import (classifier, cover_tree, decontaminate, fixity, jaccard, packing,
+                           page_text, quality_rules, sharding, suffix_dedup, token_files, turns,
+                           url_lists)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -235,6 +235,87 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"))
 
 
+# --- 11 hard negatives --------------------------------------------------------
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five negatives per anchor and positive; one row in seven has the
+    next label, as mislabelled rows have."""
+    finite = table(spark, sf_dir, "embeddings").where(
+        "forall(embedding, x -> x is not null and not isnan(x) and abs(x) < float('infinity'))")
+    rows = finite.select(
+        "vec_id", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label"),
+        F.expr("transform(embedding, x -> floor(256D * cast(x as double)))").alias("vector"))
+    return cover_tree.hard_negatives(
+        rows, anchors=F.col("vec_id") % 100 == 0, positives=5, negatives=5,
+        low=80, high=100)
+
+
+_OP11_SQL = """
+with v as (
+  select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end) as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label as own, b.vec_id, b.label,
+    list_inner_product(a.v, b.v)::bigint as score
+  from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+p as (
+  select * from s where own = label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select p.anchor_id, p.vec_id as positive_id, p.score as positive_score,
+    s.vec_id as negative_id, s.score as negative_score
+  from p join s on s.anchor_id = p.anchor_id and s.label <> s.own
+   and 100 * s.score between 80 * p.score and 100 * p.score)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, negative_id,
+  positive_score, negative_score
+from n window w as (partition by anchor_id, positive_id order by negative_score desc, negative_id)
+qualify row_number() over w <= 5
+"""
+
+
+# --- 12 HTML extraction ---------------------------------------------------------
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = page_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
+                        "n_lines", "n_shared", "n_deleted")
+
+
+# --- 13 conversation repair -----------------------------------------------------
+
+def _damaged_turns(conversations: DataFrame) -> DataFrame:
+    """Stand-in damage by crc32 of ``conv_id:turn``: rows dropped, emptied, cut
+    off, repeated, given another role."""
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"),
+        F.coalesce("text", F.lit(" ")).alias("text"),
+        F.expr("crc32(cast(concat(coalesce(cast(conv_id as string), ' '), ':', "
+               "coalesce(cast(turn as string), ' ')) as binary)) % 20").alias("d")).where("d <> 0")
+    return rows.withColumns({
+        "role": F.when(F.col("d") == 4, "user").otherwise(F.col("role")),
+        "text": F.when(F.col("d") == 1, "").when(
+            F.col("d") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")),
+        "again": F.explode(F.expr("if(d = 3, array(1, 2), array(1))"))}) \
+        .select("conv_id", "turn", "role", "text")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit and hash of every conversation's cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.repair(_damaged_turns(conversations), conversations.select("conv_id"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline at the top of the repository."""
+    import corpus_pipeline            # not part of the package: only this query needs it
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_classifier": op2_classifier,
@@ -246,10 +327,14 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
-    "pipeline": corpus_pipeline.run,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_page_text": op12_page_text,
+    "op13_conversation_repair": op13_conversation_repair,
+    "pipeline": pipeline,
 }
 
 ORACLE = {
     "op1_quality_rules": _op1_sql(),
     "op5_url_lists": _op5_sql(),
+    "op11_hard_negatives": _OP11_SQL,
 }
