@@ -4,6 +4,7 @@
         [--format csv] [--output-format csv] [--incremental] [--sorted]
     python -m regcurate land <spec.json> <dated_dir> <undated_dir> <output_dir>
     python -m regcurate curate <output_dir> [--spec spec.json]
+    python -m regcurate refresh <spec.json> <dated_dir> <undated_dir> <output_dir>
     python -m regcurate summarise <column> <table_path> <output_path>
 
 Runs on the session ``spark-submit`` provides (cluster settings win); a
@@ -20,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators.profile import group_count
+from .plans.incremental import refresh
 from .plans.pipeline import curate, land, missing_inputs
 from .session import apply_defaults
 from .sources.fs import exists, read_text
@@ -57,6 +59,11 @@ def main(argv=None) -> int:
                        help="land only files not landed before (streaming checkpoint)")
         s.add_argument("--sorted", action="store_true",
                        help="write curated tables in their declared order")
+    s = sub.add_parser("refresh", help="bring landed and curated tables up to date with added, "
+                                       "corrected, emptied and withdrawn extracts")
+    for arg in ("spec", "dated_dir", "undated_dir", "output_dir"):
+        s.add_argument(arg)
+    s.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     s = sub.add_parser("curate")
     s.add_argument("output_dir")
     s.add_argument("--spec", default=None, help="landing spec, if not the built-in one")
@@ -79,6 +86,9 @@ def main(argv=None) -> int:
         if args.cmd == "run":
             result["stage2"] = _sizes(curate(spark, args.output_dir, landed, args.output_format,
                                              args.sorted, specs))
+    elif args.cmd == "refresh":
+        result = refresh(spark, args.dated_dir, args.undated_dir, args.output_dir, args.format,
+                         _specs(args.spec))
     elif args.cmd == "curate":
         specs = _specs(args.spec)
         root = os.path.join(args.output_dir, "stage1")

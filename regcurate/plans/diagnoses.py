@@ -77,6 +77,12 @@ def build_with_register(inputs: dict[str, DataFrame]) -> DataFrame:
     return joined.select("register", *SPEC.names)
 
 
+def build_by_part(inputs: dict[str, DataFrame]) -> DataFrame:
+    """The joined rows plus the register and period they were joined in."""
+    joined = aligned_join(records(inputs), diagnoses(inputs))
+    return joined.select(*SPEC.names, "register", "period")
+
+
 def build(inputs: dict[str, DataFrame], observe=None) -> DataFrame:
     """``observe=(Observation, [metrics])`` is evaluated on the filtered
     records -- where the covered period is defined -- in the same pass."""

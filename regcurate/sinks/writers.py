@@ -22,11 +22,13 @@ import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import plans
 from ..operators.profile import FIRST_START, LAST_START
 from ..sources.fs import read_text, write_text
 from ..specs.curated import TABLES, TableSpec
+from .versions import Manifest, Published, Segment
 
 URN = "urn:column:dst:{register}:{column}"   # fixed lineage format of the sidecars
 
@@ -137,6 +139,32 @@ def write_curated(name: str, inputs: dict[str, DataFrame], path: str, fmt: str =
     return meta
 
 
+def publish_curated(name: str, inputs: dict[str, DataFrame], root: str,
+                    sort: bool = False) -> Manifest:
+    """Build one curated table and publish it, with its sidecar, as the next
+    version under ``root``. Readers see the old version until the new one is
+    complete, and keep it if the build fails."""
+    spark = next(iter(inputs.values())).sparkSession
+    table = Published(spark, root)
+    base, folder = table.manifest(), table.folder()
+    meta = write_curated(name, inputs, f"{table.root}/{folder}", sort=sort)
+    version = base.version + 1 if base else 1
+    stats = {"rows": meta["size"], **meta["period"]}
+    return table.publish(base, [Segment(folder, version, stats=stats)], meta)
+
+
+def read_published(spark: SparkSession, name: str, root: str, version: int | None = None
+                   ) -> tuple[DataFrame, dict]:
+    """(rows, sidecar) of one version, the latest by default."""
+    spec, table = TABLES[name], Published(spark, root)
+    found = table.manifest(version)
+    if found is None:
+        raise FileNotFoundError(f"{root}: nothing published")
+    schema = T.StructType([T.StructField(c, T.StringType())
+                           for c in (*spec.names, *spec.partition_by)])
+    return table.read(found.of("data"), schema), found.sidecar
+
+
 def write_json(spark: SparkSession, path: str, doc: dict) -> None:
     """Write a small JSON document next to a table (any file system)."""
     write_text(spark, path, json.dumps(doc, indent=2, ensure_ascii=False))

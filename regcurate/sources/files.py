@@ -149,9 +149,11 @@ def _read_layout(spark: SparkSession, header: list[str], paths: list[str], fmt:
 
 
 def read_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec, fmt: str = "parquet",
-               null_value: str = "NA") -> DataFrame:
+               null_value: str = "NA", extract: str | None = None) -> DataFrame:
     """Files listed in ``files`` (a ``path`` column), one scan per layout, every
-    value a string, unioned by name into the spec's columns + ``source_file``."""
+    value a string, unioned by name into the spec's columns + ``source_file``
+    (and, if asked for, a column ``extract``: the file's own name)."""
+    extra = [extract] if extract else []
     frames = []
     for header, paths in layouts(files, fmt):
         df = _read_layout(spark, header, paths, fmt, null_value)
@@ -159,9 +161,13 @@ def read_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec, fmt: s
         carried = F.col(PROVENANCE).cast("string") if PROVENANCE in kinds else None
         frames.append(project_to_spec(
             df.select(*[as_text(F.col(f"`{n}`"), k).alias(n) for n, k in kinds.items()
-                        if n in spec.columns], _provenance(carried)), spec.columns))
+                        if n in spec.columns], _provenance(carried),
+                      *[F.col("_metadata.file_name").alias(e) for e in extra]),
+            spec.columns, (PROVENANCE, *extra)))
     if not frames:
-        return spark.createDataFrame([], spec.schema(with_source_file=True))
+        schema = T.StructType([*spec.schema(with_source_file=True).fields,
+                               *[T.StructField(e, T.StringType()) for e in extra]])
+        return spark.createDataFrame([], schema)
     return union_all(frames)
 
 

@@ -33,6 +33,28 @@ def move(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot move {path} to {to}")
 
 
+def move_new(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file to a name that must be free (FileExistsError otherwise): one
+    atomic step on a file system with atomic renames."""
+    fs, p, jvm = _hadoop(spark, path)
+    target = jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(target) or not fs.rename(p, target):
+        raise FileExistsError(to)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is gone already is no error."""
+    fs, p, _ = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modified) of the entries of a folder."""
+    fs, p, _ = _hadoop(spark, path)
+    return [(s.getPath().getName(), s.getLen(), s.getModificationTime())
+            for s in fs.listStatus(p)]
+
+
 def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs, p, _ = _hadoop(spark, path)
     fs.setTimes(p, millis, -1)
