@@ -75,12 +75,6 @@ def q_population_window(spark, sf_dir):
     return plans.population.build_window(register_view(spark, sf_dir, "bef"))
 
 
-def q_population_join(spark, sf_dir):
-    """Population by the skew-safe form, which is the default: ``min`` over
-    integer file ordinals per person, equi-join back on (person, ordinal)."""
-    return plans.population.build(register_view(spark, sf_dir, "bef"))
-
-
 _JOINED = "n_records * n_diagnoses"       # joined rows of a key
 
 
@@ -346,7 +340,6 @@ for _t in plans.PLANS:
 QUERIES.update({
     "population_unique": q_population_unique,
     "population_window": q_population_window,
-    "population_join": q_population_join,
     "diagnoses_by_register": q_diagnoses_by_register,
     "diagnoses_pair_profile": q_diagnoses_pair_profile,
     "income_sorted": q_income_sorted,
@@ -633,7 +626,6 @@ for _t, (_sql, _regs) in CURATED_SQL.items():
 ORACLE.update({
     "population_unique": _with(["bef"]) + POPULATION_UNIQUE_SQL,
     "population_window": _with(["bef"]) + POPULATION_SQL,
-    "population_join": _with(["bef"]) + POPULATION_SQL,
     "diagnoses_by_register": _with(plans.diagnoses.INPUTS)
     + f"SELECT register, count(*) AS n FROM ({DIAGNOSES_ALL_SQL}) x GROUP BY register",
     "diagnoses_pair_profile": _oracle_pair_profile(),
