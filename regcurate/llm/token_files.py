@@ -58,6 +58,8 @@ class TokenFileWriter:
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         import xxhash
 
+        if len(ids) and int(ids.max()) > np.iinfo(self._dtype).max:
+            raise ValueError(f"id {int(ids.max())} of document {doc_id} does not fit {self._dtype}")
         plain = ids.astype(self._dtype).tobytes()
         frame = self._zip.compress(plain)
         self._out.write(frame)
@@ -160,7 +162,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
     manifest = in_arrow(ordered, run, "part long, file string, n_docs long, n_tokens long")
-    return staged(manifest, "token-manifest")
+    return staged(manifest, "token-manifest", merge=False)
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:

@@ -106,3 +106,10 @@ def test_first_fit_decreasing(sizes):
         want[i] = (b, 50 - room[b])
         room[b] -= sizes[i]
     assert [(int(b), int(o)) for b, o in zip(bins, offsets)] == [want[i] for i in range(len(sizes))]
+
+
+def test_ids_beyond_the_file_type_are_an_error():
+    writer = token_files.TokenFileWriter(io.BytesIO(), "<u2")
+    writer.add(1, np.array([0, 65_535], "<u4"))
+    with pytest.raises(ValueError, match="65536 of document 2"):
+        writer.add(2, np.array([65_536], "<u4"))
