@@ -28,7 +28,8 @@ from .session import ensure_checkpoint_dir
 from .sinks.writers import URN, read_json, sorted_for_write, write_curated
 from .sources import fs
 from .sources.files import land_folder, read_landed, register_files, rows_by_file
-from .sources.fixtures import duckdb_with, register_view, register_views, stage_extracts
+from .sources.fixtures import (duckdb_with, register_view, register_views, stage_all,
+                               stage_extracts)
 from .specs.curated import DIAGNOSIS_PAIRS, TABLES
 from .specs.registers import AKM_AS_SHIPPED, REGISTERS, RegisterSpec
 from .streaming.landing import land_available_now
@@ -267,8 +268,7 @@ def q_file_inventory(spark, sf_dir):
     """Every register as extract files, an empty file and a foreign one among
     them: the files by listing, their rows by file."""
     base = _scratch(spark, "inventory")
-    for name, spec in REGISTERS.items():
-        stage_extracts(register_view(spark, sf_dir, name), spec, base)
+    stage_all(spark, sf_dir, base)
     bef = register_view(spark, sf_dir, "bef").drop("source_file")
     for name in (EMPTY_FILE, "zzz2001.parquet"):
         bef.limit(0).coalesce(1).write.parquet(f"{base}/staging/{name}")

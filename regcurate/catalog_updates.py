@@ -6,20 +6,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import plans
-from .catalog import (DIAGNOSES_SQL, EDUCATION_SQL, POPULATION_CANDIDATES_SQL, POPULATION_SQL,
+from .catalog import (CURATED_SQL, DIAGNOSES_SQL, EDUCATION_SQL, POPULATION_CANDIDATES_SQL, POPULATION_SQL,
                       _inputs, _land_sql, _scratch, _with)
 from .catalog import ORACLE as _ORACLE
 from .catalog import QUERIES as _QUERIES
-from .operators.landing import land_register
+from .operators.landing import land_register, union_all
 from .plans import incremental
+from .sinks.enforce import publish_enforced, read_rejects
 from .sinks.versions import Published
 from .sinks.writers import publish_curated, read_published, write_landed
 from .sources import fs
 from .sources.files import read_landed
 from .sources.fixtures import register_view, stage_extracts
+from .sources.footers import counts_by_partition
 from .sources.ledger import land_by_ledger, read_landed_version
+from .specs.curated import TABLES
 from .specs.registers import REGISTERS
 
 
@@ -224,8 +228,69 @@ fixed AS (SELECT * EXCLUDE (r, KOEN, source_file),
   WHERE r > 3 OR (r = 1 AND right(PNR, 1) IN ('0', '2', '4', '6', '8'))) """
 
 
+# --- counts from footers --------------------------------------------------------------
+
+def q_landed_counts(spark, sf_dir):
+    """Rows per register, period and extract of all landed registers, from the
+    footers of one table partitioned by them."""
+    path = _scratch(spark, "landed") + "/registers"
+    rows = union_all(land_register(register_view(spark, sf_dir, n), spec).withColumn(
+        "register", F.lit(n)) for n, spec in REGISTERS.items())
+    parts = ["register", "period", "source_file"]
+    rows.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+    schema = StructType([f for f in rows.schema.fields if f.name not in parts]
+                        + [StructField(p, StringType()) for p in parts])
+    return counts_by_partition(spark, path, schema, parts)
+
+
+# --- contracts enforced ---------------------------------------------------------------
+
+def q_contract_rejects(spark, sf_dir):
+    """Every curated table split into clean and rejected rows: rows per part and
+    combination of broken rules, read back from what was published."""
+    base, out = _scratch(spark, "rejects"), []
+    for name in plans.PLANS:
+        root = f"{base}/{name}"
+        state = publish_enforced(name, _inputs(spark, sf_dir, name), root)
+        table = Published(spark, root)
+        clean, _ = read_published(spark, name, root)
+        bad = read_rejects(name, table, state)
+        parts = clean.select(F.lit("clean").alias("part"), F.lit("").alias("rules")).unionByName(
+            bad.select(F.lit("rejects").alias("part"),
+                       F.array_join("broken_rules", ",").alias("rules")))
+        out.append(parts.groupBy("part", "rules").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "part", "rules", "rows"))
+    return union_all(out)
+
+
+def _rejects_sql() -> str:
+    parts, views = [], set()
+    for name, (sql, regs) in CURATED_SQL.items():
+        views |= set(regs)
+        spec, rules = TABLES[name], []
+        for c in spec.columns:
+            if not c.nullable:
+                rules.append((c.name, "not_null", f"{c.name} IS NULL OR {c.name} = ''"))
+            if c.format:
+                rules.append((c.name, "format", f"{c.name} <> '' AND NOT "
+                              f"regexp_matches({c.name}, '{c.format}')"))
+            if c.enum:
+                values = ", ".join(f"'{v}'" for v in c.enum)
+                rules.append((c.name, "enum", f"{c.name} NOT IN ({values})"))
+        if "categories" in spec.extra:
+            values = ", ".join(f"'{v}'" for v in spec.extra["categories"] + ("_none",))
+            rules.append(("atc_category", "declared_category", f"atc_category NOT IN ({values})"))
+        told = ", ".join(f"CASE WHEN {w} THEN '{c}:{r}' END" for c, r, w in rules) or "NULL"
+        parts.append(f"SELECT '{name}' AS table_name, CASE WHEN rules = '' THEN 'clean' ELSE "
+                     f"'rejects' END AS part, rules, count(*) AS rows FROM "
+                     f"(SELECT concat_ws(',', {told}) AS rules FROM ({sql}) t) x GROUP BY rules")
+    return _with(views) + "\nUNION ALL\n".join(parts)
+
+
 QUERIES = {
     **_QUERIES,
+    "landed_counts": q_landed_counts,
+    "contract_rejects": q_contract_rejects,
     "population_incremental": q_population_incremental,
     "population_deliveries": q_population_deliveries,
     "diagnoses_incremental": q_diagnoses_incremental,
@@ -236,6 +301,10 @@ QUERIES = {
 
 ORACLE = {
     **_ORACLE,
+    "landed_counts": _with(REGISTERS) + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS register, period, source_file, count(*) AS rows "
+        f"FROM ({_land_sql(n)}) l GROUP BY ALL" for n in REGISTERS),
+    "contract_rejects": _rejects_sql(),
     "population_incremental": _with(["bef"]) + POPULATION_SQL,
     "population_deliveries": _with(["bef"]).rstrip() + ", " + _DELIVERED_SQL,
     "diagnoses_incremental": _with(plans.diagnoses.INPUTS) + DIAGNOSES_SQL,

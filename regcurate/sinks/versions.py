@@ -143,7 +143,7 @@ class Published:
         for (write, version), parts in sorted(writes.items(), key=lambda x: (x[0][1], x[0][0])):
             df = self.spark.read.schema(schema).option(
                 "basePath", f"{self.root}/data/{write}").parquet(
-                    *[f"{self.root}/{s.path}" for s in parts])
+                    *[f"{self.root}/{s.path}" for s in parts]).select(*schema.names)
             frames.append(df.withColumn(at, F.lit(version)) if at else df)
         if not frames:
             schema = T.StructType([*schema.fields, T.StructField(at, T.IntegerType())]) \
