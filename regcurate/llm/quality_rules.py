@@ -1,18 +1,23 @@
 """Quality rules with risk-controlled thresholds, as DataFrame expressions.
 
-Every rule rejects a document whose feature lies beyond a cutoff. The cutoffs
-to try are fixed in advance (``RULES``). On the labelled holdout of a stratum,
-a cutoff rejecting k of n good documents is certified when the exact binomial
-bound P(Bin(n, risk) <= k) stays below delta over the number of tests
-(Bonferroni over strata, rules and cutoffs). Each rule takes the most severe
-certified cutoff; a rule without one rejects nothing. The risk is split evenly
-over the rules, so that with probability 1 - delta no stratum loses more than
-``risk`` of its good documents to the certified rules together.
+The rules have a fixed path of settings from mild to severe; a setting gives every
+rule its cutoff, and a document is rejected if any rule finds its feature beyond
+that cutoff, so settings reject ever more. On the labelled holdout of a stratum a
+setting that rejects k of n good documents is certified when the exact binomial
+bound P(Bin(n, risk) <= k) is at most delta over the number of strata
+(Bonferroni). Settings are tested in their fixed order, each at that whole level,
+up to the first that fails: fixed-sequence testing needs no correction over the
+settings. Each stratum takes its last certified setting, so that with probability
+1 - delta no stratum loses more than ``risk`` of its good documents to the rules
+together. It takes 86 good documents of a stratum (risk and delta 0.05, four
+strata) to certify a setting that rejects none of them; below, no rule rejects.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a
 NULL stratum is a stratum of its own; a doc_id labelled more than once counts
-as good if any label says so; repeated rows are judged one by one; without
-labels nothing but the base rules rejects.
+as good if any label says so; a good doc_id is one trial of its stratum however
+often its row is repeated, and rejected if any of its rows is; repeated rows are
+judged one by one; without labels nothing but the base rules rejects; texts of any
+length are counted whole.
 """
 
 from __future__ import annotations
@@ -30,8 +35,8 @@ RISK, DELTA = 0.05, 0.05
 
 @dataclass(frozen=True)
 class Rule:
-    """``feature`` above (or, if not ``above``, below) a cutoff rejects;
-    cutoffs run from the most severe to the mildest."""
+    """``feature`` above (or, if not ``above``, below) a cutoff rejects; the
+    cutoffs, one per setting, run from the mildest to the most severe."""
 
     name: str
     feature: str
@@ -41,11 +46,11 @@ class Rule:
 
 #: Features are SQL over the base counts.
 RULES = (
-    Rule("symbols", "n_symbols / n_words", True, (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0)),
-    Rule("long_words", "word_chars / n_words", True, (6.0, 7.0, 8.0, 9.0, 10.0, 12.0, 15.0)),
-    Rule("short_words", "word_chars / n_words", False, (4.0, 3.5, 3.0, 2.5, 2.0, 1.5)),
-    Rule("dup_lines", "100 * n_dup_lines / n_words", True, (0.5, 1.0, 2.0, 3.0, 5.0, 10.0)),
-    Rule("repeats", "n_repeat_words / n_words", True, (0.05, 0.1, 0.15, 0.2, 0.3, 0.4)),
+    Rule("symbols", "n_symbols / n_words", True, (1.0, 0.5, 0.3, 0.2, 0.1, 0.05)),
+    Rule("long_words", "word_chars / n_words", True, (15.0, 12.0, 10.0, 9.0, 8.0, 7.5)),
+    Rule("short_words", "word_chars / n_words", False, (1.5, 2.0, 2.5, 3.0, 3.5, 3.75)),
+    Rule("dup_lines", "100 * n_dup_lines / n_words", True, (10.0, 5.0, 3.0, 2.0, 1.5, 1.0)),
+    Rule("repeats", "n_repeat_words / n_words", True, (0.4, 0.35, 0.3, 0.25, 0.2, 0.15)),
 )
 
 
@@ -111,29 +116,37 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, total).otherwise(F.lit(1.0))
 
 
-def certified_cutoffs(judged: DataFrame, labels: DataFrame, risk: float = RISK,
-                      delta: float = DELTA, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per stratum: its good holdout documents and a cutoff per rule
-    (NULL: none certified). ``judged`` has doc_id, stratum and f; ``labels`` has
-    doc_id and quality."""
+def rejected_from(rules: tuple[Rule, ...] = RULES) -> Column:
+    """Number (from 1) of the mildest setting that rejects a document, one more
+    than there are settings if none does."""
+    n = len(rules[0].cutoffs)
+    first = [F.coalesce(*[F.when(_beyond(r, F.lit(c)), F.lit(s))
+                          for s, c in enumerate(r.cutoffs, 1)], F.lit(n + 1)) for r in rules]
+    return F.least(*first) if len(first) > 1 else first[0]
+
+
+def certified_settings(judged: DataFrame, labels: DataFrame, risk: float = RISK,
+                       delta: float = DELTA, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """stratum, n_holdout (its good documents) and setting (number of the last
+    certified one, 0: none) of each stratum with good documents. ``judged`` has
+    doc_id, stratum, f and rejected_from; ``labels`` doc_id and quality."""
+    settings = len(rules[0].cutoffs)
     good = (labels.groupBy("doc_id").agg(F.max("quality").alias("quality"))
             .where("quality = 1").select("doc_id"))
-    holdout = judged.where(~base_failed()).join(good, "doc_id")
-    counts = holdout.groupBy("stratum").agg(
+    # one trial per good document and stratum
+    trials = judged.where(~base_failed()).join(good, "doc_id") \
+        .groupBy("doc_id", "stratum").agg(F.min("rejected_from").alias("level"))
+    counts = staged(trials.groupBy("stratum").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(_beyond(r, F.lit(c))).alias(f"k{i}_{j}")
-          for i, r in enumerate(rules) for j, c in enumerate(r.cutoffs)])
-    counts = staged(counts, "rule-counts")
-    tests = max(1, counts.count()) * sum(len(r.cutoffs) for r in rules)
-
-    def mildest_first_certified(i: int, rule: Rule) -> Column:
-        return F.coalesce(*[
-            F.when(binomial_cdf(F.col(f"k{i}_{j}"), F.col("n"), risk / len(rules))
-                   <= delta / tests, F.lit(c)) for j, c in enumerate(rule.cutoffs)])
-
+        *[F.count_if(F.col("level") <= s).alias(f"k{s}") for s in range(1, settings + 1)]),
+        "rule-counts")
+    level = delta / max(1, counts.count())
+    passed = F.lit(0)
+    for s in range(settings, 0, -1):      # a setting counts if all milder ones pass too
+        p = binomial_cdf(F.col(f"k{s}"), F.col("n"), risk)
+        passed = F.when(p <= level, F.lit(1) + passed).otherwise(F.lit(0))
     return counts.select("stratum", F.col("n").alias("n_holdout"),
-                         *[mildest_first_certified(i, r).alias(f"cut_{r.name}")
-                           for i, r in enumerate(rules)])
+                         passed.cast("int").alias("setting"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
@@ -142,21 +155,20 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     """Columns ``row`` (the chosen columns of ``docs``, all by default), ``f``
     (base counts), ``base_failed`` and ``kept``, one row per document. The
     features are computed once, into a staged table; the labels meet only its
-    small columns."""
+    small columns. All rules have the same number of cutoffs."""
     wanted = [F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]
     judged = with_base_counts(docs.select(
         F.struct(F.struct(*wanted).alias("cols"), F.col("doc_id"),
                  F.col(stratum).cast("string").alias("stratum"), F.col("text"))
         .alias("row")), F.col("row.text"))
-    judged = staged(judged.select(F.col("row.cols").alias("row"), "row.doc_id", "row.stratum", "f"),
+    judged = staged(judged.select(F.col("row.cols").alias("row"), "row.doc_id", "row.stratum",
+                                  "f", rejected_from(rules).alias("rejected_from")),
                     "rule-features")
-    cuts = staged(certified_cutoffs(judged.select("doc_id", "stratum", "f"),
-                                    labels.select("doc_id", "quality"), risk, delta, rules),
-                  "rule-cutoffs")
-    cuts = small_side(cuts.withColumnRenamed("stratum", "of"), 64 + 8 * len(rules))
-    rejected = F.lit(False)
-    for r in rules:
-        rejected = rejected | F.coalesce(_beyond(r, F.col(f"cut_{r.name}")), F.lit(False))
-    return (judged.join(cuts, F.col("stratum").eqNullSafe(F.col("of")), "left")
+    settings = staged(certified_settings(
+        judged.select("doc_id", "stratum", "f", "rejected_from"),
+        labels.select("doc_id", "quality"), risk, delta, rules), "rule-settings")
+    settings = small_side(settings.select(F.col("stratum").alias("of"), "setting"), 64)
+    rejected = F.col("rejected_from") <= F.coalesce("setting", F.lit(0))
+    return (judged.join(settings, F.col("stratum").eqNullSafe(F.col("of")), "left")
             .select("row", "f", base_failed().alias("base_failed"),
                     (~base_failed() & ~rejected).alias("kept")))

@@ -29,17 +29,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op1_sql() -> str:
     rules = quality_rules.RULES
-    tests = sum(len(r.cutoffs) for r in rules)
-    share = quality_rules.RISK / len(rules)
-    grid = ", ".join(f"({i}, {j}, {c!r}::double)" for i, r in enumerate(rules)
-                     for j, c in enumerate(r.cutoffs))
-    beyond = " ".join(f"when g.rule = {i} then ({r.feature}) {'>' if r.above else '<'} g.cutoff"
-                      for i, r in enumerate(rules))
-    rejected = " or ".join(
-        f"coalesce(({r.feature}) {'>' if r.above else '<'} c.cut_{i}, false)"
-        for i, r in enumerate(rules))
-    cuts = ", ".join(f"first(cutoff order by step) filter (rule = {i}) as cut_{i}"
-                     for i in range(len(rules)))
+    n = len(rules[0].cutoffs)
+    firsts = ", ".join("case " + " ".join(
+        f"when ({r.feature}) {'>' if r.above else '<'} {c!r}::double then {j}"
+        for j, c in enumerate(r.cutoffs, 1)) + f" else {n + 1} end" for r in rules)
+    risk = f"{quality_rules.RISK!r}::double"
     return f"""
 with t as (
   select doc_id, lang, coalesce(text, '') as text,
@@ -65,23 +59,23 @@ f as (
   from w left join hits using (doc_id)),
 b as (select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed from f),
 good as (select doc_id from labels group by doc_id having max(quality) = 1),
-grid(rule, step, cutoff) as (values {grid}),
-held as (select * from b where not base_failed and doc_id in (select doc_id from good)),
-k as (
-  select h.lang, g.rule, g.step, g.cutoff, count(*) as n,
-    count(*) filter (case {beyond} end) as k
-  from held h, grid g group by all),
+level as (select b.*, case when n_words = 0 then {n + 1} else least({firsts}) end as rejected_from
+  from b),
+held as (select doc_id, lang, min(rejected_from) as r from level
+  where not base_failed and doc_id in (select doc_id from good) group by all),
+steps(s) as (select unnest(range(1, {n + 1}))),
+k as (select lang, s, count(*) as n, count(*) filter (r <= s) as k from held, steps group by all),
 p as (
-  select k.*, case when k < n * {share!r}::double then list_sum(list_transform(range(0, k + 1),
-      lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share!r}::double)
-               + (n - j) * ln(1 - {share!r}::double)))) else 1 end as p from k),
+  select k.*, case when k < n * {risk} then list_sum(list_transform(range(0, k + 1),
+      lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk})
+               + (n - j) * ln(1 - {risk})))) else 1 end as p from k),
 cut as (
-  select lang, {cuts} from p
-  where p <= {quality_rules.DELTA!r}::double / ({tests} * (select count(distinct coalesce(lang, chr(0))) from held))
-  group by lang)
+  select lang, coalesce(min(s) filter (p > {quality_rules.DELTA!r}::double
+    / (select count(distinct coalesce(lang, chr(0))) from held)), {n + 1}) - 1 as setting
+  from p group by lang)
 select b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  (not base_failed and not ({rejected})) as kept
-from b left join cut c on b.lang is not distinct from c.lang
+  (not base_failed and rejected_from > coalesce(setting, 0)) as kept
+from level b left join cut c on b.lang is not distinct from c.lang
 """
 
 

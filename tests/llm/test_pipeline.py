@@ -4,6 +4,7 @@ import brute
 import pytest
 
 import corpus_pipeline
+from test_quality_rules import plain_kept
 from regcurate.llm import decontaminate
 
 SF = "/root/testdata/sf0.001"
@@ -21,14 +22,23 @@ def stages(spark):
     return out
 
 
-def test_quality(stages):
+def _quality_keeps(rows, sf, spark):
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()]
+    kept, _ = plain_kept([(r.doc_id, r.text, r.lang) for r in rows], labels)
+    return {d for d, verdicts in kept.items() if any(verdicts)}
+
+
+def test_quality_with_cutoffs_in_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    after = corpus_pipeline.quality(spark, docs, sf)
+    assert {r.doc_id for r in after.select("doc_id").collect()} == \
+        _quality_keeps(docs.collect(), sf, spark)
+
+
+def test_quality(spark, stages):
     before, after = stages[0], stages[1]
-    # too few labels here to certify a cutoff: the base rules decide
-    want = set()
-    for r in before:
-        n, _, _, _, repeat = brute.base_counts(r.text)
-        if n >= 50 and 100 * repeat <= 50 * n:
-            want.add(r.doc_id)
+    want = _quality_keeps(before, SF, spark)
     assert {r.doc_id for r in after} == want
     by_id = {r.doc_id: r for r in before}
     assert all(by_id[r.doc_id] == r for r in after)

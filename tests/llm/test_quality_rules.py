@@ -41,20 +41,80 @@ def test_binomial_cdf(spark, k, n, p):
     assert got == pytest.approx(want, rel=1e-9)
 
 
-def test_certified_cutoff_limits_false_rejections(spark):
-    """1,000 good documents with few symbols, 200 bad ones with many: the most
-    severe cutoff that rejects few enough good ones is taken, per stratum."""
+def plain_kept(docs, labels, rules=q.RULES, risk=q.RISK, delta=q.DELTA):
+    """doc_id -> verdicts of its rows, one rule and setting after the other."""
+    good = {}
+    for d, quality in labels:
+        good[d] = max(good.get(d, 0), quality or 0)
+    rows, settings = [], len(rules[0].cutoffs)
+    for d, text, stratum in docs:
+        words, chars, symbols, lines, repeats = brute.base_counts(text)
+        value = {"symbols": symbols, "long_words": chars, "short_words": chars,
+                 "dup_lines": 100 * lines, "repeats": repeats}
+        failed = words < 50 or 100 * repeats > 50 * words
+        hit = [s for s in range(settings) for r in rules if words and (
+            (value[r.name] / words > r.cutoffs[s]) if r.above
+            else (value[r.name] / words < r.cutoffs[s]))]
+        rows.append((d, stratum, failed, min(hit, default=settings)))
+    strata, chosen = {}, {}
+    for d, stratum, failed, hit in rows:
+        if not failed and good.get(d) == 1:
+            trials = strata.setdefault(stratum, {})
+            trials[d] = min(trials.get(d, settings), hit)
+    for stratum, trials in strata.items():
+        n, chosen[stratum] = len(trials), 0
+        for s in range(settings):
+            k = sum(hit <= s for hit in trials.values())
+            p = sum(comb(n, j) * risk ** j * (1 - risk) ** (n - j) for j in range(k + 1))
+            if k >= n * risk or p > delta / len(strata):
+                break
+            chosen[stratum] = s + 1
+    out = {}
+    for d, stratum, failed, hit in rows:
+        out.setdefault(d, []).append(not failed and hit >= chosen.get(stratum, 0))
+    return {d: sorted(v) for d, v in out.items()}, chosen
+
+
+def _kept(docs, labels):
+    out = {}
+    for r in _judged(docs, labels).collect():
+        out.setdefault(r.doc_id, []).append(r.kept)
+    return {d: sorted(v) for d, v in out.items()}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_settings_over_documents(spark, sf):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf{sf}/{t}.parquet")
+                    for t in ("documents", "labels"))
+    want, chosen = plain_kept([(r.doc_id, r.text, r.lang) for r in docs.collect()],
+                              [(r.doc_id, r.quality) for r in labels.collect()])
+    assert _kept(docs, labels) == want
+    if sf == "0.01":                       # the largest stratum has evidence enough
+        assert chosen["en"] > 0
+        assert _judged(docs, labels).where("not base_failed and not kept").count() > 0
+
+
+def test_rules_together_limit_false_rejections(spark):
+    """Each rule alone is within the risk, all together are not: the path stops."""
     good = " ".join(f"word{i}" for i in range(100))
-    rows = [(i, good + " #" * (i % 4), "en") for i in range(1000)]
-    rows += [(5000 + i, good + " #" * 60, "en") for i in range(200)]
-    rows += [(9000 + i, good + " #" * 60, "xx") for i in range(20)]    # no good one known
+    def text(i):
+        if i < 30:
+            return good + " #" * 60                    # symbols, from setting 2
+        if i < 60:
+            return good + "\nx y\nx y\nx y\nx y"        # repeated lines, from setting 4
+        return good
+    rows = [(i, text(i), "en") for i in range(1000)]
+    rows += [(5000 + i, good + " #" * 60, "en") for i in range(50)]
+    rows += [(9000 + i, good, "xx") for i in range(60)] * 4            # repeats prove nothing
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(d, int(d < 5000)) for d, _, _ in rows],
-                                   "doc_id long, quality int")
-    out = {r.doc_id: r.kept for r in _judged(docs, labels).collect()}
-    assert all(out[i] for i in range(1000))
-    assert not any(out[5000 + i] for i in range(200))
-    assert all(out[9000 + i] for i in range(20))
+    labels = [(i, 1) for i in range(1000)] + [(5000 + i, 0) for i in range(50)]
+    labels += [(9000 + i, 1) for i in range(60)]
+    want, chosen = plain_kept(rows, labels)
+    assert 0 < chosen["en"] < 6 and chosen["xx"] == 0
+    got = _kept(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert got == want
+    assert sum(not got[i][0] for i in range(1000)) <= 50
+    assert not any(v for i in range(50) for v in got[5000 + i])
 
 
 def test_empty_table(empty, labels):

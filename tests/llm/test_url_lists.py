@@ -31,3 +31,31 @@ def test_entries_active_at_fetch_time(spark):
                    (6, 0, "", False), (7, 0, "", False), (8, 0, "", False), (9, 0, "", False)]
     assert url_lists.judge_captures(captures, entries.limit(0)).where("blocked").count() == 0
     assert url_lists.judge_captures(captures.limit(0), entries).count() == 0
+
+
+def test_addresses_dots_and_case(spark):
+    d = date(2024, 1, 1)
+    entries = spark.createDataFrame([
+        ("a", "0.0.1", d, True), ("a", "evil.com", d, True), ("a", ".Dotted.org.", d, True),
+        ("a", "*.star.net", d, True), ("a", "[2001:db8::1]", d, True), ("a", "10.0.0.2", d, True),
+        ("a", " . ", d, True)], "list_name string, host string, dated date, listed boolean")
+    urls = ["http://10.0.0.1/x", "http://evil.com./x", "http://sub.dotted.org/", "http://star.net",
+            "http://u:p@[2001:DB8::1]:80/", "http://10.0.0.2:8080", "http://[2001:db8::2]/",
+            "http://com./", "http://./"]
+    captures = spark.createDataFrame([(k, u, d) for k, u in enumerate(urls)],
+                                     "page_id long, url string, fetched_on date")
+    got = {r.page_id: (r.host, r.blocked)
+           for r in url_lists.judge_captures(captures, entries).collect()}
+    assert [got[k][1] for k in range(len(urls))] == [False, True, True, True, True, True, False,
+                                                     False, False]
+    assert got[1][0] == "evil.com" and got[4][0] == "[2001:db8::1]" and got[8][0] is None
+
+
+def test_a_hot_domain_meets_the_lists_once_per_host(spark):
+    entries = spark.createDataFrame([("a", "com", date(2024, 1, 5), True)],
+                                    "list_name string, host string, dated date, listed boolean")
+    captures = spark.range(20_000).selectExpr(
+        "id as page_id", "concat('http://h', id % 300, '.com/', id) as url",
+        "date_add(date'2024-01-01', cast(id % 7 as int)) as fetched_on")
+    got = url_lists.judge_captures(captures, entries)
+    assert got.where("blocked").count() == got.where("fetched_on >= '2024-01-05'").count()
