@@ -14,7 +14,8 @@ gather in one value.
 Defined results: a NULL payload counts as empty; records without archive or
 offset cannot be placed and are void; several records at one offset of a
 replica are one place, which differs if any of them does; a record id that
-differs with equal payload is no damage; two empty replicas agree.
+differs with equal payload is no damage; two empty replicas agree; payloads of any
+length are hashed whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,9 +32,17 @@ def _number(digest: Column, at: int) -> Column:
     return F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)")
 
 
+def digest_of(payload: Column) -> Column:
+    """SHA-256 of a record's bytes, in hex; NULL counts as empty."""
+    return F.sha2(F.coalesce(payload, F.lit("")).cast("binary"), 256)
+
+
 def places(records: DataFrame) -> DataFrame:
-    """archive, at, record_id, leaf: one row per offset that holds records."""
-    digest = F.sha2(F.coalesce(F.col("payload"), F.lit("")).cast("binary"), 256)
+    """archive, at, record_id, leaf: one row per offset that holds records.
+    Records come with their payload, or with its ``payload_sha256`` where that
+    was taken before, so that no payload is moved."""
+    digest = F.col("payload_sha256") if "payload_sha256" in records.columns else \
+        digest_of(F.col("payload"))
     merged = (records.where("archive is not null and at is not null")
               .select("archive", "at", "record_id", digest.alias("digest"))
               .groupBy("archive", "at").agg(
@@ -86,7 +95,8 @@ def _below(nodes: DataFrame, differing: DataFrame, fanout: int) -> DataFrame:
 def audit(ours: DataFrame, theirs: DataFrame, width: int = WIDTH,
           fanout: int = FANOUT) -> DataFrame:
     """archive, at, record_id, status ('altered', 'missing' in theirs, 'extra')
-    of every place where two replicas (archive, at, record_id, payload) differ."""
+    of every place where two replicas (archive, at, record_id and payload or
+    payload_sha256) differ."""
     mine, yours = (staged(places(r), "fixity-records") for r in (ours, theirs))
     last = max([r[0] or 0 for r in
                 mine.agg(F.max("at")).union(yours.agg(F.max("at"))).collect()])

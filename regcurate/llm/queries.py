@@ -4,7 +4,7 @@ parameters, and their DuckDB SQL where SQL can express them."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regcurate.llm import (classifier, cover_tree, decontaminate, fixity, jaccard, packing,
@@ -100,37 +100,50 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 _RECORD_BYTES = 512     # header bytes of a record in the stand-in archives
 
 
-def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _replicas(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Stand-in archives: pages in id order, 1,000 ids to an archive, each at the
-    offset behind its predecessor."""
-    return table(spark, sf_dir, "pages").selectExpr(
-        "concat('part-', page_id div 1000) as archive",
-        f"sum(octet_length(coalesce(html, '')) + {_RECORD_BYTES}) over (partition by "
-        f"page_id div 1000 order by page_id rows unbounded preceding) "
-        f"- octet_length(coalesce(html, '')) - {_RECORD_BYTES} as at",
-        "page_id as record_id", "html as payload")
-
-
-def _damaged(archives: DataFrame) -> DataFrame:
-    """Stand-in replica: some records are gone, some have other bytes and some
-    stand there twice with other bytes."""
-    d = F.crc32(F.col("payload").cast("binary")) % 211
-    return archives.withColumn("payload", F.when(
-        d == 0, F.concat(F.substring("payload", 1, 40), F.lit("?"), F.expr(
-            "substring(payload, 42)"))).otherwise(F.col("payload"))) \
-        .where(d != 1).unionByName(
-            archives.where(d == 2).withColumn("payload", F.upper("payload")))
+    offset behind its predecessor; and a replica in which, picked by MD5, some
+    records are gone, some have other bytes and some stand there twice with other
+    bytes. Payloads are hashed where they are read; offsets are summed over ids
+    and lengths alone."""
+    html = F.coalesce("html", F.lit(""))
+    other = F.concat(F.substring(html, 1, 40), F.lit("?"), F.expr(
+        "substring(coalesce(html, ''), 42)"))
+    d = F.conv(F.substring(F.md5(html.cast("binary")), 1, 6), 16, 10).cast("long") % 211
+    read = table(spark, sf_dir, "pages").select(
+        F.expr("concat('part-', page_id div 1000)").alias("archive"),
+        F.col("page_id").alias("record_id"), (F.octet_length(html) + _RECORD_BYTES).alias("size"),
+        d.alias("d"), fixity.digest_of(html).alias("payload_sha256"),
+        F.when(d == 0, fixity.digest_of(other)).when(d == 2, fixity.digest_of(F.upper(html)))
+        .alias("again"))
+    before = Window.partitionBy("archive").orderBy("record_id") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    placed = read.withColumn("at", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    columns = ["archive", "at", "record_id", "payload_sha256"]
+    damaged = placed.where("d <> 1").withColumn("payload_sha256", F.explode(
+        F.when(F.col("d") == 0, F.array("again")).when(
+            F.col("d") == 2, F.array("payload_sha256", "again"))
+        .otherwise(F.array("payload_sha256"))))
+    return placed.select(columns), damaged.select(columns)
 
 
 def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places where the second replica of the archives differs from the first."""
-    ours = _archives(spark, sf_dir)
-    found = fixity.audit(ours, _damaged(ours))
+    found = fixity.audit(*_replicas(spark, sf_dir))
     return found.select("archive", "at", F.col("record_id").alias("page_id"), "status")
 
 
-# DuckDB has no crc32, so the damaged stand-in cannot be rebuilt in SQL: op4 has
-# no oracle; tests/llm compares it with a record-by-record comparison.
+_OP4_SQL = f"""
+with r as (
+  select 'part-' || (page_id // 1000) as archive, page_id, coalesce(html, '') as h,
+    coalesce(sum(strlen(coalesce(html, '')) + {_RECORD_BYTES}) over (partition by page_id // 1000
+      order by page_id rows between unbounded preceding and 1 preceding), 0)::bigint as "at",
+    list_sum(list_transform(range(1, 7), lambda i: (strpos('0123456789abcdef',
+      substr(md5(coalesce(html, '')), i, 1)) - 1) * (16 ** (6 - i))::bigint))::bigint % 211 as d
+  from pages)
+select archive, "at", page_id, case when d = 1 then 'missing' else 'altered' end as status
+from r where d in (1, 2) or (d = 0 and substring(h, 1, 40) || '?' || substring(h, 42) <> h)
+"""
 
 
 # --- 5 URL lists --------------------------------------------------------------
@@ -329,6 +342,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_quality_rules": _op1_sql(),
+    "op4_fixity": _OP4_SQL,
     "op5_url_lists": _op5_sql(),
     "op11_hard_negatives": _OP11_SQL,
 }

@@ -36,16 +36,27 @@ def test_ties_nulls_and_empty(spark):
     assert _audit(spark, [], []) == []
 
 
+def test_digests_in_place_of_payloads_and_clashing_columns(spark):
+    ours, theirs = _records(40), [(a, at, i, "x" if i == 7 else p) for a, at, i, p in _records(40)]
+    sides = [spark.createDataFrame([(*r, "n", 1, "h") for r in rows],
+                                   SCHEMA + ", least string, part int, hash string")
+             for rows in (ours, theirs)]
+    digests = [df.withColumn("payload_sha256", fixity.digest_of(df["payload"])).drop("payload")
+               for df in sides]
+    want = [("w1", 200, 7, "altered")]
+    assert [tuple(r) for r in fixity.audit(*sides, width=64, fanout=2).collect()] == want
+    assert [tuple(r) for r in fixity.audit(*digests, width=64, fanout=2).collect()] == want
+
+
 def test_query_matches_record_comparison(spark):
     from regcurate.llm import queries
 
     sf = "/root/testdata/sf0.01"
-    ours = queries._archives(spark, sf)
     sides = []
-    for side in (ours, queries._damaged(ours)):
+    for side in queries._replicas(spark, sf):
         places = {}
         for r in side.collect():
-            places.setdefault((r.archive, r["at"]), []).append((r.record_id, r.payload))
+            places.setdefault((r.archive, r["at"]), []).append((r.record_id, r.payload_sha256))
         sides.append({k: sorted(v) for k, v in places.items()})
     a, b = sides
     want = {(*k, "missing" if k not in b else "extra" if k not in a else "altered")
