@@ -13,9 +13,10 @@ where the documents lie, and one task runs the updates, which are sequential by
 nature. Scoring reads every whole text.
 
 Defined results: a NULL or empty text has the bias alone; a doc_id labelled
-more than once takes its highest label, NULL labels are void; without labels all
-scores are 0.5; repeated rows are scored one by one; a NULL doc_id is not held
-out.
+more than once takes its highest label, NULL labels are void; of several rows of a
+doc_id the least text is learnt from, once; without labels all scores are 0.5;
+repeated rows are scored one by one; a NULL doc_id is not held out; texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -116,8 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: i
               .where(~held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
-    # at most max_train short rows
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
+    # at most max_train short rows; one text of each is learnt from
+    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id") \
+        .groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "text"):

@@ -1,4 +1,9 @@
+import random
 import zlib
+from math import exp, sqrt
+
+import numpy as np
+import pytest
 
 from regcurate.llm import classifier
 
@@ -33,3 +38,43 @@ def test_held_out_labels_do_not_matter(documents, labels):
                                                   1 - F.col("quality")).otherwise(F.col("quality")))
     a = classifier.fit(documents, labels)
     assert (a == classifier.fit(documents, flipped)).all()
+
+
+def plain_ftrl(examples, size, epochs):
+    """Coordinate by coordinate, as published (McMahan et al., 2013)."""
+    a, b, l1, l2 = classifier.ALPHA, classifier.BETA, classifier.L1, classifier.L2
+    z, n = [0.0] * (size + 1), [0.0] * (size + 1)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((b + sqrt(n[i])) / a + l2)
+
+    for _ in range(epochs):
+        for slots, values, y in examples:
+            w = {i: weight(i) for i in slots}
+            p = 1 / (1 + exp(-sum(w[i] * x for i, x in zip(slots, values))))
+            for i, x in zip(slots, values):
+                g = (p - y) * x
+                sigma = (sqrt(n[i] + g * g) - sqrt(n[i])) / a
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return [weight(i) for i in range(size + 1)]
+
+
+def test_updates_are_those_of_plain_ftrl():
+    r = random.Random(2)
+    examples = []
+    for _ in range(60):
+        slots = r.sample(range(16), r.randint(1, 9)) + [16]
+        examples.append((slots, [r.random() for _ in slots], r.randint(0, 1)))
+    got = classifier.train([(np.array(s), np.array(v), y) for s, v, y in examples], bits=4, epochs=3)
+    assert got == pytest.approx(plain_ftrl(examples, 16, 3), abs=1e-5)
+
+
+def test_repeated_rows_of_a_labelled_document_count_once(spark, documents, labels):
+    few = documents.limit(50).cache()
+    more = few
+    for _ in range(3):
+        more = more.unionByName(few)
+    assert (classifier.fit(few, labels) == classifier.fit(more, labels)).all()
