@@ -15,9 +15,11 @@ from .catalog import ORACLE as _ORACLE
 from .catalog import QUERIES as _QUERIES
 from .operators.landing import land_register, union_all
 from .plans import incremental
+from .sinks import bucketed
 from .sinks.enforce import publish_enforced, read_rejects
 from .sinks.versions import Published
 from .sinks.writers import publish_curated, read_published, write_landed
+from .sinks.zorder import files_read, zordered
 from .sources import fs
 from .sources.files import read_landed
 from .sources.fixtures import register_view, stage_extracts
@@ -287,8 +289,44 @@ def _rejects_sql() -> str:
     return _with(views) + "\nUNION ALL\n".join(parts)
 
 
+# --- file layouts of the diagnoses -------------------------------------------------------
+
+_FILES = 16
+
+
+def q_diagnoses_bucketed(spark, sf_dir):
+    """Diagnoses from landed registers bucketed by record id: no shuffle below the
+    joins."""
+    base, tables = _scratch(spark, "bucketed"), {}
+    mark = base.rsplit("-", 1)[1]
+    for register in plans.diagnoses.INPUTS:
+        landed = land_register(register_view(spark, sf_dir, register), REGISTERS[register])
+        tables[register] = (f"bucketed_{mark}_{register}", f"{base}/{register}")
+        bucketed.write_bucketed(landed, register, *tables[register], _FILES)
+    return bucketed.build(spark, tables, _FILES)
+
+
+def q_zorder_files(spark, sf_dir):
+    """The diagnoses' files clustered on both declared keys against the plain
+    order: whether a filter on a key reads fewer than half the files."""
+    base, keys = _scratch(spark, "zorder"), list(TABLES["diagnoses"].sorted_by)
+    plans.build("diagnoses", _inputs(spark, sf_dir, "diagnoses")).write.parquet(f"{base}/table")
+    table = spark.read.parquet(f"{base}/table")
+    layouts = {"zorder": zordered(table, keys, _FILES),
+               "plain": table.repartitionByRange(_FILES, *keys).sortWithinPartitions(*keys)}
+    out = []
+    for name, df in layouts.items():
+        df.write.parquet(f"{base}/{name}")
+        found = files_read(spark.read.parquet(f"{base}/{name}"), keys)
+        out.append(found.select(F.lit(name).alias("layout"), "key", "n_values", (
+            F.col("files_read") < F.col("files") / 2).alias("under_half")))
+    return union_all(out)
+
+
 QUERIES = {
     **_QUERIES,
+    "diagnoses_bucketed": q_diagnoses_bucketed,
+    "zorder_files": q_zorder_files,
     "landed_counts": q_landed_counts,
     "contract_rejects": q_contract_rejects,
     "population_incremental": q_population_incremental,
@@ -301,6 +339,13 @@ QUERIES = {
 
 ORACLE = {
     **_ORACLE,
+    "diagnoses_bucketed": _with(plans.diagnoses.INPUTS) + DIAGNOSES_SQL,
+    "zorder_files": _with(plans.diagnoses.INPUTS) + " UNION ALL ".join(
+        f"SELECT '{layout}' AS layout, '{key}' AS key, count(DISTINCT {key}) AS n_values, "
+        f"{half} AS under_half FROM ({DIAGNOSES_SQL}) d"
+        for layout, key, half in (("zorder", "person_id", "true"), ("zorder", "record_id", "true"),
+                                  ("plain", "person_id", "true"),
+                                  ("plain", "record_id", "false"))),
     "landed_counts": _with(REGISTERS) + "\nUNION ALL\n".join(
         f"SELECT '{n}' AS register, period, source_file, count(*) AS rows "
         f"FROM ({_land_sql(n)}) l GROUP BY ALL" for n in REGISTERS),
