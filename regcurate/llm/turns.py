@@ -172,14 +172,6 @@ def repaired(state: int, roles: Iterator, texts: Iterator, letters: Iterator
                 yield _ROLE[state], "" if x == "I" else text, x, state
 
 
-def _digest(turns, sha) -> int:
-    """Adds ``role:text`` of turns to a hash; returns their number."""
-    n = 0
-    for n, (role, text, *_) in enumerate(turns, 1):
-        sha.update(f"{role}:{text}\n".encode())
-    return n
-
-
 # --- rows in order ------------------------------------------------------------
 
 _COUNTS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
@@ -292,25 +284,25 @@ def _first_pass(turns: bool):
                     zip(at, repaired(E, roles, texts, letters))):
                 yield (conv, False, place, k, role, text, edit) + (None,) * 5
         else:
-            sha, n = hashlib.sha256(), 0
-            parts = [f"{role}:{text}" for role, text, *_ in repaired(E, roles, texts, letters)]
-            sha.update("\n".join(parts).encode())
-            yield (conv, False, *counts, "".join(letters), sha.hexdigest()) + (None,) * 5
+            lines = [f"{role}:{text}" for role, text, *_ in repaired(E, roles, texts, letters)]
+            sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+            yield (conv, False, *counts, "".join(letters), sha) + (None,) * 5
 
     blank = (None,) * (5 if turns else 8)
 
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size = [], 0
+        out, size = [], 0                     # rows to be handed on, characters in them
         conv, rows, held_bytes, is_open, begun = None, [], 0, True, False
 
-        def flush(last: bool):
-            nonlocal rows
+        def done(last: bool) -> list[tuple]:
+            """The conversation so far: as rows if it is open, else solved."""
             if is_open or last:
-                done = [(conv, True, *blank, *r) for r in rows]
-            else:
-                done = list(held(conv, rows))
-            rows = []
-            return done
+                return [(conv, True, *blank, *r) for r in rows]
+            return list(held(conv, rows))
 
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in
@@ -318,27 +310,24 @@ def _first_pass(turns: bool):
             for c, *row in zip(*cols):
                 if not begun or c != conv:
                     if begun:
-                        out += flush(False)
+                        out += done(False)
                     # the partition's first conversation may have begun before
-                    conv, held_bytes, is_open, begun = c, 0, not begun, True
+                    conv, rows, held_bytes, is_open, begun = c, [], 0, not begun, True
                 rows.append(tuple(row))
                 held_bytes += len(row[2]) + len(row[3])
                 size += len(row[3])
                 if len(rows) > HELD_ROWS or held_bytes > HELD_BYTES:
                     is_open = True
                 if is_open and len(rows) >= 256:
-                    out += flush(False)
-                    held_bytes = 0
-                if len(out) >= 2048 or size > HELD_BYTES:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema) \
-                        if out else pa.RecordBatch.from_pylist([], schema)
+                    out += done(False)
+                    rows, held_bytes = [], 0
+                if out and (len(out) >= 2048 or size > HELD_BYTES):
+                    yield batch_of(out)
                     out, size = [], 0
         if begun:
-            out += flush(True)              # it may go on in the next partition
+            out += done(True)                 # it may go on in the next partition
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
+            yield batch_of(out)
 
     return run
 
