@@ -48,6 +48,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have a file or folder deleted when the application ends."""
+    fs, p, _ = _hadoop(spark, path)
+    fs.deleteOnExit(p)
+
+
 def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """(name, bytes, modified) of the entries of a folder."""
     fs, p, _ = _hadoop(spark, path)

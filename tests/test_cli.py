@@ -1,4 +1,5 @@
 import json
+import shutil
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -128,3 +129,38 @@ def test_cli_incremental_csv_with_header_drift(spark, tmp_path, capsys):
     # values sit under the right names whatever the file's column order
     want = {(r.FAMILIE_ID, r.FAMTYPE, r.FAMSKATTOT_13) for r in expected.collect()}
     assert {(r.family_id, r.family_kind, r.tax_sum) for r in got.collect()} == want
+
+
+def test_cli_refresh(spark, tmp_path, capsys):
+    """Two refreshes of a folder: the second lands what was added and withdrawn."""
+    spec = REGISTERS["udda"]
+    dated, out = tmp_path / "dated", str(tmp_path / "out")
+    for name, persons in (("udda2000", ["a", "b"]), ("udda2001", ["c"])):
+        rows = [tuple({"PNR": p}.get(c, "1") for c in spec.columns) for p in persons]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in spec.columns))
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+    dated.mkdir()
+
+    def put(name):
+        part = next((tmp_path / name).glob("part-*.parquet"))
+        shutil.copy(part, dated / f"{name}.parquet")
+
+    def refresh():
+        args = ["refresh", _spec_file(tmp_path), str(dated), str(tmp_path / "none"), out]
+        assert main(args) == 0
+        return json.loads(capsys.readouterr().out)
+
+    put("udda2000")
+    assert refresh()["stage2"] == {"education": {"version": 1, "rows": 2}}
+    put("udda2001")
+    (dated / "udda2000.parquet").unlink()
+    second = refresh()
+    assert second["stage1"]["udda"]["added"] == ["udda2001.parquet"]
+    assert second["stage1"]["udda"]["withdrawn"] == ["udda2000.parquet"]
+    assert second["stage2"] == {"education": {"version": 2, "rows": 1}}
+
+
+def _spec_file(tmp_path):
+    path = tmp_path / "spec.json"
+    path.write_text(json.dumps({"stage1": {"udda": {"columns": list(REGISTERS["udda"].columns)}}}))
+    return str(path)
