@@ -4,6 +4,7 @@ over Arrow string buffers."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -12,12 +13,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regcurate.session import ensure_checkpoint_dir, ship_package
+from regcurate.session import _context, ensure_checkpoint_dir, ship_package
+from regcurate.sources.fs import delete_on_exit
 
 #: Sides of at most this many bytes (estimated from a real row count) are
 #: broadcast; larger ones go through a shuffled join.
 BROADCAST_BYTES = 32 << 20
 
+#: A staged table is written in at most this many files per core of the cluster.
+FILES_PER_CORE = 4
+
 
 # --- staged tables ----------------------------------------------------------
 
@@ -27,12 +32,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, merge: bool = True) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back:
-    lineage is cut there, and a lost executor costs only a re-read."""
+    lineage is cut there, and a lost executor costs only a re-read. More
+    partitions than a few rounds of tasks are written one after the other by
+    the same tasks, so that many small partitions are not as many small files
+    (not with ``merge`` off: for tasks that know themselves by their number). The
+    table is deleted when the application ends."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path, context = scratch_path(spark, name), _context(spark)
+    if merge and context is not None:
+        df = df.coalesce(FILES_PER_CORE * context.defaultParallelism)
     df.write.parquet(path)
+    if context is not None:
+        delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,10 +65,27 @@ def sha256_key(text: Column | str) -> Column:
 
 # --- Python tasks -----------------------------------------------------------
 
+def give_back() -> None:
+    """Return freed memory to the system. Arrow's pool and the C heap would keep
+    it for as long as the worker lives, next to the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
+    """``df.mapInArrow`` with this package at hand in the workers, which give
+    freed memory back when a task ends."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def per_group(df: DataFrame, keys: Sequence[str], fn: Callable, schema) -> DataFrame:
