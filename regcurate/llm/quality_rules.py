@@ -55,10 +55,11 @@ RULES = (
 
 
 def repeated_words(words: Column) -> Column:
-    """Words inside 3-word windows that stand twice or more in the list."""
+    """Words inside 3-word windows that stand twice or more in the list. Windows
+    are known by 64-bit hashes, 8 bytes each however long the words."""
     windows = F.transform(
         F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))),
-        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)))
+        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
     def starts(ordered: Column) -> Column:
         same = lambda x, j: F.coalesce(x["w"] == F.get(ordered, j)["w"], F.lit(False))
