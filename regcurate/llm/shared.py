@@ -20,6 +20,10 @@ from regcurate.sources.fs import delete_on_exit
 #: broadcast; larger ones go through a shuffled join.
 BROADCAST_BYTES = 32 << 20
 
+#: Bytes of an Arrow batch where the session has Spark's own 64 MiB: a batch is
+#: held by the JVM and by its Python worker, several times over while it is copied.
+ARROW_BATCH, _SPARKS_BATCH = "8m", "67108864b"
+
 #: A staged table is written in at most this many files per core of the cluster.
 FILES_PER_CORE = 4
 
@@ -75,9 +79,12 @@ def give_back() -> None:
 
 
 def in_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers, which give
-    freed memory back when a task ends."""
+    """``df.mapInArrow`` with this package at hand in the workers, which take
+    batches of bounded size and give freed memory back when a task ends."""
     ship_package(df.sparkSession)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) == _SPARKS_BATCH:
+        conf.set(key, ARROW_BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
