@@ -24,7 +24,7 @@ from .operators import profile
 from .operators.dedup import file_ordinals, rows_in_first_file
 from .operators.landing import land_register
 from .plans.pipeline import land
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, fine_scans
 from .sinks.writers import URN, read_json, sorted_for_write, write_curated
 from .sources import fs
 from .sources.files import land_folder, read_landed, register_files, rows_by_file
@@ -138,12 +138,12 @@ def q_land_files(spark, sf_dir):
     """ras landed from files: yearly extracts and an undated copy, told apart by
     name from a foreign file and from another register's, provenance from the
     file names."""
-    base, spec = _scratch(spark, "land-files"), REGISTERS["ras"]
-    stage_extracts(register_view(spark, sf_dir, "ras"), spec, base)
-    stage_extracts(register_view(spark, sf_dir, "akm"), REGISTERS["akm"], base)
+    base, spec, own = _scratch(spark, "land-files"), REGISTERS["ras"], fine_scans(spark)
+    stage_extracts(register_view(own, sf_dir, "ras"), spec, base, parts=True)
+    stage_extracts(register_view(own, sf_dir, "akm"), REGISTERS["akm"], base, parts=True)
     foreign = RegisterSpec("zzz", spec.columns)
-    stage_extracts(register_view(spark, sf_dir, "ras").withColumn(
-        "source_file", F.lit("zzz2001.sas7bdat")), foreign, base)
+    stage_extracts(register_view(own, sf_dir, "ras").withColumn(
+        "source_file", F.lit("zzz2001.sas7bdat")), foreign, base, parts=True)
     landed = land(spark, base + "/dated", base + "/undated", base + "/out",
                   registers={"ras": spec})
     return read_landed(spark, landed["ras"], spec)
@@ -268,7 +268,7 @@ def q_file_inventory(spark, sf_dir):
     """Every register as extract files, an empty file and a foreign one among
     them: the files by listing, their rows by file."""
     base = _scratch(spark, "inventory")
-    stage_all(spark, sf_dir, base)
+    stage_all(fine_scans(spark), sf_dir, base)
     bef = register_view(spark, sf_dir, "bef").drop("source_file")
     for name in (EMPTY_FILE, "zzz2001.parquet"):
         bef.limit(0).coalesce(1).write.parquet(f"{base}/staging/{name}")
@@ -276,7 +276,7 @@ def q_file_inventory(spark, sf_dir):
                     if n.startswith("part-"))
         fs.move(spark, f"{base}/staging/{name}/{part}", f"{base}/dated/{name}")
     files = [register_files(spark, f"{base}/{side}", side == "dated")
-             .select("dataset", "period", "file_name") for side in ("dated", "undated")]
+             .select("dataset", "period", "file_name").distinct() for side in ("dated", "undated")]
     rows = [rows_by_file(spark, f"{base}/{side}") for side in ("dated", "undated")]
     return profile.file_inventory(profile.union_rows(files), profile.union_rows(rows))
 

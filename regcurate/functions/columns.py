@@ -27,6 +27,14 @@ def base_name(path: Column | str) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def extract_name(path: Column | str) -> Column:
+    """Name of the extract a file belongs to: the file's own or, for a part of an
+    extract kept as a folder (``bef198512.parquet/part-*``), the folder's."""
+    path = F.col(path) if isinstance(path, str) else path
+    part = path.rlike(r"[^/]\.(parquet|csv)/part-[^/]*$")
+    return F.when(part, F.element_at(F.split(path, "/"), -2)).otherwise(base_name(path))
+
+
 def year_from_file_name(source_file: Column | str, dataset: str) -> Column:
     """Digits after ``<dataset>`` in a file name; null when the name has none.
 

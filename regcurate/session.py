@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import shutil
 import tempfile
 from pathlib import Path
@@ -114,6 +115,19 @@ def sized_shuffles(spark: SparkSession, inputs, target_bytes: int = 256 << 20):
         spark.conf.set(key, old)
 
 
+def fine_scans(spark: SparkSession, most: int = 32 << 20) -> SparkSession:
+    """A session beside the caller's, with its settings, whose scans read at most
+    ``most`` bytes a task: for rows that are sorted or written where they are read."""
+    own, key = spark.newSession(), "spark.sql.files.maxPartitionBytes"
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    now = re.fullmatch(r"(\d+)([kmgt]?)b?", own.conf.get(key).lower())
+    if not now or int(now[1]) << 10 * " kmgt".index(now[2] or " ") > most:
+        own.conf.set(key, str(most))
+    return own
+
+
 _SHIPPED: set[str] = set()
 
 

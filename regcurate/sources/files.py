@@ -4,6 +4,9 @@
   or ``patient_icd8.parquet`` (undated folder, period ``"0"``);
 * the register name of a file is matched against the landing spec
   (whitelist); other files are ignored;
+* an extract too large for one writer may be a folder of that name with part
+  files in it (``bef198512.parquet/part-*``), as Spark writes it; its name is the
+  folder's. The streaming and the ledger landing take plain files only;
 * files of one register can differ in columns, column order (CSV, which Spark
   reads by position) and types (Parquet copies of typed extracts). So files are
   grouped by layout -- the header line, or the footer's schema, read on the
@@ -24,20 +27,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import base_name, dataset_from_file_name, dated_period
+from ..functions.columns import dataset_from_file_name, dated_period, extract_name
 from ..operators.landing import PROVENANCE, land_register, project_to_spec, union_all
 from ..session import ship_package
 from ..specs.registers import REGISTERS, RegisterSpec
-from .fs import read_first_line, read_parquet_schema
+from .fs import folders, read_first_line, read_parquet_schema
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Distributed listing: ``path, file_name, length``. The ``binaryFile``
-    source prunes ``content`` when it is not selected, so no bytes are read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-        .select("path", base_name("path").alias("file_name"), "length")
-    )
+    """Distributed listing: ``path, file_name, length``, a row per file; the parts
+    of an extract kept as a folder have its name. The ``binaryFile`` source prunes
+    ``content`` when it is not selected, so no bytes are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
+    if parted := _parted(spark, root, glob):
+        files = files.unionByName(
+            spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(parted))
+    return files.select("path", extract_name("path").alias("file_name"), "length")
+
+
+def _parted(spark: SparkSession, root: str, glob: str) -> list[str]:
+    """The extracts of a folder that are folders of part files."""
+    return [f for f in folders(spark, root, glob) if f.endswith((".parquet", ".csv"))]
 
 
 def register_files(spark: SparkSession, root: str, dated: bool = True,
@@ -81,7 +91,7 @@ def read_partitioned_register(spark: SparkSession, root: str, spec: RegisterSpec
 def _provenance(in_file: Column | None = None) -> Column:
     """``source_file``: the value carried in the file when there is one (a
     landed copy keeps its original extract name), else the file's name."""
-    name = F.col("_metadata.file_name")
+    name = extract_name("_metadata.file_path")
     return (name if in_file is None else F.coalesce(in_file, name)).alias(PROVENANCE)
 
 
@@ -89,8 +99,9 @@ def rows_by_file(spark: SparkSession, root: str, glob: str = "*.parquet") -> Dat
     """``file_name, rows`` of the Parquet files of a folder that have rows. No
     column is read, only row counts."""
     none = T.StructType([T.StructField("_none", T.StringType(), True)])
-    return (spark.read.schema(none).option("pathGlobFilter", glob).parquet(root)
-            .groupBy(F.col("_metadata.file_name").alias("file_name"))
+    return (spark.read.schema(none).option("pathGlobFilter", glob)
+            .parquet(root, *_parted(spark, root, glob))
+            .groupBy(extract_name("_metadata.file_path").alias("file_name"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -162,7 +173,7 @@ def read_files(spark: SparkSession, files: DataFrame, spec: RegisterSpec, fmt: s
         frames.append(project_to_spec(
             df.select(*[as_text(F.col(f"`{n}`"), k).alias(n) for n, k in kinds.items()
                         if n in spec.columns], _provenance(carried),
-                      *[F.col("_metadata.file_name").alias(e) for e in extra]),
+                      *[extract_name("_metadata.file_path").alias(e) for e in extra]),
             spec.columns, (PROVENANCE, *extra)))
     if not frames:
         schema = T.StructType([*spec.schema(with_source_file=True).fields,

@@ -25,6 +25,14 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(p)]
 
 
+def folders(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """Paths of the folders in a folder whose name matches."""
+    fs, p, jvm = _hadoop(spark, path)
+    named = jvm.org.apache.hadoop.fs.GlobFilter(glob)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p)
+                  if s.isDirectory() and named.accept(s.getPath()))
+
+
 def move(spark: SparkSession, path: str, to: str) -> None:
     fs, p, jvm = _hadoop(spark, path)
     target = jvm.org.apache.hadoop.fs.Path(to)

@@ -2,14 +2,19 @@
 
 import json
 import os
+from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import SF_SMALL, rows
+from regcurate import catalog_updates
 from regcurate.operators.landing import land_register
-from regcurate.sources.files import land_folder, read_register, register_files
+from regcurate.session import fine_scans
+from regcurate.sources.files import land_folder, read_register, register_files, rows_by_file
+from regcurate.sources.fixtures import stage_all, stage_extracts
 from regcurate.specs.registers import REGISTERS, RegisterSpec
 
 
@@ -265,3 +270,51 @@ def test_cluster_session_must_name_a_shared_folder(monkeypatch):
                          getConf=lambda: {})
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_an_extract_of_several_writers_is_a_folder(spark, tmp_path):
+    """With ``parts`` no task gathers a whole extract; the folder is listed, counted
+    and landed under the extract's name."""
+    spec = REGISTERS["faik"]
+    rows = spark.range(400).select(
+        *[F.col("id").cast("string").alias(c) for c in spec.columns],
+        F.when(F.col("id") < 390, "faik2001.sas7bdat").otherwise("faik2002.sas7bdat")
+        .alias("source_file")).repartition(4)
+    base = str(tmp_path)
+    paths = stage_extracts(rows, spec, base, parts=True)
+    stage_extracts(rows.coalesce(1), RegisterSpec("zzz", spec.columns), base + "/one", parts=True)
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["faik2001.parquet", "faik2002.parquet"]
+    parts = [pq.read_metadata(p).num_rows for p in (tmp_path / "dated/faik2001.parquet").glob("part-*")]
+    assert len(parts) == 4 and sum(parts) == 390
+    assert (tmp_path / "one/dated/faik2001.parquet").is_file()
+    listed = register_files(spark, base + "/dated", True, {"faik": spec}, "faik*.parquet")
+    assert {r["file_name"] for r in listed.collect()} == {"faik2001.parquet", "faik2002.parquet"}
+    assert {(r["file_name"], r["rows"]) for r in rows_by_file(spark, base + "/dated").collect()} \
+        == {("faik2001.parquet", 390), ("faik2002.parquet", 10)}
+    landed = land_folder(spark, base + "/dated", spec)
+    assert {(r[0], r[1], r[2]) for r in landed.groupBy("period", "source_file").count().collect()} \
+        == {("2001", "faik2001.parquet", 390), ("2002", "faik2002.parquet", 10)}
+
+
+def test_registers_are_written_in_their_own_columns(spark, tmp_path, monkeypatch):
+    """No row carries the columns of other registers to disk, with or without folders
+    per register."""
+    stage_all(spark, SF_SMALL, str(tmp_path))
+    assert pq.read_schema(tmp_path / "undated/diag_icd10.parquet").names == \
+        list(REGISTERS["diag_icd10"].columns)
+    seen = []
+    monkeypatch.setattr(catalog_updates, "counts_by_partition",
+                        lambda spark, path, schema, keys: seen.append(path))
+    catalog_updates.q_landed_counts(spark, SF_SMALL)
+    one = next(Path(seen[0].removeprefix("file:")).glob("register=faik/*/*/part-*"))
+    assert pq.read_schema(one).names == list(REGISTERS["faik"].columns)
+
+
+def test_fine_scans_leave_the_callers_session_alone(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before, own = spark.conf.get(key), fine_scans(spark, 1 << 20)
+    assert own.conf.get(key) == str(1 << 20) and spark.conf.get(key) == before
+    own.conf.set(key, "16m")
+    assert fine_scans(own).conf.get(key) == "16m"
+    assert own.conf.get("spark.sql.shuffle.partitions") == \
+        spark.conf.get("spark.sql.shuffle.partitions")
