@@ -15,6 +15,7 @@ from .catalog import ORACLE as _ORACLE
 from .catalog import QUERIES as _QUERIES
 from .operators.landing import land_register, union_all
 from .plans import incremental
+from .session import fine_scans
 from .sinks import bucketed
 from .sinks.enforce import publish_enforced, read_rejects
 from .sinks.versions import Published
@@ -235,13 +236,14 @@ fixed AS (SELECT * EXCLUDE (r, KOEN, source_file),
 def q_landed_counts(spark, sf_dir):
     """Rows per register, period and extract of all landed registers, from the
     footers of one table partitioned by them."""
-    path = _scratch(spark, "landed") + "/registers"
-    rows = union_all(land_register(register_view(spark, sf_dir, n), spec).withColumn(
-        "register", F.lit(n)) for n, spec in REGISTERS.items())
-    parts = ["register", "period", "source_file"]
-    rows.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
-    schema = StructType([f for f in rows.schema.fields if f.name not in parts]
-                        + [StructField(p, StringType()) for p in parts])
+    path, parts = _scratch(spark, "landed") + "/registers", ["register", "period", "source_file"]
+    # a register a job, in its own columns, written where its rows are read
+    own = fine_scans(spark)
+    for n, spec in REGISTERS.items():
+        land_register(register_view(own, sf_dir, n), spec).write.partitionBy(*parts[1:]) \
+            .parquet(f"{path}/{parts[0]}={n}")
+    columns = dict.fromkeys(c for spec in REGISTERS.values() for c in spec.columns)
+    schema = StructType([StructField(c, StringType()) for c in (*columns, *parts)])
     return counts_by_partition(spark, path, schema, parts)
 
 
