@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,10 @@ SPEC = table("diagnoses")
 #: bytes, is joined by a shuffle.
 UNEVEN, LARGE = 4, 256 << 20
 
+#: Estimated bytes of the largest register that a bucket is to hold, and the most
+#: buckets a table may have (Spark's own limit).
+SHARE, MOST = 32 << 20, 100_000
+
 _BUCKET = re.compile(r"_([0-9]{5})\.")
 
 
@@ -43,6 +48,15 @@ def record_key(register: str) -> str:
                 for name, columns in sides.values() if name == register)
 
 
+def bucket_count(landed: Iterable[DataFrame], least: int, share: int = SHARE) -> int:
+    """Buckets for registers to be joined: at least ``least``, and so many that the
+    largest has about ``share`` bytes in each, by Spark's own size statistics (no
+    job). What one task joins and sorts then does not grow with the registers."""
+    size = max((int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+                for df in landed), default=0)
+    return min(max(least, -(-size // share)), MOST)
+
+
 def write_bucketed(landed: DataFrame, register: str, name: str, path: str, buckets: int) -> None:
     """Write a landed register as catalog table ``name`` at ``path``. A bucket too
     large for one task is written by several, as several files."""

@@ -67,3 +67,11 @@ def _no_broadcast(session):
         s.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         return s
     return own
+
+
+def test_buckets_grow_with_the_largest_register(spark, landed):
+    tens = bucketed.bucket_count(landed.values(), 1, share=10)      # tens of bytes
+    assert 4_000 < tens < bucketed.MOST == bucketed.bucket_count(landed.values(), 1, share=1)
+    assert abs(bucketed.bucket_count(landed.values(), 4, tens // 4) - 40) <= 1
+    assert bucketed.bucket_count(landed.values(), 64, tens // 4) == 64
+    assert bucketed.bucket_count([], 4) == 4
