@@ -293,7 +293,7 @@ def _rejects_sql() -> str:
 
 # --- file layouts of the diagnoses -------------------------------------------------------
 
-_FILES = 16
+_FILES, _FILE_BYTES = 16, 32 << 20      # files at least, and bytes a file at most, about
 
 
 def q_diagnoses_bucketed(spark, sf_dir):
@@ -301,11 +301,13 @@ def q_diagnoses_bucketed(spark, sf_dir):
     joins."""
     base, tables = _scratch(spark, "bucketed"), {}
     mark = base.rsplit("-", 1)[1]
-    for register in plans.diagnoses.INPUTS:
-        landed = land_register(register_view(spark, sf_dir, register), REGISTERS[register])
+    landed = {r: land_register(register_view(spark, sf_dir, r), REGISTERS[r])
+              for r in plans.diagnoses.INPUTS}
+    buckets = bucketed.bucket_count(landed.values(), _FILES)
+    for register, rows in landed.items():
         tables[register] = (f"bucketed_{mark}_{register}", f"{base}/{register}")
-        bucketed.write_bucketed(landed, register, *tables[register], _FILES)
-    return bucketed.build(spark, tables, _FILES)
+        bucketed.write_bucketed(rows, register, *tables[register], buckets)
+    return bucketed.build(spark, tables, buckets)
 
 
 def q_zorder_files(spark, sf_dir):
@@ -314,8 +316,9 @@ def q_zorder_files(spark, sf_dir):
     base, keys = _scratch(spark, "zorder"), list(TABLES["diagnoses"].sorted_by)
     plans.build("diagnoses", _inputs(spark, sf_dir, "diagnoses")).write.parquet(f"{base}/table")
     table = spark.read.parquet(f"{base}/table")
-    layouts = {"zorder": zordered(table, keys, _FILES),
-               "plain": table.repartitionByRange(_FILES, *keys).sortWithinPartitions(*keys)}
+    files = max(_FILES, -(-fs.size(spark, f"{base}/table") // _FILE_BYTES))
+    layouts = {"zorder": zordered(table, keys, files),
+               "plain": table.repartitionByRange(files, *keys).sortWithinPartitions(*keys)}
     out = []
     for name, df in layouts.items():
         df.write.parquet(f"{base}/{name}")

@@ -39,23 +39,20 @@ def quantiles(table: DataFrame, keys: Sequence[str], bits: int = BITS,
     return cuts
 
 
-def position(key: Column, cuts: list[str], bits: int = BITS) -> Column:
-    """How many cuts are at or below the value (NULL: none), in two steps of
-    about 2**(bits / 2) comparisons."""
-    width = 1 << (bits // 2)
-    blocks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
-    if not blocks:
+def position(key: Column, cuts: list[str], bits: int = BITS, below: bool = False) -> Column:
+    """How many of the ascending cuts are at or below the value (NULL: none), or
+    truly ``below`` it, by a binary search: ``bits`` steps, more for 2**bits cuts
+    or more."""
+    if not cuts:
         return F.lit(0)
+    values = F.array(*[F.lit(c) for c in cuts])      # beyond its end: NULL, not below
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(bits, len(cuts).bit_length())))])
 
-    def below(values: Column) -> Column:
-        return F.size(F.filter(values, lambda c: c <= key))
+    def further(at: Column, step: Column) -> Column:
+        cut = F.get(values, at + step - F.lit(1))
+        return at + F.when(cut < key if below else cut <= key, step).otherwise(0)
 
-    starts = F.array(*[F.lit(b[0]) for b in blocks])
-    inside = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
-    block = below(starts)
-    found = F.when(block == 0, 0).otherwise(
-        (block - 1) * width + below(F.get(inside, block - 1)))
-    return F.coalesce(found, F.lit(0))
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def interleaved(positions: Sequence[Column], bits: int = BITS) -> Column:
@@ -72,10 +69,12 @@ def interleaved(positions: Sequence[Column], bits: int = BITS) -> Column:
 def zordered(table: DataFrame, keys: Sequence[str], files: int, bits: int = BITS) -> DataFrame:
     """The rows in ``files`` partitions clustered on all keys."""
     cuts = quantiles(table, keys, bits)
-    z = interleaved([position(F.col(k), cuts[k], bits) for k in keys], bits)
-    out = table.withColumns({"_z": z, "_tie": F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])})
-    return out.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z", *keys) \
-        .drop("_z", "_tie")
+    at = [f"_at{i}" for i in range(len(keys))]       # columns: each is found once a row
+    out = table.withColumns({a: position(F.col(k), cuts[k], bits) for a, k in zip(at, keys)})
+    out = out.withColumns({"_z": interleaved([F.col(a) for a in at], bits),
+                           "_tie": F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])})
+    return out.drop(*at).repartitionByRange(files, "_z", "_tie") \
+        .sortWithinPartitions("_z", *keys).drop("_z", "_tie")
 
 
 def files_read(path_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,10 +84,10 @@ def files_read(path_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         *[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).collect()
     parts = []
     for k in keys:
-        hits = F.lit(0)
-        for b in bounds:                       # one term per file
-            if b[f"min_{k}"] is not None:
-                hits = hits + F.col(k).between(b[f"min_{k}"], b[f"max_{k}"]).cast("int")
+        # files that begin at or below the value, without those that end below it
+        first, last = (sorted(b[f"{f}_{k}"] for b in bounds if b[f"{f}_{k}"] is not None)
+                       for f in ("min", "max"))
+        hits = position(F.col(k), first) - position(F.col(k), last, below=True)
         parts.append(path_rows.select(k).where(F.col(k).isNotNull()).distinct().agg(
             F.count(F.lit(1)).alias("n_values"), F.avg(hits).alias("files_read")).select(
                 F.lit(k).alias("key"), F.lit(len(bounds)).cast("long").alias("files"),

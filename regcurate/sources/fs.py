@@ -33,6 +33,12 @@ def folders(spark: SparkSession, path: str, glob: str) -> list[str]:
                   if s.isDirectory() and named.accept(s.getPath()))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of the files below a folder."""
+    fs, p, _ = _hadoop(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def move(spark: SparkSession, path: str, to: str) -> None:
     fs, p, jvm = _hadoop(spark, path)
     target = jvm.org.apache.hadoop.fs.Path(to)

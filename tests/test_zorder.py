@@ -45,3 +45,16 @@ def test_quantiles_come_from_a_bounded_sample(spark):
     cuts = quantiles(_table(spark), ["a", "b"], bits=4, sample=300)
     assert all(0 < len(c) <= 15 and c == sorted(set(c)) for c in cuts.values())
     assert quantiles(_table(spark).limit(0), ["a"]) == {"a": []}
+
+
+def test_strict_positions_and_more_cuts_than_bits(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a",), ("b0",), ("t",), ("zz",)], "k string")
+    got = df.select(position(F.col("k"), ["a", "a", "t"], 1, below=True),
+                    position(F.col("k"), ["a", "a", "t"], 1)).collect()
+    assert [tuple(r) for r in got] == [(0, 0), (0, 0), (0, 2), (2, 2), (2, 3), (3, 3)]
+
+
+def test_a_key_is_placed_once_a_row(spark):
+    """The plan has one search per key, not one per bit of it."""
+    plan = zordered(_table(spark), ["a", "b"], 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2
