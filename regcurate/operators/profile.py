@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..specs.curated import TableSpec
 
@@ -143,14 +144,53 @@ def joined_contract_report(spec: TableSpec, left: set[str], totals) -> DataFrame
 def out_of_order(table: DataFrame, keys) -> DataFrame:
     """``rows, out_of_order`` of a table read back from Parquet files: how many
     rows sort below their predecessor, within each file and from one file to the
-    next in name order."""
-    key = F.struct(*[F.col(k) for k in keys])
-    rows = table.select(key.alias("k"), F.col("_metadata.file_name").alias("f"),
-                        F.col("_metadata.row_index").alias("i"))
-    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
-    files = rows.withColumn("bad", (before > F.col("k")).cast("int")).groupBy("f").agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
-        F.min_by("k", "i").alias("first"), F.max_by("k", "i").alias("last"))
+    next in name order.
+
+    Rows are compared where they are read, in the order of their file; what is
+    shuffled is a line per run of rows that a batch held, with its ends."""
+    firsts, lasts = ([f"{e}{j}" for j in range(len(keys))] for e in ("first", "last"))
+    rows = table.select(F.col("_metadata.file_name").alias("f"),
+                        F.col("_metadata.row_index").alias("i"),
+                        *[F.col(k).alias(f) for k, f in zip(keys, firsts)])
+    kinds = [f.dataType for f in rows.schema.fields[2:]]
+    names = ["f", "i", "rows", "bad", *firsts, *lasts]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, [
+        T.StringType(), T.LongType(), T.LongType(), T.LongType(), *kinds, *kinds])])
+
+    def runs(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def told(a):
+            return pc.fill_null(a, False).to_numpy(zero_copy_only=False)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            f, at, *cols = batch.columns
+            i = at.to_numpy()
+            cut = (i[1:] != i[:-1] + 1) | told(pc.not_equal(f[1:], f[:-1]))
+            fell = np.zeros(len(cut), bool)
+            for c in reversed(cols):                # NULL sorts first
+                a, z = c[:-1], c[1:]
+                gone, none = told(a.is_null()), told(z.is_null())
+                fell = told(pc.greater(a, z)) | ~gone & none \
+                    | (told(pc.equal(a, z)) | gone & none) & fell
+            start = np.r_[0, np.flatnonzero(cut) + 1]
+            end = np.r_[start[1:], len(i)] - 1
+            bad = np.add.reduceat(np.r_[False, fell & ~cut].astype("int64"), start)
+            yield pa.RecordBatch.from_arrays(
+                [f.take(pa.array(start)), at.take(pa.array(start)), pa.array(end - start + 1),
+                 pa.array(bad), *[c.take(pa.array(start)) for c in cols],
+                 *[c.take(pa.array(end)) for c in cols]], names=names)
+
+    lines = rows.mapInArrow(runs, schema).select(
+        "f", "i", "rows", "bad", F.struct(*firsts).alias("first"), F.struct(*lasts).alias("last"))
+    joint = F.lag("last").over(Window.partitionBy("f").orderBy("i")) > F.col("first")
+    files = lines.withColumn("bad", F.col("bad") + F.coalesce(joint.cast("int"), F.lit(0))) \
+        .groupBy("f").agg(F.sum("rows").alias("rows"), F.sum("bad").alias("bad"),
+                          F.min_by("first", "i").alias("first"), F.max_by("last", "i").alias("last"))
     step = F.lag("last").over(Window.orderBy("f")) > F.col("first")     # one row per file
     return files.withColumn("bad", F.col("bad") + F.coalesce(step.cast("int"), F.lit(0))).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),

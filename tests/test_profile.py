@@ -1,5 +1,8 @@
 """Profiles on small literal tables."""
 
+import random
+
+import pyarrow.parquet as pq
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -103,3 +106,26 @@ def test_out_of_order_counts_within_and_across_files(spark, tmp_path):
         part.rename(tmp_path / "t" / f"{name}.parquet")
     r = out_of_order(spark.read.parquet(str(tmp_path / "t")), ["k"]).first()
     assert (r.rows, r.out_of_order) == (7, 2)       # 3 > 2 and 2 > NULL; NULL < 0, 5 < 6
+
+
+def test_out_of_order_moves_no_rows(spark, tmp_path):
+    """Several keys, NULLs, runs cut by batches and by splits of a file; the rows are
+    compared below the first shuffle."""
+    r, path = random.Random(3), str(tmp_path / "t")
+    data = [(r.choice("abc") if k % 11 else None, str(r.randrange(9)) if k % 7 else None, k)
+            for k in range(900)]
+    spark.createDataFrame(data, "k string, m string, v int").repartition(3, "v") \
+        .sortWithinPartitions(F.expr("v div 100"), "k").write.option("parquet.block.size", 1024) \
+        .parquet(path)
+    want, last = 0, None
+    for file in sorted((tmp_path / "t").glob("part-*")):
+        for row in pq.read_table(file).to_pylist():
+            now = tuple((row[c] is not None, row[c] or "") for c in ("k", "m"))
+            want, last = want + (last is not None and last > now), now
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    got = out_of_order(own.read.parquet(path), ["k", "m"])
+    assert tuple(got.first()) == (900, want) and want > 100
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "Exchange" not in plan[plan.index("MapInArrow"):]
