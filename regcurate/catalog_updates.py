@@ -133,6 +133,10 @@ def q_published_versions(spark, sf_dir):
     early = udda.where("HFAUDD < '3'")
     broken = udda.withColumn("HFAUDD", F.when(F.col("HFAUDD") < "3", F.col("HFAUDD")).otherwise(
         F.raise_error(F.lit("unreadable extract"))))
+    one = dict.fromkeys(udda.columns, F.lit("1")) | {
+        "HFAUDD": F.raise_error(F.lit("unreadable extract")).cast("string"),
+        "source_file": F.lit("udda1900.sas7bdat")}      # breaks tables without such rows too
+    broken = broken.unionByName(spark.range(1).select(*[c.alias(n) for n, c in one.items()]))
     out = []
 
     def seen(step: str, version: int | None = None) -> None:
