@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -53,18 +54,23 @@ class PartTokenizer:
 
     @staticmethod
     def _ids(tok, strings: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in tok.encode_batch_fast(strings, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids)
+                for e in tok.encode_batch_fast(strings, add_special_tokens=False)
+                for ids in (e.ids,)]
+
+    def _form(self, run: str) -> str:
+        """A letter run in the letters of a byte-level vocabulary."""
+        if run.isascii():                          # letters, at most one space before
+            return run.replace(" ", self._letters[0x20])
+        return run.encode().decode("latin-1").translate(self._letters)
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """ids of pieces, each cut into a letter run and the rest if possible."""
-        cut = [(m[1], m[2], p[m.end():]) if (m := _RUN.match(p)) else ("", "", p)
-               for p in pieces]
-        heads = ([b.lower() for _, b, _ in cut] if self._lower else   # as the vocabulary does
-                 [a + b for a, b, _ in cut])
-        tails = [c for _, _, c in cut]
-        runs = self._known(self._runs, heads, self._bare, lambda r: r.encode().decode(
-            "latin-1").translate(self._letters))
+        cut = list(map(_RUN.match, pieces))
+        heads = ([m[2].lower() if m else "" for m in cut] if self._lower else   # as the vocabulary does
+                 [m[0] if m else "" for m in cut])
+        tails = [p[m.end():] if m else p for p, m in zip(pieces, cut)]
+        runs = self._known(self._runs, heads, self._bare, self._form)
         rest = self._known(self._tails, tails, self._full, str)
         return [a + b for a, b in zip(runs, rest)]
 
@@ -119,10 +125,10 @@ class PartTokenizer:
         cut = pc.split_pattern(marked, " ")
         ends = cut.offsets.to_numpy()[1:].astype(np.int64)
         coded = cut.flatten().dictionary_encode()
-        parts = coded.dictionary.to_pylist()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()    # beats to_pylist
         index = coded.indices.to_numpy().astype(np.int64)
         # a piece that ends in white space must not be cut off, unless it is the last
-        loose = np.array([p != "\0" and not self._piece(p)[-1:].strip() for p in parts], bool)
+        loose = np.fromiter((not p or p[-1].isspace() for p in parts), bool, len(parts))
         bad = loose[index]
         bad[ends - 1] = False
         odd = np.unique(np.searchsorted(ends, np.flatnonzero(bad), side="right"))

@@ -113,3 +113,17 @@ def test_ids_beyond_the_file_type_are_an_error():
     writer.add(1, np.array([0, 65_535], "<u4"))
     with pytest.raises(ValueError, match="65536 of document 2"):
         writer.add(2, np.array([65_536], "<u4"))
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_known_parts_cost_no_call_each(path, monkeypatch):
+    tok, calls = tokenizer(path), []
+    texts = pa.array(["the cat, the dog\nand 7 cats' Élan ", " two  spaces\tand\x1c one", "", None])
+    piece = tok._piece
+    monkeypatch.setattr(tok, "_piece", lambda part: calls.append(part) or piece(part))
+    ids, off = tok.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == _direct(
+        path, [t or "" for t in texts.to_pylist()])
+    calls.clear()
+    again, _ = tok.encode(texts)
+    assert again.tolist() == ids.tolist() and not calls
