@@ -78,8 +78,11 @@ def build_with_register(inputs: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_by_part(inputs: dict[str, DataFrame]) -> DataFrame:
-    """The joined rows plus the register and period they were joined in."""
-    joined = aligned_join(records(inputs), diagnoses(inputs))
+    """The joined rows plus the register and period they were joined in. A row
+    without a period joins nothing; told so, Spark keeps the join's own order by
+    register and period for a write partitioned by them."""
+    dated = F.col("period").isNotNull()
+    joined = aligned_join(records(inputs).where(dated), diagnoses(inputs).where(dated))
     return joined.select(*SPEC.names, "register", "period")
 
 

@@ -197,8 +197,8 @@ def refresh_diagnoses(landed: dict[str, DataFrame], root: str,
     inputs = pruned(landed, parts)
     new: list[Segment] = []
     if parts and len(diagnoses.missing_pairs(inputs)) < len(DIAGNOSIS_PAIRS):
-        joined = diagnoses.build_by_part(inputs).hint("rebalance", *_PART)
-        new = table.write(joined, version, partition_by=_PART)
+        # the join's tasks write their own rows, which a merge join leaves in this order
+        new = table.write(diagnoses.build_by_part(inputs), version, partition_by=_PART)
         counts = {tuple(r[:2]): {"rows": r[2]} for r in table.read(
             new, _strings(*spec.names, *_PART)).groupBy(*_PART).count().collect()}
         new = with_stats(new, counts, _PART)

@@ -284,3 +284,27 @@ def test_refresh_follows_the_folders(spark, tmp_path, fmt):
     assert persons() == [("c", f"bef1992.{fmt}"), ("q", f"bef1990.{fmt}")]
     old, side = incremental.read_refreshed(spark, out, "population", version=1)
     assert old.count() == side["size"] == 3                     # a pinned version
+
+
+def test_refreshed_diagnoses_are_written_by_the_tasks_that_join_them(spark, tmp_path, monkeypatch):
+    rec = spark.createDataFrame([(str(i % 4), f"p{i}", "1", "1990-01-01", None, "lpr_adm1990.sas7bdat", p)
+                                 for i, p in enumerate(["1990"] * 5 + [None])],
+                                "RECNUM string, PNR string, C_PATTYPE string, D_INDDTO string, "
+                                "D_UDDTO string, source_file string, period string")
+    diag = spark.createDataFrame([(str(i % 4), f"DF{i}", "A", "lpr_diag1990.sas7bdat", p)
+                                  for i, p in enumerate(["1990"] * 5 + [None])],
+                                 "RECNUM string, C_DIAG string, C_DIAGTYPE string, "
+                                 "source_file string, period string")
+    written, write = [], Published.write
+    monkeypatch.setattr(Published, "write", lambda self, df, *a, **kw: written.append(df)
+                        or write(self, df, *a, **kw))
+    inputs, root = {"lpr_adm": rec, "lpr_diag": diag}, str(tmp_path / "published")
+    found = incremental.refresh_diagnoses(inputs, root, {("lpr_adm", "1990")}, spark)
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Rebalance" not in plan and "Repartition" not in plan
+    # not nullable: else the write would sort the rows of the join once more
+    told = written[0]._jdf.queryExecution().optimizedPlan().schema()
+    assert not any(told.apply(c).nullable() for c in ("register", "period"))
+    assert rows(incremental.published_diagnoses(Published(spark, root), found)) == rows(
+        plans.diagnoses.build({r: df.where("period = '1990'") for r, df in inputs.items()}))
+    assert found.sidecar["size"] == 7
