@@ -10,10 +10,9 @@ and their JSON sidecars.
   with the full schema), or dynamic partition overwrite for landing, so a
   re-landed extract file replaces only itself. Spark's commit protocol makes a
   failed or retried task invisible: lost executors do not leave half files.
-* Category-partitioned output is rebalanced on the category first
-  (``REBALANCE`` hint): AQE splits a dominant category over several tasks
-  and packs small ones together, so the file count does not grow as
-  (map tasks x categories) and no single task writes a hot category alone.
+* Category-partitioned output is written where its rows stand, each task's rows
+  sorted by category: the rows are not shuffled for it, and no task writes a
+  dominant category alone. A task writes at most one file per category.
 """
 
 from __future__ import annotations
@@ -122,9 +121,7 @@ def write_curated(name: str, inputs: dict[str, DataFrame], path: str, fmt: str =
     else:
         df = plans.build(name, inputs)
         rows_metrics += bounds if name != "population" else []
-    if spec.partition_by:
-        df = df.hint("rebalance", *spec.partition_by)
-    elif sort and spec.sorted_by:
+    if sort and spec.sorted_by and not spec.partition_by:
         df = sorted_for_write(df, spec.sorted_by)
     # observed last: above any range-partition sampling job, counted once
     df = df.observe(rows_obs, *rows_metrics)

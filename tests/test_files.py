@@ -318,3 +318,23 @@ def test_fine_scans_leave_the_callers_session_alone(spark):
     assert fine_scans(own).conf.get(key) == "16m"
     assert own.conf.get("spark.sql.shuffle.partitions") == \
         spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_categories_are_written_where_their_rows_stand(spark, tmp_path, monkeypatch):
+    from regcurate.sinks import writers
+
+    lmdb = spark.range(3000).select(*[F.col("id").cast("string").alias(c)
+                                      for c in REGISTERS["lmdb"].columns if c != "ATC"],
+                                    F.expr("CASE WHEN id % 50 = 0 THEN NULL WHEN id % 3 > 0 THEN 'N02' "
+                                           "ELSE concat(substr('ABC', 1 + int(id % 7 % 3), 1), '1') END")
+                                    .alias("ATC"), F.lit("lmdb200112.sas7bdat").alias("source_file"))
+    written, writer = [], writers._writer
+    monkeypatch.setattr(writers, "_writer", lambda df, *a: written.append(df) or writer(df, *a))
+    side = writers.write_curated("prescriptions", {"lmdb": lmdb.repartition(4)}, str(tmp_path / "p"))
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" not in plan
+    got = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "p"))
+           .groupBy("atc_category").count().collect()}
+    first = F.coalesce(F.nullif(F.substring("ATC", 1, 1), F.lit("")), F.lit("_none"))
+    want = {r[0]: r[1] for r in lmdb.groupBy(first).count().collect()}
+    assert got == want and len(got) == 5 and side["size"] == sum(got.values()) == 3000
