@@ -54,8 +54,13 @@ def union_rows(frames) -> DataFrame:
 def file_inventory(files: DataFrame, rows: DataFrame) -> DataFrame:
     """Per register: number of files, first/last period, the period list, the
     file list and rows. ``files`` (dataset, period, file_name) is the listing, so
-    files without rows count too; ``rows`` has file_name and rows."""
-    return files.join(rows, "file_name", "left").groupBy("dataset").agg(
+    files without rows count too; ``rows`` has file_name and rows.
+
+    With ``=`` the optimizer would derive tests of the counted files' names from the
+    join and push them below the counts, to be made once a row; ``<=>`` derives none."""
+    found = rows.where(F.col("file_name").isNotNull()).withColumnRenamed("file_name", "_file")
+    both = files.join(found, F.col("file_name").eqNullSafe(F.col("_file")), "left")
+    return both.groupBy("dataset").agg(
         F.count(F.lit(1)).alias("n_files"),
         F.min("period").alias("first_period"),
         F.max("period").alias("last_period"),

@@ -97,12 +97,15 @@ def _provenance(in_file: Column | None = None) -> Column:
 
 def rows_by_file(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
     """``file_name, rows`` of the Parquet files of a folder that have rows. No
-    column is read, only row counts."""
+    column is read, only row counts; names are parsed once a file, not once a row."""
     none = T.StructType([T.StructField("_none", T.StringType(), True)])
-    return (spark.read.schema(none).option("pathGlobFilter", glob)
-            .parquet(root, *_parted(spark, root, glob))
-            .groupBy(extract_name("_metadata.file_path").alias("file_name"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+    parts = (spark.read.schema(none).option("pathGlobFilter", glob)
+             .parquet(root, *_parted(spark, root, glob))
+             .groupBy(F.col("_metadata.file_path").alias("path"))
+             .agg(F.count(F.lit(1)).alias("rows")))
+    # never NULL, and said so: a NULL test would be pushed, with the parsing, to the rows
+    name = F.coalesce(extract_name("path"), F.lit(""))
+    return parts.groupBy(name.alias("file_name")).agg(F.sum("rows").alias("rows"))
 
 
 # --- layouts ------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from helpers import SF_SMALL, rows
 from regcurate import catalog_updates
 from regcurate.operators.landing import land_register
+from regcurate.operators.profile import file_inventory
 from regcurate.session import fine_scans
 from regcurate.sources.files import land_folder, read_register, register_files, rows_by_file
 from regcurate.sources.fixtures import stage_all, stage_extracts
@@ -338,3 +339,23 @@ def test_categories_are_written_where_their_rows_stand(spark, tmp_path, monkeypa
     first = F.coalesce(F.nullif(F.substring("ATC", 1, 1), F.lit("")), F.lit("_none"))
     want = {r[0]: r[1] for r in lmdb.groupBy(first).count().collect()}
     assert got == want and len(got) == 5 and side["size"] == sum(got.values()) == 3000
+
+
+def test_inventory_parses_names_once_a_file(spark, tmp_path):
+    """No name is parsed or tested below the count of a file's rows."""
+    for name, n in (("bef198512.parquet/part-0", 3), ("bef198512.parquet/part-1", 2),
+                    ("zzz2001.parquet/part-0", 4)):
+        spark.range(n).coalesce(1).write.parquet(str(tmp_path / "w" / name))
+        part = next((tmp_path / "w" / name).glob("part-*.parquet"))
+        to = tmp_path / "dated" / f"{name}.parquet"
+        to.parent.mkdir(parents=True, exist_ok=True)
+        part.rename(to)
+    root = str(tmp_path / "dated")
+    files = register_files(spark, root).select("dataset", "period", "file_name").distinct()
+    inventory = file_inventory(files, rows_by_file(spark, root))
+    assert [(r.dataset, r.n_files, r.source_files, r.rows) for r in inventory.collect()] == [
+        ("bef", 1, "bef198512.parquet", 5)]
+    plan = inventory._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Filter" in x and "file_path" in x]
+    counts = [x for x in plan if "Aggregate" in x and "count(1)" in x]
+    assert counts and not any("RLIKE" in x.split("], [")[0] for x in counts)
