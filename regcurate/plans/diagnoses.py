@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_empty, period_from_file_name
-from ..operators.joins import aligned_join, key_totals, normalise
+from ..operators.joins import ALIGN_KEYS, aligned_join, key_totals, normalise
 from ..operators.landing import union_all
 from ..specs.curated import DIAGNOSIS_PAIRS, table
 from ..specs.registers import spec as register_spec
@@ -90,7 +90,8 @@ def build(inputs: dict[str, DataFrame], observe=None) -> DataFrame:
     if observe is not None:
         obs, metrics = observe
         rec = rec.observe(obs, *metrics)
-    joined = aligned_join(rec, diagnoses(inputs))
+    # sorted by the key whose first bytes tell most rows apart
+    joined = aligned_join(rec, diagnoses(inputs), tuple(reversed(ALIGN_KEYS)))
     return select_contract(joined, SPEC, {})
 
 

@@ -68,6 +68,12 @@ def test_diagnoses_is_one_join_with_one_shuffle_per_side(spark, landed, no_broad
     assert _exchanges(df) == 2
 
 
+def test_diagnoses_sorts_by_the_record_first(spark, landed, no_broadcast):
+    """The register, first, is one value in most comparisons of a sort."""
+    plan = _plan(plans.build("diagnoses", landed))
+    assert re.search(r"SortMergeJoin \[record_id", plan)
+
+
 def test_population_first_file_wins_shape(spark, landed, no_broadcast):
     plan = _plan(plans.build("population", landed))
     assert plan.count("SortMergeJoin") == 1

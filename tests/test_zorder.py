@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from regcurate.sinks.writers import sorted_for_write
-from regcurate.sinks.zorder import files_read, interleaved, position, quantiles, zordered
+from regcurate.sinks.zorder import (files_read, interleaved, placed, position, quantiles,
+                                    zordered)
 
 
 def _table(spark, n=4000):
@@ -58,3 +59,22 @@ def test_a_key_is_placed_once_a_row(spark):
     """The plan has one search per key, not one per bit of it."""
     plan = zordered(_table(spark), ["a", "b"], 4)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("aggregate(") == 2
+
+
+def test_rows_are_dealt_in_one_pass(spark):
+    """No range exchange, which places all rows once more to sample them; files are
+    even, those of a value with all rows too."""
+    for table in (_table(spark), spark.range(4000).selectExpr("'x' AS a", "'y' AS b", "id AS v")):
+        got = zordered(table, ["a", "b"], 8)
+        assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 1.5 * table.count() / 8
+    assert zordered(table.limit(0), ["a", "b"], 8).count() == 0
+
+
+def test_a_search_in_columns_is_the_same(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a",), ("b0",), ("t",), ("zz",)], "k string")
+    for cuts in ([], ["a"], ["a", "a", "t"], [chr(97 + i) for i in range(20)]):
+        for below in (False, True):
+            df = placed(df, "c", F.col("k"), cuts, below=below)
+            assert df.where(F.col("c") != position(F.col("k"), cuts, below=below)).count() == 0
